@@ -112,14 +112,19 @@ def monthly_mart(
     w = rolling_window(keys, months)
     n_eff = F.col(f"{nominal}_monthly_effective_pct")
     p = F.col(f"{reference}_monthly_pct")
-    rows = F.count(F.lit(1)).over(w)
-    acc_n = compound_over(n_eff, w)
-    acc_p = compound_over(p, w)
+    # Each window aggregate once; guards and rounding in the next projection.
+    framed = join_monthly(nominal_monthly, reference_monthly, shared_keys).select(
+        "*",
+        F.count(F.lit(1)).over(w).alias("_rows"),
+        compound_over(n_eff, w).alias("_acc_n"),
+        compound_over(p, w).alias("_acc_p"),
+    )
+    rows, acc_n, acc_p = F.col("_rows"), F.col("_acc_n"), F.col("_acc_p")
 
     def out(c: Column, alias: str) -> Column:
         return F.round(c, scale).alias(alias)
 
-    return join_monthly(nominal_monthly, reference_monthly, shared_keys).select(
+    return framed.select(
         *keys,
         MONTH_KEY,
         out(F.col(f"{nominal}_daily_average_pct"), f"{nominal}_daily_average_pct"),

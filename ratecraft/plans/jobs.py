@@ -18,6 +18,7 @@ from ratecraft.operators.conform import conform
 from ratecraft.operators.mart import monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import materialize, stamp, upsert
+from ratecraft.sources.raw import read_bronze
 from ratecraft.sources.tables import read_table
 from ratecraft.specs import WINDOW_MONTHS, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import run_ingest
@@ -54,7 +55,7 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
     all of them.
     """
     staged = {
-        spec.name: materialize(spark, silver_content(read_table(spark, spec.bronze), spec), f"silver-{spec.name}")
+        spec.name: materialize(spark, silver_content(read_bronze(spark, spec), spec), f"silver-{spec.name}")
         for spec in specs
     }
     for spec in specs:

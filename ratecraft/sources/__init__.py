@@ -1,13 +1,26 @@
 """Sources: raw series files and layer tables."""
 
-from .raw import BRONZE_COLUMNS, RAW_SCHEMA, bronze_projection, raw_contract, read_raw, series_range
+from .raw import (
+    BRONZE_COLUMNS,
+    BRONZE_SCHEMA,
+    RAW_SCHEMA,
+    bronze_projection,
+    landing_glob,
+    raw_contract,
+    read_bronze,
+    read_raw,
+    series_range,
+)
 from .tables import read_driver_table, read_table, table_exists
 
 __all__ = [
     "BRONZE_COLUMNS",
+    "BRONZE_SCHEMA",
     "RAW_SCHEMA",
     "bronze_projection",
+    "landing_glob",
     "raw_contract",
+    "read_bronze",
     "read_driver_table",
     "read_raw",
     "read_table",

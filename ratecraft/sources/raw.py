@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from ratecraft.specs import SeriesSpec
 
@@ -16,16 +22,25 @@ RAW_SCHEMA = StructType(
     ]
 )
 
-BRONZE_COLUMNS = [
-    "data_raw",
-    "valor_raw",
-    "series_name",
-    "source_file",
-    "source_path",
-    "source_modified_at",
-    "ingestion_timestamp",
-    "ingestion_date",
-]
+BRONZE_SCHEMA = StructType(
+    [
+        StructField("data_raw", StringType(), True),
+        StructField("valor_raw", StringType(), True),
+        StructField("series_name", StringType(), True),
+        StructField("source_file", StringType(), True),
+        StructField("source_path", StringType(), True),
+        StructField("source_modified_at", TimestampType(), True),
+        StructField("ingestion_timestamp", TimestampType(), True),
+        StructField("ingestion_date", DateType(), True),
+    ]
+)
+BRONZE_COLUMNS = BRONZE_SCHEMA.fieldNames()
+
+
+def landing_glob(spec: SeriesSpec, path: str | None = None) -> str:
+    """The landing folder, or its series sub-folders when names come from folders."""
+    base = (path or spec.landing).rstrip("/")
+    return f"{base}/*" if spec.series_from_dir else base
 
 
 def series_name_column(spec: SeriesSpec) -> Column:
@@ -65,11 +80,17 @@ def read_raw(spark: SparkSession, spec: SeriesSpec, path: str | None = None) ->
         .schema(RAW_SCHEMA)
         .option("multiLine", spec.multi_line)
         .option("mode", "PERMISSIVE")
-        .load(path or spec.landing)
+        .load(landing_glob(spec, path))
         .select(bronze_projection(spec))
     )
 
 
+def read_bronze(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
+    """Bronze with its fixed schema: no footer inference, and a series whose
+    landing held no file reads as empty (and fails the not-empty rule)."""
+    return spark.read.schema(BRONZE_SCHEMA).parquet(spec.bronze)
+
+
 def raw_contract(records: DataFrame, data_col: str = "data_raw", value_col: str = "valor_raw") -> DataFrame:
     """Landed-record contract in one pass: payload not empty, both fields present.
 

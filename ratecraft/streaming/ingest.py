@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ratecraft.sources.raw import RAW_SCHEMA, bronze_projection
+from ratecraft.sources.raw import RAW_SCHEMA, bronze_projection, landing_glob
 from ratecraft.sources.tables import is_path
 from ratecraft.specs import SeriesSpec
 
@@ -34,7 +34,7 @@ def read_raw_stream(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
     )
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
-    return reader.load(spec.landing).select(bronze_projection(spec))
+    return reader.load(landing_glob(spec)).select(bronze_projection(spec))
 
 
 def write_append_stream(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

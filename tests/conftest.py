@@ -1,0 +1,29 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+from ratecraft.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        master="local[4]",
+        app_name="ratecraft-tests",
+        shuffle_partitions=8,
+        extra={"spark.driver.memory": "4g"},
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    # Tests only: give the session its own checkpoint folder when none is set.
+    if not session.sparkContext.getCheckpointDir() and not session.conf.get(
+        "spark.checkpoint.dir", None
+    ):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
+    yield session
+    session.stop()

@@ -1,0 +1,155 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratecraft.operators import conform, dq_report, duplicate_keys, enforce, typed_series, validate
+from ratecraft.specs import IPCA, SELIC, RuleSet, gold_rules, silver_rules
+
+BRONZE = (
+    "data_raw string, valor_raw string, series_name string, source_file string, "
+    "source_path string, source_modified_at timestamp, ingestion_timestamp timestamp, "
+    "ingestion_date date"
+)
+T1 = dt.datetime(2024, 1, 1, 10, 0, 0)
+T2 = dt.datetime(2024, 2, 1, 10, 0, 0)
+
+
+def bronze(spark, rows):
+    """rows: (data, valor, file, modified_at, ingested_at[, series])"""
+    full = []
+    for row in rows:
+        d, v, f, m, t = row[:5]
+        series = row[5] if len(row) > 5 else "selic"
+        full.append((d, v, series, f, f"/landing/{f}", m, t, t.date()))
+    return spark.createDataFrame(full, BRONZE)
+
+
+def test_comma_decimal_thousands_and_bad_date(spark):
+    df = bronze(
+        spark,
+        [
+            ("02/01/2020", "0,0432", "a.json", T1, T1),
+            ("03/01/2020", "1.234,56", "a.json", T1, T1),
+            ("2020-01-02", "0.01", "a.json", T1, T1),
+            ("06/01/2020", None, "a.json", T1, T1),
+        ],
+    )
+    out = typed_series(df, SELIC).collect()
+    by_rate = {str(r.reference_date): r.selic_daily_pct for r in out}
+    assert by_rate["2020-01-02"] == Decimal("0.04320000")
+    assert by_rate["2020-01-03"] is None  # thousands separator: not a number
+    assert by_rate["2020-01-06"] is None  # missing field
+    assert by_rate["None"] == Decimal("0.01000000")  # bad date -> NULL key
+    report = {r.rule: r.violations for r in dq_report(typed_series(df, SELIC), silver_rules(SELIC)).collect()}
+    assert report["not_null(reference_date,selic_daily_pct)"] == 3
+    with pytest.raises(ValueError, match="3 of 4"):
+        validate(typed_series(df, SELIC), silver_rules(SELIC))
+
+
+def test_backfill_newest_value_wins(spark):
+    df = bronze(
+        spark,
+        [
+            ("02/01/2020", "0.01", "old.json", T1, T1),
+            ("03/01/2020", "0.02", "old.json", T1, T1),
+            ("03/01/2020", "0.05", "backfill.json", T2, T2),
+            ("06/01/2020", "0.06", "backfill.json", T2, T2),
+        ],
+    )
+    out = {str(r.reference_date): (r.selic_daily_pct, r.source_file) for r in conform(df, SELIC).collect()}
+    assert out == {
+        "2020-01-02": (Decimal("0.01000000"), "old.json"),
+        "2020-01-03": (Decimal("0.05000000"), "backfill.json"),
+        "2020-01-06": (Decimal("0.06000000"), "backfill.json"),
+    }
+
+
+def test_same_batch_tie_has_one_winner_every_run(spark):
+    # Two files in one batch share the ingestion time: the newer file wins,
+    # then the path, then the value decides.
+    rows = [
+        ("02/01/2020", "0.01", "a.json", T1, T2),
+        ("02/01/2020", "0.03", "b.json", T1, T2),
+        ("03/01/2020", "0.07", "a.json", T2, T2),
+        ("03/01/2020", "0.02", "b.json", T1, T2),
+    ]
+    winners = set()
+    for parts in (1, 3, 5):
+        df = bronze(spark, rows).repartition(parts)
+        out = tuple(sorted((str(r.reference_date), r.source_file) for r in conform(df, SELIC).collect()))
+        winners.add(out)
+    assert winners == {(("2020-01-02", "b.json"), ("2020-01-03", "a.json"))}
+
+
+def test_monthly_series_keeps_one_row_per_month(spark):
+    df = bronze(
+        spark,
+        [
+            ("01/03/2020", "0.25", "a.json", T1, T1, "ipca"),
+            ("01/03/2020", "0.30", "b.json", T2, T2, "ipca"),
+            ("01/04/2020", "-0.10", "a.json", T1, T1, "ipca"),
+        ],
+    )
+    out = conform(df, IPCA).orderBy("reference_month").collect()
+    assert [(str(r.reference_month), r.ipca_monthly_pct) for r in out] == [
+        ("2020-03-01", Decimal("0.30000000")),
+        ("2020-04-01", Decimal("-0.10000000")),
+    ]
+
+
+def test_duplicates_reported_before_dedup(spark):
+    df = bronze(
+        spark,
+        [
+            ("02/01/2020", "0.01", "a.json", T1, T1),
+            ("02/01/2020", "0.02", "b.json", T1, T2),
+            ("03/01/2020", "0.02", "b.json", T1, T2),
+        ],
+    )
+    typed = typed_series(df, SELIC)
+    assert duplicate_keys(typed, SELIC.business_key).count() == 1
+    assert conform(df, SELIC).count() == 2
+    assert duplicate_keys(conform(df, SELIC), SELIC.business_key).count() == 0
+
+
+@pytest.mark.parametrize("spec,bad", [(SELIC, "11"), (IPCA, "51")])
+def test_out_of_range_gate_counts_one(spark, spec, bad):
+    df = bronze(
+        spark,
+        [("01/03/2020", "0.1", "a.json", T1, T1, spec.name), ("01/04/2020", bad, "a.json", T1, T1, spec.name)],
+    )
+    report = dq_report(conform(df, spec), silver_rules(spec))
+    rng = [r for r in report.collect() if r.rule.startswith("in_range")]
+    assert len(rng) == 1 and rng[0].violations == 1
+    with pytest.raises(ValueError, match="in_range"):
+        enforce(report)
+
+
+def test_empty_series_fails_not_empty(spark):
+    empty = bronze(spark, [("01/03/2020", "0.1", "a.json", T1, T1)]).where(F.lit(False))
+    with pytest.raises(ValueError, match="not_empty"):
+        validate(conform(empty, SELIC), silver_rules(SELIC))
+
+
+def test_gold_rules_positive_and_unique(spark):
+    rows = [
+        (dt.date(2020, 1, 1), 0.1, 1.0, 0.5, 0.4, 20),
+        (dt.date(2020, 1, 1), 0.1, 1.0, 0.5, 0.4, 0),
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "reference_month date, nominal_daily_average_pct double, nominal_monthly_effective_pct double, "
+        "inflation_monthly_pct double, real_interest_monthly_pct double, nominal_observation_count bigint",
+    )
+    report = {r.rule: (r.checked, r.violations) for r in dq_report(df, gold_rules()).collect()}
+    assert report["positive(nominal_observation_count)"] == (2, 1)
+    assert report["unique_key(reference_month)"] == (1, 1)
+    assert report["not_empty"] == (2, 0)
+
+
+def test_rule_set_without_key_has_no_key_rule(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    rules = RuleSet(dataset="x", required=("a",))
+    assert [r.rule for r in dq_report(df, rules).collect()] == ["not_empty", "not_null(a)"]
