@@ -8,15 +8,20 @@ rewrites only the partitions the source touches:
    touched partitions follow from the source alone;
 2. new content of those partitions = target rows whose key is not in the
    source (left anti join) + all source rows;
-3. that content is written once to a staging folder under the checkpoint
-   root (it cuts the lineage, so a lost executor recomputes from staged
-   files, and the target is never read and overwritten by the same job);
-4. the staged rows replace the touched partitions (dynamic partition
-   overwrite); untouched partitions are not read or written.
+3. that content replaces the touched partitions by dynamic partition
+   overwrite: tasks write to a staging folder and the partitions are swapped
+   only when the job commits, so the job may read the partitions it
+   replaces, a retried task still finds its input, and untouched partitions
+   are neither read nor written.
+
+An unpartitioned target is replaced whole; its new content is first written
+to a folder under the checkpoint root, since a job cannot overwrite the path
+it reads. Pass a materialized source when it is expensive to recompute (the
+layer jobs stage theirs): on a lost executor, tasks recompute from it.
 
 Matched keys update every column, unmatched keys are inserted, nothing is
 deleted. Unlike a transactional MERGE, readers may see the touched
-partitions change one after another during step 4.
+partitions change one after another at commit.
 """
 
 from __future__ import annotations
@@ -84,9 +89,11 @@ def upsert(
         _write(source, target, partition_by, dynamic=False)
         return "created"
     current = read_table(spark, target)
-    staged = materialize(spark, merged_content(current, source, keys, partition_by), "upsert")
-    # Without partitions, the staged rows are the whole new table.
-    _write(staged.select(current.columns), target, partition_by, dynamic=bool(partition_by))
+    merged = merged_content(current, source, keys, partition_by)
+    if partition_by:
+        _write(merged, target, partition_by, dynamic=True)
+    else:
+        _write(materialize(spark, merged, "upsert").select(current.columns), target, (), dynamic=False)
     return "merged"
 
 

@@ -46,7 +46,9 @@ def landing_glob(spec: SeriesSpec, path: str | None = None) -> str:
 def series_name_column(spec: SeriesSpec) -> Column:
     """Literal series name, or the parent folder of each file (``name`` or ``series=name``)."""
     if spec.series_from_dir:
-        return F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]+$", 1)
+        # parent folder = text between the last two '/', then after any '='
+        parent = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+        return F.substring_index(parent, "=", -1)
     return F.lit(spec.name)
 
 
