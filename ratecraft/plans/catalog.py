@@ -368,11 +368,11 @@ def q_frame_gaps(spark: SparkSession, d: str) -> DataFrame:
 def q_layered_gold(spark: SparkSession, d: str) -> DataFrame:
     """Raw files -> Bronze (stream) -> Silver (conform, gates, upsert) -> Gold.
 
-    Landing: lineitem as one JSON-lines folder per return flag (the stream
-    names each series after its folder) and orders as the monthly series.
-    Records of one business key are written to one file, so the in-batch
-    tie-break (rate, newest date) decides and the result is the same on
-    every run.
+    Landing, in the shape the sources publish: one record per series and
+    business day (the day's highest ``l_discount``; a map-side combined
+    aggregate, so a hot day costs nothing extra), one JSON-lines folder per
+    return flag (the stream names each series after its folder); and one
+    record per month for the reference series, dated the first of the month.
     """
     root = scratch_dir(spark, "layers")
     rates = SeriesSpec(
@@ -385,24 +385,20 @@ def q_layered_gold(spark: SparkSession, d: str) -> DataFrame:
     ).located(root)
     lineitem = read_driver_table(spark, d, "lineitem")
     (
-        lineitem.select(
+        lineitem.groupBy(
             F.col(SERIES_KEY).alias("series"),
             F.date_format("l_shipdate", "dd/MM/yyyy").alias("data"),
-            rate_text(F.col("l_discount")).alias("valor"),
         )
-        .repartition("series", "data")
+        .agg(rate_text(F.max("l_discount")).alias("valor"))
         .write.partitionBy("series")
         .json(rates.landing)
     )
     (
-        order_rates(spark, d)
+        reference_monthly(spark, d)
         .select(
-            month_of("o_orderdate").alias("month"),
-            F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"),
-            rate_text(F.col("rate_pct")).alias("valor"),
+            F.date_format("reference_month", "dd/MM/yyyy").alias("data"),
+            rate_text(F.col("inflation_monthly_pct")).alias("valor"),
         )
-        .repartition("month")
-        .drop("month")
         .write.json(reference.landing)
     )
     mart = MartSpec(

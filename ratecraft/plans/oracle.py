@@ -192,12 +192,9 @@ def _layered_gold() -> str:
            MAX({_parsed_rate(_rate_text('l_discount'))}) AS nominal_daily_pct
     FROM lineitem GROUP BY ALL"""
     monthly = f"""
-    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_month,
-           {_parsed_rate(_rate_text('o_totalprice / 10000.0'))} AS inflation_monthly_pct
-    FROM orders
-    QUALIFY row_number() OVER (
-        PARTITION BY date_trunc('month', o_orderdate)
-        ORDER BY CAST(o_orderdate AS DATE) DESC, inflation_monthly_pct DESC) = 1"""
+    SELECT reference_month,
+           {_parsed_rate(_rate_text('inflation_monthly_pct'))} AS inflation_monthly_pct
+    FROM ({REFERENCE_MONTHLY})"""
     return f"""
     WITH daily AS ({daily}),
     nom AS (
