@@ -1,8 +1,8 @@
 """Data-quality rules: one report row per rule, and a gate that raises.
 
-All row rules of a rule set are counted in one aggregate pass; uniqueness
-needs one more aggregate on the key. The report is tiny (one row per rule),
-so ``enforce`` may collect it.
+All rules of a rule set are counted in one pass over the input (with a
+unique key, per key first and then summed). The report is tiny (one row per
+rule), so ``enforce`` may collect it.
 """
 
 from __future__ import annotations
@@ -55,37 +55,41 @@ def _entry(dataset: str, rule: str, checked: Column, violations: Column) -> Colu
 
 
 def dq_report(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """``(dataset, rule, checked, violations)``, one row per rule."""
+    """``(dataset, rule, checked, violations)``, one row per rule, in one scan.
+
+    Row rules are ``count_if`` counters. With a unique key they are counted
+    per key first (one keyed aggregate that also yields the key
+    multiplicities) and then summed, so the input is read once; a key
+    holding a large share of the rows is combined map-side like any other.
+    """
     names = iter(rule_names(rules))
-    rows = F.count(F.lit(1))
-    counts = [rows.alias("rows")]
+    counters = {"rows": F.count(F.lit(1))}
     entries = []
     if rules.not_empty:
         entries.append((next(names), "rows", F.when(F.col("rows") == 0, 1).otherwise(0)))
     if rules.required:
-        counts.append(F.count_if(any_null(rules.required)).alias("v_null"))
+        counters["v_null"] = F.count_if(any_null(rules.required))
         entries.append((next(names), "rows", F.col("v_null")))
     for i, (c, lo, hi) in enumerate(rules.ranges):
-        counts.append(F.count_if(out_of_range(c, lo, hi)).alias(f"v_range{i}"))
+        counters[f"v_range{i}"] = F.count_if(out_of_range(c, lo, hi))
         entries.append((next(names), "rows", F.col(f"v_range{i}")))
     for i, c in enumerate(rules.positive):
-        counts.append(F.count_if(F.col(c) <= 0).alias(f"v_pos{i}"))
+        counters[f"v_pos{i}"] = F.count_if(F.col(c) <= 0)
         entries.append((next(names), "rows", F.col(f"v_pos{i}")))
-    row_report = df.agg(*counts).select(
-        F.inline(F.array(*[_entry(rules.dataset, n, F.col(ch), v) for n, ch, v in entries]))
-    )
-    if not rules.unique_key:
-        return row_report
-    key_report = (
-        df.groupBy(*rules.unique_key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
+    aggregates = [expr.alias(name) for name, expr in counters.items()]
+    if rules.unique_key:
+        per_key = df.groupBy(*rules.unique_key).agg(*aggregates)
+        totals = per_key.agg(
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters],
             F.count(F.lit(1)).alias("keys"),
-            F.count_if(F.col("n") > 1).alias("dup"),
+            F.count_if(F.col("rows") > 1).alias("dup"),
         )
-        .select(F.inline(F.array(_entry(rules.dataset, next(names), F.col("keys"), F.col("dup")))))
+        entries.append((next(names), "keys", F.col("dup")))
+    else:
+        totals = df.agg(*aggregates)
+    return totals.select(
+        F.inline(F.array(*[_entry(rules.dataset, n, F.col(ch), v) for n, ch, v in entries]))
     )
-    return row_report.unionByName(key_report)
 
 
 def failures(report: DataFrame) -> list[str]:
