@@ -29,7 +29,7 @@ from .quality import (
     range_violations,
     validate,
 )
-from .upsert import materialize, merged_content, stamp, upsert
+from .upsert import merged_content, staged, stamp, upsert
 
 __all__ = [
     "audit_counts",
@@ -47,7 +47,6 @@ __all__ = [
     "grain_check",
     "join_monthly",
     "latest",
-    "materialize",
     "merged_content",
     "metric_count",
     "monthly_mart",
@@ -58,6 +57,7 @@ __all__ = [
     "range_violations",
     "rolling_accumulation",
     "rolling_window",
+    "staged",
     "stamp",
     "table_counts",
     "typed_series",

@@ -16,8 +16,9 @@ rewrites only the partitions the source touches:
 
 An unpartitioned target is replaced whole; its new content is first written
 to a folder under the checkpoint root, since a job cannot overwrite the path
-it reads. Pass a materialized source when it is expensive to recompute (the
-layer jobs stage theirs): on a lost executor, tasks recompute from it.
+it reads, and that folder is deleted after the commit. Pass a staged source
+when it is expensive to recompute (the layer jobs stage theirs): on a lost
+executor, tasks recompute from it.
 
 Matched keys update every column, unmatched keys are inserted, nothing is
 deleted. Unlike a transactional MERGE, readers may see the touched
@@ -26,21 +27,31 @@ partitions change one after another at commit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.operators.quality import duplicate_keys
-from ratecraft.session import scratch_dir
+from ratecraft.session import remove_path, scratch_dir
 from ratecraft.sources.tables import is_path, read_table, table_exists
 
 
-def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to a fresh folder under the checkpoint root and read it back."""
+@contextmanager
+def staged(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written once to a fresh folder under the checkpoint root, read back.
+
+    The folder is deleted when the block ends, so repeated runs do not
+    accumulate staging output. Leave the block only after every job that
+    reads the staged copy has committed.
+    """
     path = scratch_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        remove_path(spark, path)
 
 
 def _write(df: DataFrame, target: str, partition_by: Sequence[str], dynamic: bool) -> None:
@@ -93,7 +104,8 @@ def upsert(
     if partition_by:
         _write(merged, target, partition_by, dynamic=True)
     else:
-        _write(materialize(spark, merged, "upsert").select(current.columns), target, (), dynamic=False)
+        with staged(spark, merged, "upsert") as content:
+            _write(content.select(current.columns), target, (), dynamic=False)
     return "merged"
 
 

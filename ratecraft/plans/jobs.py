@@ -3,12 +3,14 @@
 Each layer stages its result once under the checkpoint root, validates the
 staged copy, and only then upserts it. Staging means the plan is computed
 once (not once per check), and a lost executor recomputes from staged files
-instead of from the raw landing.
+instead of from the raw landing. The staging folders are deleted once the
+upserts have committed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,7 @@ from ratecraft.functions.parsing import year_of
 from ratecraft.operators.conform import conform
 from ratecraft.operators.mart import monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
-from ratecraft.operators.upsert import materialize, stamp, upsert
+from ratecraft.operators.upsert import staged, stamp, upsert
 from ratecraft.sources.raw import read_bronze
 from ratecraft.sources.tables import read_table
 from ratecraft.specs import WINDOW_MONTHS, SeriesSpec, gold_rules, silver_rules
@@ -54,23 +56,26 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
     Every validation runs before the first write, so one bad series blocks
     all of them.
     """
-    staged = {
-        spec.name: materialize(spark, silver_content(read_bronze(spark, spec), spec), f"silver-{spec.name}")
-        for spec in specs
-    }
-    for spec in specs:
-        validate(staged[spec.name], silver_rules(spec))
-    return {
-        spec.name: upsert(
-            spark,
-            stamp(staged[spec.name], "silver_updated_at"),
-            spec.silver,
-            keys=spec.business_key,
-            partition_by=(PARTITION_COLUMN,),
-            check_unique=False,  # validated above
-        )
-        for spec in specs
-    }
+    with ExitStack() as stack:
+        content = {
+            spec.name: stack.enter_context(
+                staged(spark, silver_content(read_bronze(spark, spec), spec), f"silver-{spec.name}")
+            )
+            for spec in specs
+        }
+        for spec in specs:
+            validate(content[spec.name], silver_rules(spec))
+        return {
+            spec.name: upsert(
+                spark,
+                stamp(content[spec.name], "silver_updated_at"),
+                spec.silver,
+                keys=spec.business_key,
+                partition_by=(PARTITION_COLUMN,),
+                check_unique=False,  # validated above
+            )
+            for spec in specs
+        }
 
 
 def build_mart(spark: SparkSession, mart: MartSpec) -> DataFrame:
@@ -92,16 +97,16 @@ def run_mart(spark: SparkSession, mart: MartSpec) -> str:
     """Gold job: build, stage, validate, upsert by (keys, month)."""
     nominal, reference = mart.names
     content = build_mart(spark, mart).withColumn(PARTITION_COLUMN, year_of("reference_month"))
-    staged = materialize(spark, content, "gold")
-    validate(staged, gold_rules(mart.keys, nominal, reference))
-    return upsert(
-        spark,
-        stamp(staged, "gold_updated_at"),
-        mart.gold,
-        keys=[*mart.keys, "reference_month"],
-        partition_by=(PARTITION_COLUMN,),
-        check_unique=False,
-    )
+    with staged(spark, content, "gold") as gold:
+        validate(gold, gold_rules(mart.keys, nominal, reference))
+        return upsert(
+            spark,
+            stamp(gold, "gold_updated_at"),
+            mart.gold,
+            keys=[*mart.keys, "reference_month"],
+            partition_by=(PARTITION_COLUMN,),
+            check_unique=False,
+        )
 
 
 def run_layers(spark: SparkSession, specs: Sequence[SeriesSpec], mart: MartSpec) -> str:

@@ -67,3 +67,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/ratecraft/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system the session writes with."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,12 +3,14 @@
 import datetime as dt
 import time
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratecraft.operators import content_fingerprint, dropped_months, frame_gaps, monthly_rates, monthly_reference
 from ratecraft.plans.jobs import MartSpec, gold_view, run_conform, run_layers
+from ratecraft.session import checkpoint_root
 from ratecraft.sources import raw_contract, read_raw, read_table
 from ratecraft.specs import IPCA, SELIC
 from ratecraft.streaming import ingest_series
@@ -60,6 +62,18 @@ def test_five_years_golden_counts_and_rerun(spark, tmp_path):
     assert content_fingerprint(gold_view(spark, mart)).first() == before
 
 
+def test_staging_is_removed_after_the_upserts(spark, tmp_path):
+    _, selic, ipca, mart = layout(tmp_path)
+    scratch = Path(checkpoint_root(spark).removeprefix("file:")) / "ratecraft"
+    before = set(scratch.glob("*")) if scratch.exists() else set()
+    run_layers(spark, [selic, ipca], mart)
+    run_layers(spark, [selic, ipca], mart)
+    assert scratch.is_dir()  # staging was written here
+    left = {p.name for p in set(scratch.glob("*")) - before}
+    assert not {n for n in left if n.startswith(("silver-", "gold-", "upsert-"))}
+    assert gold_view(spark, mart).count() == 60
+
+
 def test_backfill_file_updates_and_adds(spark, tmp_path):
     root, selic, ipca, mart = layout(tmp_path)
     run_layers(spark, [selic, ipca], mart)
