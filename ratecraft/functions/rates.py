@@ -19,11 +19,11 @@ def _col(c: ColumnOrName) -> Column:
 
 def growth_factor(rate_pct: ColumnOrName) -> Column:
     """``1 + r/100`` as a double."""
-    return F.lit(1.0) + _col(rate_pct).cast("double") / F.lit(100.0)
+    return _col(rate_pct).cast("double") / 100.0 + 1.0
 
 
 def _from_log_sum(log_sum: Column) -> Column:
-    return (F.exp(log_sum) - F.lit(1.0)) * F.lit(100.0)
+    return (F.exp(log_sum) - 1.0) * 100.0
 
 
 def compound(rate_pct: ColumnOrName) -> Column:
@@ -51,4 +51,4 @@ def real_rate(nominal_pct: ColumnOrName, inflation_pct: ColumnOrName) -> Column:
     NULL when the inflation factor is zero (a -100 % price change).
     """
     ratio = F.try_divide(growth_factor(nominal_pct), growth_factor(inflation_pct))
-    return (ratio - F.lit(1.0)) * F.lit(100.0)
+    return (ratio - 1.0) * 100.0

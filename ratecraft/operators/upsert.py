@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.operators.quality import duplicate_keys
 from ratecraft.session import remove_path, scratch_dir
-from ratecraft.sources.tables import is_path, read_table, table_exists
+from ratecraft.sources.tables import is_path, try_read_table
 
 
 @contextmanager
@@ -96,10 +96,10 @@ def upsert(
     """
     if check_unique and not duplicate_keys(source, keys).isEmpty():
         raise ValueError(f"upsert source has duplicate keys {list(keys)}")
-    if not table_exists(spark, target):
+    current = try_read_table(spark, target)
+    if current is None:
         _write(source, target, partition_by, dynamic=False)
         return "created"
-    current = read_table(spark, target)
     merged = merged_content(current, source, keys, partition_by)
     if partition_by:
         _write(merged, target, partition_by, dynamic=True)

@@ -34,6 +34,10 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.session.timeZone": "UTC",
+        # No Python call-site capture around every DataFrame/Column call: it
+        # costs five JVM round trips per call while building a plan and only
+        # adds the Python line to error messages.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     conf.update(extra or {})
     for key, value in conf.items():

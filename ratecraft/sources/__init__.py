@@ -11,7 +11,7 @@ from .raw import (
     read_raw,
     series_range,
 )
-from .tables import read_driver_table, read_table, table_exists
+from .tables import read_driver_table, read_input, read_table, table_exists, try_read_table
 
 __all__ = [
     "BRONZE_COLUMNS",
@@ -22,8 +22,10 @@ __all__ = [
     "raw_contract",
     "read_bronze",
     "read_driver_table",
+    "read_input",
     "read_raw",
     "read_table",
     "series_range",
     "table_exists",
+    "try_read_table",
 ]

@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+# Schemas of read-only input tables, by path. Spark infers a parquet schema
+# with a footer-reading job on every read; input tables do not change, so it
+# is inferred once per process and passed to later reads (as a catalog table
+# would supply it).
+_INPUT_SCHEMAS: dict[str, StructType] = {}
 
 
 def is_path(ref: str) -> bool:
@@ -15,17 +22,31 @@ def read_table(spark: SparkSession, ref: str) -> DataFrame:
     return spark.read.parquet(ref) if is_path(ref) else spark.table(ref)
 
 
-def table_exists(spark: SparkSession, ref: str) -> bool:
-    """True when the table exists and has a schema (an empty folder does not count)."""
+def try_read_table(spark: SparkSession, ref: str) -> DataFrame | None:
+    """The table, or None when it does not exist (an empty folder does not count)."""
     if not is_path(ref):
-        return spark.catalog.tableExists(ref)
+        return spark.table(ref) if spark.catalog.tableExists(ref) else None
     try:
-        spark.read.parquet(ref).schema
-        return True
+        return spark.read.parquet(ref)
     except AnalysisException:
-        return False
+        return None
+
+
+def table_exists(spark: SparkSession, ref: str) -> bool:
+    """True when the table exists and has a schema."""
+    return try_read_table(spark, ref) is not None
+
+
+def read_input(spark: SparkSession, path: str) -> DataFrame:
+    """A read-only parquet input; its schema is inferred on the first read only."""
+    schema = _INPUT_SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _INPUT_SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_driver_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of a test-data folder (``<dir>/<name>.parquet``)."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    return read_input(spark, f"{base_dir.rstrip('/')}/{name}.parquet")
