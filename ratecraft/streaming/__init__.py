@@ -1,5 +1,19 @@
 """Structured Streaming: incremental file ingest into Bronze."""
 
-from .ingest import ingest_series, read_raw_stream, run_ingest, write_append_stream
+from .ingest import (
+    ingest_series,
+    read_raw_stream,
+    run_ingest,
+    start_append_stream,
+    start_ingest,
+    write_append_stream,
+)
 
-__all__ = ["ingest_series", "read_raw_stream", "run_ingest", "write_append_stream"]
+__all__ = [
+    "ingest_series",
+    "read_raw_stream",
+    "run_ingest",
+    "start_append_stream",
+    "start_ingest",
+    "write_append_stream",
+]

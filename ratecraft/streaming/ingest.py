@@ -37,11 +37,10 @@ def read_raw_stream(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
     return reader.load(landing_glob(spec)).select(bronze_projection(spec))
 
 
-def write_append_stream(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append everything available to ``target``, then stop; blocks until done.
+def start_append_stream(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Start appending everything available to ``target``; the query stops when drained.
 
     ``target`` is a storage path (parquet sink) or a catalog table name.
-    A failure inside the stream is raised here.
     """
     writer = (
         df.writeStream.format("parquet")
@@ -49,18 +48,58 @@ def write_append_stream(df: DataFrame, target: str, checkpoint: str) -> Streamin
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    query = writer.start(target) if is_path(target) else writer.toTable(target)
+    return writer.start(target) if is_path(target) else writer.toTable(target)
+
+
+def write_append_stream(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append everything available to ``target``, then stop; blocks until done.
+
+    A failure inside the stream is raised here.
+    """
+    query = start_append_stream(df, target, checkpoint)
     query.awaitTermination()
     return query
 
 
-def ingest_series(spark: SparkSession, spec: SeriesSpec) -> StreamingQuery:
-    """Ingest one series (its own landing folder, checkpoint and Bronze table)."""
+def _checked(spec: SeriesSpec) -> SeriesSpec:
     if not (spec.landing and spec.bronze and spec.checkpoint):
         raise ValueError(f"series {spec.name!r} has no landing/bronze/checkpoint location")
-    return write_append_stream(read_raw_stream(spark, spec), spec.bronze, spec.checkpoint)
+    return spec
+
+
+def start_ingest(spark: SparkSession, spec: SeriesSpec) -> StreamingQuery:
+    """Start ingesting one series (its own landing folder, checkpoint and Bronze table)."""
+    spec = _checked(spec)
+    return start_append_stream(read_raw_stream(spark, spec), spec.bronze, spec.checkpoint)
+
+
+def ingest_series(spark: SparkSession, spec: SeriesSpec) -> StreamingQuery:
+    """Ingest one series and wait until its available files are drained."""
+    query = start_ingest(spark, spec)
+    query.awaitTermination()
+    return query
 
 
 def run_ingest(spark: SparkSession, specs: Iterable[SeriesSpec]) -> list[StreamingQuery]:
-    """Bronze job: every registered series, one after the other."""
-    return [ingest_series(spark, spec) for spec in specs]
+    """Bronze job: every registered series at once, then wait for all of them.
+
+    The streams share the cluster, so many small series do not queue behind
+    each other. Each has its own checkpoint, so a failed series does not
+    affect the others; the first failure is raised once every stream has
+    stopped.
+    """
+    started: list[StreamingQuery] = []
+    failures: list[BaseException] = []
+    for spec in specs:
+        try:
+            started.append(start_ingest(spark, spec))
+        except Exception as exc:  # a stream that cannot start (e.g. no landing folder)
+            failures.append(exc)
+    for query in started:
+        try:
+            query.awaitTermination()
+        except Exception as exc:
+            failures.append(exc)
+    if failures:
+        raise failures[0]
+    return started

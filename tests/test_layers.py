@@ -153,3 +153,15 @@ def test_many_series_windows_do_not_leak(spark, tmp_path):
     assert set(per) == {"alpha", "beta", "gamma"}
     assert all(nulls == 11 for _, nulls in per.values())
     assert per["alpha"][0] == 60 and per["gamma"][0] < 60
+
+
+def test_ingest_runs_every_series_and_raises_after(spark, tmp_path):
+    root = tmp_path / "lake"
+    selic = SELIC.located(str(root))
+    missing = IPCA.located(str(root))  # its landing folder is never created
+    write_raw(root / "landing" / "selic", "selic.json", daily_records(FIVE_YEARS_DAYS[:30]))
+    from ratecraft.streaming import run_ingest
+
+    with pytest.raises(Exception):
+        run_ingest(spark, [missing, selic])
+    assert read_table(spark, selic.bronze).count() == 30
