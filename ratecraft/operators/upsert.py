@@ -77,7 +77,9 @@ def merged_content(
     if partition_by:
         touched = source.select(*partition_by).distinct()
         target = target.join(touched, list(partition_by), "left_semi")
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    # a join on a key list puts the keys first; restore the target's order, since
+    # written files must keep one layout (and insertInto matches by position)
+    kept = target.join(source.select(*keys), keys, "left_anti").select(target.columns)
     return kept.unionByName(source)
 
 

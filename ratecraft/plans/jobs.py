@@ -20,7 +20,7 @@ from ratecraft.operators.conform import conform
 from ratecraft.operators.mart import monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import staged, stamp, upsert
-from ratecraft.sources.raw import read_bronze
+from ratecraft.sources.raw import BRONZE_SCHEMA, read_bronze
 from ratecraft.sources.tables import read_table
 from ratecraft.specs import WINDOW_MONTHS, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import run_ingest
@@ -78,6 +78,57 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
         }
 
 
+def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> str:
+    """Conform, stage, validate and upsert one set of Bronze records of a series."""
+    spark = bronze.sparkSession
+    with staged(spark, silver_content(bronze, spec), f"silver-{spec.name}") as content:
+        validate(content, silver_rules(spec))
+        return upsert(
+            spark,
+            stamp(content, "silver_updated_at"),
+            spec.silver,
+            keys=spec.business_key,
+            partition_by=(PARTITION_COLUMN,),
+            check_unique=False,  # validated above
+        )
+
+
+def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) -> None:
+    """Silver job that reads only the Bronze records added since its last run.
+
+    A file stream over each Bronze table (it lists the files Bronze's commit
+    log holds, and its own checkpoint remembers which it has read) hands
+    every new set of records to :func:`conform_batch`. This equals the full
+    recompute of :func:`run_conform`: Bronze is append-only and every ingest
+    batch is stamped later than all before it, so the newest record of a key
+    is either among the new records or already in Silver, and the upsert
+    keeps exactly that one. The cost of a run follows the new data, not the
+    history. A failed batch is not committed to the checkpoint and is redone
+    on the next run; the upsert makes the redo idempotent. Unlike
+    :func:`run_conform`, each series is gated on its own.
+    """
+    started = []
+    for spec in specs:
+        if not (spec.bronze and spec.silver and spec.silver_checkpoint):
+            raise ValueError(f"series {spec.name!r} has no bronze/silver/checkpoint location")
+        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(spec.bronze)
+        query = (
+            stream.writeStream.foreachBatch(lambda batch, _id, spec=spec: conform_batch(spec, batch))
+            .option("checkpointLocation", spec.silver_checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        started.append(query)
+    failures = []
+    for query in started:
+        try:
+            query.awaitTermination()
+        except Exception as exc:
+            failures.append(exc)
+    if failures:
+        raise failures[0]
+
+
 def build_mart(spark: SparkSession, mart: MartSpec) -> DataFrame:
     """Gold content from the two Silver tables (full recompute)."""
     nominal, reference = mart.names
@@ -109,10 +160,19 @@ def run_mart(spark: SparkSession, mart: MartSpec) -> str:
         )
 
 
-def run_layers(spark: SparkSession, specs: Sequence[SeriesSpec], mart: MartSpec) -> str:
-    """Bronze, then Silver, then Gold; a failing layer stops the later ones."""
+def run_layers(
+    spark: SparkSession, specs: Sequence[SeriesSpec], mart: MartSpec, incremental: bool = False
+) -> str:
+    """Bronze, then Silver, then Gold; a failing layer stops the later ones.
+
+    ``incremental`` conforms only the Bronze records added since the last
+    run (:func:`run_conform_incremental`) instead of all of Bronze.
+    """
     run_ingest(spark, specs)
-    run_conform(spark, specs)
+    if incremental:
+        run_conform_incremental(spark, specs)
+    else:
+        run_conform(spark, specs)
     return run_mart(spark, mart)
 
 
@@ -126,7 +186,9 @@ __all__ = [
     "PARTITION_COLUMN",
     "build_mart",
     "gold_view",
+    "conform_batch",
     "run_conform",
+    "run_conform_incremental",
     "run_layers",
     "run_mart",
     "silver_content",

@@ -45,6 +45,7 @@ class SeriesSpec:
     bronze: str | None = None
     silver: str | None = None
     checkpoint: str | None = None
+    silver_checkpoint: str | None = None
     multi_line: bool = True
     series_from_dir: bool = False
     max_files_per_trigger: int | None = None
@@ -66,6 +67,7 @@ class SeriesSpec:
             bronze=self.bronze or f"{root}/bronze/{self.name}",
             silver=self.silver or f"{root}/silver/{self.name}",
             checkpoint=self.checkpoint or f"{root}/checkpoints/bronze_{self.name}",
+            silver_checkpoint=self.silver_checkpoint or f"{root}/checkpoints/silver_{self.name}",
         )
 
 

@@ -165,3 +165,52 @@ def test_ingest_runs_every_series_and_raises_after(spark, tmp_path):
     with pytest.raises(Exception):
         run_ingest(spark, [missing, selic])
     assert read_table(spark, selic.bronze).count() == 30
+
+
+def _silver_and_gold(spark, selic, ipca, mart):
+    volatile = ["silver_updated_at", "ingestion_timestamp", "ingestion_date", "source_modified_at", "source_path"]
+    silver = content_fingerprint(read_table(spark, selic.silver), exclude=volatile).first()
+    reference = content_fingerprint(read_table(spark, ipca.silver), exclude=volatile).first()
+    gold = content_fingerprint(gold_view(spark, mart)).first()
+    return silver, reference, gold
+
+
+def test_incremental_silver_equals_full_recompute(spark, tmp_path):
+    results = {}
+    for incremental in (False, True):
+        root, selic, ipca, mart = layout(tmp_path / str(incremental))
+        run_layers(spark, [selic, ipca], mart, incremental=incremental)
+        first = _silver_and_gold(spark, selic, ipca, mart)
+        write_raw(
+            root / "landing" / "selic",
+            "selic_backfill_001.json",
+            [{"data": fmt(FIVE_YEARS_DAYS[0]), "valor": "0,099"}, {"data": fmt(dt.date(2025, 1, 2)), "valor": "0.05"}],
+        )
+        run_layers(spark, [selic, ipca], mart, incremental=incremental)
+        results[incremental] = (first, _silver_and_gold(spark, selic, ipca, mart))
+    assert results[True] == results[False]
+    (silver_1, _, _), (silver_2, _, _) = results[True]
+    assert silver_2.rows == silver_1.rows + 1  # one new day; the changed day is updated in place
+    assert silver_2.fingerprint != silver_1.fingerprint
+
+
+def test_incremental_silver_reads_only_new_bronze(spark, tmp_path):
+    from ratecraft.plans.jobs import run_conform_incremental
+    from ratecraft.streaming import run_ingest
+
+    root, selic, ipca, mart = layout(tmp_path)
+    run_ingest(spark, [selic, ipca])
+    run_conform_incremental(spark, [selic, ipca])
+    stamp_1 = read_table(spark, selic.silver).agg(F.max("silver_updated_at")).first()[0]
+    write_raw(root / "landing" / "selic", "selic_new.json", [{"data": fmt(dt.date(2025, 1, 2)), "valor": "0.05"}])
+    run_ingest(spark, [selic, ipca])
+    run_conform_incremental(spark, [selic, ipca])
+    silver = read_table(spark, selic.silver)
+    assert silver.count() == len(FIVE_YEARS_DAYS) + 1
+    # only the 2025 partition was rewritten; the older rows keep their first load time
+    later = silver.where(F.col("silver_updated_at") > F.lit(stamp_1))
+    assert [r.reference_date for r in later.select("reference_date").collect()] == [dt.date(2025, 1, 2)]
+    # nothing new: a rerun changes nothing
+    before = content_fingerprint(silver).first()
+    run_conform_incremental(spark, [selic, ipca])
+    assert content_fingerprint(read_table(spark, selic.silver)).first() == before

@@ -60,3 +60,14 @@ def test_rows_leaving_the_source_stay(spark, tmp_path):
     upsert(spark, spark.createDataFrame([(1, 1.0, 2020), (2, 2.0, 2020)], SCHEMA), target, ["k"], ("part",))
     upsert(spark, spark.createDataFrame([(2, 9.0, 2020)], SCHEMA), target, ["k"], ("part",))
     assert read_table(spark, target).where(F.col("k") == 1).count() == 1
+
+
+def test_merge_keeps_the_target_column_order(spark, tmp_path):
+    # the key is not the leading column: a join on it must not reorder the written files
+    target = str(tmp_path / "t")
+    first = spark.createDataFrame([(1.0, "a", 2020), (2.0, "b", 2021)], "v double, k string, part int")
+    upsert(spark, first, target, ["k"], partition_by=("part",))
+    change = spark.createDataFrame([(3.0, "a", 2020)], "v double, k string, part int")
+    upsert(spark, change, target, ["k"], partition_by=("part",))
+    for folder in ("part=2020", "part=2021"):
+        assert spark.read.parquet(f"{target}/{folder}").columns == ["v", "k"]
