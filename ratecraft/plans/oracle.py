@@ -374,4 +374,6 @@ ORACLE_SQL: dict[str, str] = {
         FROM f
         WHERE date_diff('month', first_month_in_window, reference_month) + 1 <> months_in_window""",
     "layered_gold": _layered_gold(),
+    # two drops of files, the same Gold as one run over all of them
+    "layered_gold_incremental": _layered_gold(),
 }
