@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,17 +30,20 @@ def audit_counts(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> Data
 
 
 def grain_check(spark: SparkSession, mart: DataFrame, month_col: str = MONTH_KEY) -> DataFrame:
-    """Rows, distinct months, first and last month, as SQL over a temp view."""
-    view = f"grain_{uuid.uuid4().hex[:8]}"
-    mart.createOrReplaceTempView(view)
+    """Rows, distinct months, first and last month, as SQL over the mart.
+
+    The DataFrame is passed as a SQL argument: Spark registers it as a
+    temporary view for the analysis and drops the view afterwards.
+    """
     return spark.sql(
         f"""
         SELECT COUNT(*) AS total_rows,
                COUNT(DISTINCT {month_col}) AS distinct_months,
                MIN({month_col}) AS first_month,
                MAX({month_col}) AS last_month
-        FROM {view}
-        """
+        FROM {{mart}}
+        """,
+        mart=mart,
     )
 
 
