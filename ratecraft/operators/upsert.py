@@ -16,7 +16,9 @@ rewrites only the partitions the source touches:
 
 An unpartitioned target is replaced whole; its new content is first written
 to a folder under the checkpoint root, since a job cannot overwrite the path
-it reads, and that folder is deleted after the commit. Pass a staged source
+it reads, and that folder is deleted after the commit. A partitioned catalog
+table is staged the same way (only its touched partitions), since Spark
+refuses to overwrite a catalog table that the same job reads. Pass a staged source
 when it is expensive to recompute (the layer jobs stage theirs): on a lost
 executor, tasks recompute from it.
 
@@ -37,6 +39,8 @@ from ratecraft.operators.quality import duplicate_keys
 from ratecraft.session import remove_path, scratch_dir
 from ratecraft.sources.tables import is_path, try_read_table
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 @contextmanager
 def staged(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
@@ -54,6 +58,19 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame
         remove_path(spark, path)
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def _write(df: DataFrame, target: str, partition_by: Sequence[str], dynamic: bool) -> None:
     writer = df.write.mode("overwrite")
     if dynamic:
@@ -63,7 +80,10 @@ def _write(df: DataFrame, target: str, partition_by: Sequence[str], dynamic: boo
     if is_path(target):
         writer.parquet(target)
     elif dynamic:
-        df.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+        # insertInto ignores the writer option; only the session setting (or a
+        # table property) makes the overwrite replace just the touched partitions
+        with _session_conf(spark=df.sparkSession, key=OVERWRITE_MODE, value="dynamic"):
+            df.write.insertInto(target, overwrite=True)
     else:
         writer.format("parquet").saveAsTable(target)
 
@@ -71,16 +91,20 @@ def _write(df: DataFrame, target: str, partition_by: Sequence[str], dynamic: boo
 def merged_content(
     target: DataFrame, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of the touched partitions after the upsert, in the target's column order."""
+    """Rows of the touched partitions after the upsert, in the target's column order.
+
+    Joins on a column list put those columns first, so the target's order is
+    restored at the end: written files must keep one layout, and
+    ``insertInto`` matches columns by position.
+    """
     keys = list(keys)
-    source = source.select(target.columns)
+    columns = target.columns
+    source = source.select(columns)
     if partition_by:
         touched = source.select(*partition_by).distinct()
         target = target.join(touched, list(partition_by), "left_semi")
-    # a join on a key list puts the keys first; restore the target's order, since
-    # written files must keep one layout (and insertInto matches by position)
-    kept = target.join(source.select(*keys), keys, "left_anti").select(target.columns)
-    return kept.unionByName(source)
+    kept = target.join(source.select(*keys), keys, "left_anti")
+    return kept.select(columns).unionByName(source)
 
 
 def upsert(
@@ -103,8 +127,12 @@ def upsert(
         _write(source, target, partition_by, dynamic=False)
         return "created"
     merged = merged_content(current, source, keys, partition_by)
-    if partition_by:
+    if partition_by and is_path(target):
         _write(merged, target, partition_by, dynamic=True)
+    elif partition_by:
+        # a catalog table may not be overwritten by a job that reads it
+        with staged(spark, merged, "upsert") as content:
+            _write(content, target, partition_by, dynamic=True)
     else:
         with staged(spark, merged, "upsert") as content:
             _write(content.select(current.columns), target, (), dynamic=False)

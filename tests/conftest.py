@@ -17,7 +17,11 @@ def spark(tmp_path_factory):
         master="local[4]",
         app_name="ratecraft-tests",
         shuffle_partitions=8,
-        extra={"spark.driver.memory": "4g"},
+        extra={
+            "spark.driver.memory": "4g",
+            # catalog tables of the tests live in a temporary folder
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     # Tests only: give the session its own checkpoint folder when none is set.

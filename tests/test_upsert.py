@@ -71,3 +71,15 @@ def test_merge_keeps_the_target_column_order(spark, tmp_path):
     upsert(spark, change, target, ["k"], partition_by=("part",))
     for folder in ("part=2020", "part=2021"):
         assert spark.read.parquet(f"{target}/{folder}").columns == ["v", "k"]
+
+
+def test_catalog_table_target_upserts_only_touched_partitions(spark):
+    name = "upsert_catalog_target"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = spark.createDataFrame([(1.0, "a", 2020), (2.0, "b", 2021)], "v double, k string, part int")
+    assert upsert(spark, first, name, ["k"], partition_by=("part",)) == "created"
+    change = spark.createDataFrame([(3.0, "a", 2020), (4.0, "c", 2020)], "v double, k string, part int")
+    assert upsert(spark, change, name, ["k"], partition_by=("part",)) == "merged"
+    got = sorted((r.k, r.v, r.part) for r in spark.table(name).collect())
+    assert got == [("a", 3.0, 2020), ("b", 2.0, 2021), ("c", 4.0, 2020)]
+    spark.sql(f"DROP TABLE {name}")
