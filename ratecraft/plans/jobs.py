@@ -20,7 +20,7 @@ from ratecraft.operators.conform import conform
 from ratecraft.operators.mart import monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import staged, stamp, upsert
-from ratecraft.sources.raw import BRONZE_SCHEMA, read_bronze
+from ratecraft.sources.raw import read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table
 from ratecraft.specs import WINDOW_MONTHS, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import run_ingest
@@ -111,7 +111,7 @@ def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) ->
     for spec in specs:
         if not (spec.bronze and spec.silver and spec.silver_checkpoint):
             raise ValueError(f"series {spec.name!r} has no bronze/silver/checkpoint location")
-        stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(spec.bronze)
+        stream = read_bronze_stream(spark, spec)
         query = (
             stream.writeStream.foreachBatch(lambda batch, _id, spec=spec: conform_batch(spec, batch))
             .option("checkpointLocation", spec.silver_checkpoint)

@@ -8,6 +8,7 @@ from .raw import (
     landing_glob,
     raw_contract,
     read_bronze,
+    read_bronze_stream,
     read_raw,
     series_range,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "landing_glob",
     "raw_contract",
     "read_bronze",
+    "read_bronze_stream",
     "read_driver_table",
     "read_input",
     "read_raw",

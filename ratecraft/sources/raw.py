@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ratecraft.sources.tables import is_path
 from ratecraft.specs import SeriesSpec
 
 # Raw record: both fields are kept as strings; nothing is inferred.
@@ -89,8 +90,18 @@ def read_raw(spark: SparkSession, spec: SeriesSpec, path: str | None = None) ->
 
 def read_bronze(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
     """Bronze with its fixed schema: no footer inference, and a series whose
-    landing held no file reads as empty (and fails the not-empty rule)."""
-    return spark.read.schema(BRONZE_SCHEMA).parquet(spec.bronze)
+    landing held no file reads as empty (and fails the not-empty rule).
+    A catalog table supplies its own schema."""
+    if is_path(spec.bronze):
+        return spark.read.schema(BRONZE_SCHEMA).parquet(spec.bronze)
+    return spark.table(spec.bronze).select(BRONZE_COLUMNS)
+
+
+def read_bronze_stream(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
+    """Bronze as a stream of the records appended since the reader's checkpoint."""
+    if is_path(spec.bronze):
+        return spark.readStream.schema(BRONZE_SCHEMA).parquet(spec.bronze)
+    return spark.readStream.table(spec.bronze).select(BRONZE_COLUMNS)
 
 
 def raw_contract(records: DataFrame, data_col: str = "data_raw", value_col: str = "valor_raw") -> DataFrame:

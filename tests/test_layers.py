@@ -214,3 +214,26 @@ def test_incremental_silver_reads_only_new_bronze(spark, tmp_path):
     before = content_fingerprint(silver).first()
     run_conform_incremental(spark, [selic, ipca])
     assert content_fingerprint(read_table(spark, selic.silver)).first() == before
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_layers_with_catalog_tables(spark, tmp_path, incremental):
+    root = tmp_path / "lake"
+    tag = "inc" if incremental else "full"
+    tables = [f"{layer}_{s}_{tag}" for layer in ("bronze", "silver") for s in ("selic", "ipca")] + [f"gold_{tag}"]
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    selic = replace(SELIC, bronze=f"bronze_selic_{tag}", silver=f"silver_selic_{tag}").located(str(root))
+    ipca = replace(IPCA, bronze=f"bronze_ipca_{tag}", silver=f"silver_ipca_{tag}").located(str(root))
+    write_raw(root / "landing" / "selic", "selic.json", daily_records(FIVE_YEARS_DAYS))
+    write_raw(root / "landing" / "ipca", "ipca.json", monthly_records(FIVE_YEARS_MONTHS))
+    mart = MartSpec(nominal=selic, reference=ipca, gold=f"gold_{tag}")
+    run_layers(spark, [selic, ipca], mart, incremental=incremental)
+    run_layers(spark, [selic, ipca], mart, incremental=incremental)  # rerun: same rows
+    assert spark.table(f"bronze_selic_{tag}").count() == len(FIVE_YEARS_DAYS)
+    assert spark.table(f"silver_selic_{tag}").count() == len(FIVE_YEARS_DAYS)
+    gold = gold_view(spark, mart)
+    assert gold.count() == 60
+    assert gold.where(F.col("selic_accumulated_12m_pct").isNotNull()).count() == 49
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
