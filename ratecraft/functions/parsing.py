@@ -35,3 +35,23 @@ def month_of(date: ColumnOrName) -> Column:
 
 def year_of(date: ColumnOrName) -> Column:
     return F.year(_col(date))
+
+
+# Partition column per grain; each is derived from the key date, so a key
+# never changes partition.
+PARTITION_COLUMNS = {"year": "reference_year", "month": "partition_month", "day": "partition_day"}
+
+
+def partition_column(grain: str) -> str:
+    if grain not in PARTITION_COLUMNS:
+        raise ValueError(f"partition grain must be one of {sorted(PARTITION_COLUMNS)}, not {grain!r}")
+    return PARTITION_COLUMNS[grain]
+
+
+def partition_value(date: ColumnOrName, grain: str) -> Column:
+    """The partition of a key date: its year, its month (first day) or the day."""
+    partition_column(grain)
+    d = _col(date)
+    if grain == "year":
+        return year_of(d)
+    return month_of(d) if grain == "month" else d.cast("date")

@@ -15,17 +15,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecraft.functions.parsing import year_of
+from ratecraft.functions.parsing import PARTITION_COLUMNS, partition_column, partition_value
 from ratecraft.operators.conform import conform
 from ratecraft.operators.mart import monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import staged, stamp, upsert
 from ratecraft.sources.raw import read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table
-from ratecraft.specs import WINDOW_MONTHS, SeriesSpec, gold_rules, silver_rules
+from ratecraft.specs import WINDOW_MONTHS, YEAR, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import run_ingest
 
-PARTITION_COLUMN = "reference_year"
+PARTITION_COLUMN = PARTITION_COLUMNS[YEAR]  # the default partition column
 
 
 @dataclass(frozen=True)
@@ -39,6 +39,7 @@ class MartSpec:
     months: int = WINDOW_MONTHS
     nominal_name: str | None = None
     reference_name: str | None = None
+    partition_grain: str = YEAR  # YEAR or MONTH of reference_month
 
     @property
     def names(self) -> tuple[str, str]:
@@ -47,7 +48,9 @@ class MartSpec:
 
 def silver_content(bronze: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Conformed series plus its partition column."""
-    return conform(bronze, spec).withColumn(PARTITION_COLUMN, year_of(spec.key_column))
+    return conform(bronze, spec).withColumn(
+        partition_column(spec.partition_grain), partition_value(spec.key_column, spec.partition_grain)
+    )
 
 
 def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, str]:
@@ -71,7 +74,7 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
                 stamp(content[spec.name], "silver_updated_at"),
                 spec.silver,
                 keys=spec.business_key,
-                partition_by=(PARTITION_COLUMN,),
+                partition_by=(partition_column(spec.partition_grain),),
                 check_unique=False,  # validated above
             )
             for spec in specs
@@ -88,7 +91,7 @@ def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> str:
             stamp(content, "silver_updated_at"),
             spec.silver,
             keys=spec.business_key,
-            partition_by=(PARTITION_COLUMN,),
+            partition_by=(partition_column(spec.partition_grain),),
             check_unique=False,  # validated above
         )
 
@@ -147,7 +150,8 @@ def build_mart(spark: SparkSession, mart: MartSpec) -> DataFrame:
 def run_mart(spark: SparkSession, mart: MartSpec) -> str:
     """Gold job: build, stage, validate, upsert by (keys, month)."""
     nominal, reference = mart.names
-    content = build_mart(spark, mart).withColumn(PARTITION_COLUMN, year_of("reference_month"))
+    part = partition_column(mart.partition_grain)
+    content = build_mart(spark, mart).withColumn(part, partition_value("reference_month", mart.partition_grain))
     with staged(spark, content, "gold") as gold:
         validate(gold, gold_rules(mart.keys, nominal, reference))
         return upsert(
@@ -155,7 +159,7 @@ def run_mart(spark: SparkSession, mart: MartSpec) -> str:
             stamp(gold, "gold_updated_at"),
             mart.gold,
             keys=[*mart.keys, "reference_month"],
-            partition_by=(PARTITION_COLUMN,),
+            partition_by=(part,),
             check_unique=False,
         )
 
@@ -178,7 +182,7 @@ def run_layers(
 
 def gold_view(spark: SparkSession, mart: MartSpec) -> DataFrame:
     """The Gold table without load timestamps and partition helper."""
-    return read_table(spark, mart.gold).drop("gold_updated_at", PARTITION_COLUMN)
+    return read_table(spark, mart.gold).drop("gold_updated_at", partition_column(mart.partition_grain))
 
 
 __all__ = [

@@ -25,6 +25,7 @@ OUTPUT_SCALE = 8
 
 DAY = "day"
 MONTH = "month"
+YEAR = "year"
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,9 @@ class SeriesSpec:
     multi_line: bool = True
     series_from_dir: bool = False
     max_files_per_trigger: int | None = None
+    # Silver partition: YEAR, MONTH or DAY of the key date. An upsert rewrites
+    # whole partitions, so a large daily series should use MONTH or DAY.
+    partition_grain: str = YEAR
 
     @property
     def key_column(self) -> str:

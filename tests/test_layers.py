@@ -207,7 +207,7 @@ def test_incremental_silver_reads_only_new_bronze(spark, tmp_path):
     run_conform_incremental(spark, [selic, ipca])
     silver = read_table(spark, selic.silver)
     assert silver.count() == len(FIVE_YEARS_DAYS) + 1
-    # only the 2025 partition was rewritten; the older rows keep their first load time
+    # only the new record carries a new load time
     later = silver.where(F.col("silver_updated_at") > F.lit(stamp_1))
     assert [r.reference_date for r in later.select("reference_date").collect()] == [dt.date(2025, 1, 2)]
     # nothing new: a rerun changes nothing
@@ -237,3 +237,40 @@ def test_layers_with_catalog_tables(spark, tmp_path, incremental):
     assert gold.where(F.col("selic_accumulated_12m_pct").isNotNull()).count() == 49
     for t in tables:
         spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def _files_by_date(spark, path):
+    rows = spark.read.parquet(path).select("reference_date", F.col("_metadata.file_path").alias("f")).collect()
+    return {r.reference_date: r.f for r in rows}
+
+
+def test_finer_partitions_rewrite_only_touched_days(spark, tmp_path):
+    from ratecraft.specs import DAY as DAY_GRAIN, MONTH as MONTH_GRAIN
+
+    volatile = ["silver_updated_at", "ingestion_timestamp", "ingestion_date", "source_modified_at",
+                "source_path", "reference_year", "partition_day"]
+    results = {}
+    for grain in ("year", DAY_GRAIN):
+        root, selic, ipca, mart = layout(tmp_path / grain)
+        selic = replace(selic, partition_grain=grain)
+        mart = replace(mart, nominal=selic, partition_grain="year" if grain == "year" else MONTH_GRAIN)
+        run_layers(spark, [selic, ipca], mart, incremental=True)
+        before = _files_by_date(spark, selic.silver)
+        changed, new_day = FIVE_YEARS_DAYS[0], dt.date(2025, 1, 2)
+        write_raw(
+            root / "landing" / "selic",
+            "selic_backfill_001.json",
+            [{"data": fmt(changed), "valor": "0,099"}, {"data": fmt(new_day), "valor": "0.05"}],
+        )
+        run_layers(spark, [selic, ipca], mart, incremental=True)
+        after = _files_by_date(spark, selic.silver)
+        rewritten = {d for d, f in after.items() if before.get(d) != f}
+        results[grain] = (
+            content_fingerprint(read_table(spark, selic.silver), exclude=volatile).first(),
+            content_fingerprint(gold_view(spark, mart)).first(),
+            rewritten,
+        )
+    assert results["year"][:2] == results[DAY_GRAIN][:2]
+    assert results[DAY_GRAIN][2] == {changed, new_day}
+    # with year partitions the whole touched years are rewritten
+    assert results["year"][2] == {d for d in after if d.year in (changed.year, new_day.year)}
