@@ -72,6 +72,11 @@ def _session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 def _write(df: DataFrame, target: str, partition_by: Sequence[str], dynamic: bool) -> None:
+    if partition_by:
+        # Cluster rows by partition before writing: otherwise every task writes
+        # a file into every partition it holds (tasks x partitions files).
+        # REBALANCE lets AQE split a skewed partition and merge small ones.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -83,3 +83,17 @@ def test_catalog_table_target_upserts_only_touched_partitions(spark):
     got = sorted((r.k, r.v, r.part) for r in spark.table(name).collect())
     assert got == [("a", 3.0, 2020), ("b", 2.0, 2021), ("c", 4.0, 2020)]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_partitioned_write_makes_one_file_per_partition(spark, tmp_path):
+    import glob
+
+    target = str(tmp_path / "t")
+    rows = [(i, float(i), 2000 + i % 5) for i in range(2000)]
+    first = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    upsert(spark, first, target, ["k"], partition_by=("part",))
+    change = spark.createDataFrame([(i, -1.0, 2000 + i % 5) for i in range(0, 2000, 7)], SCHEMA).repartition(8)
+    upsert(spark, change, target, ["k"], partition_by=("part",))
+    for year in range(2000, 2005):
+        assert len(glob.glob(f"{target}/part={year}/*.parquet")) == 1
+    assert read_table(spark, target).count() == 2000
