@@ -23,7 +23,7 @@ from ratecraft.operators.upsert import staged, stamp, upsert
 from ratecraft.sources.raw import read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table
 from ratecraft.specs import WINDOW_MONTHS, YEAR, SeriesSpec, gold_rules, silver_rules
-from ratecraft.streaming.ingest import run_ingest
+from ratecraft.streaming.ingest import await_all, run_ingest
 
 PARTITION_COLUMN = PARTITION_COLUMNS[YEAR]  # the default partition column
 
@@ -122,14 +122,7 @@ def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) ->
             .start()
         )
         started.append(query)
-    failures = []
-    for query in started:
-        try:
-            query.awaitTermination()
-        except Exception as exc:
-            failures.append(exc)
-    if failures:
-        raise failures[0]
+    await_all(started)
 
 
 def build_mart(spark: SparkSession, mart: MartSpec) -> DataFrame:

@@ -1,6 +1,7 @@
 """Structured Streaming: incremental file ingest into Bronze."""
 
 from .ingest import (
+    await_all,
     ingest_series,
     read_raw_stream,
     run_ingest,
@@ -10,6 +11,7 @@ from .ingest import (
 )
 
 __all__ = [
+    "await_all",
     "ingest_series",
     "read_raw_stream",
     "run_ingest",

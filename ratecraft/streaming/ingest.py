@@ -80,6 +80,18 @@ def ingest_series(spark: SparkSession, spec: SeriesSpec) -> StreamingQuery:
     return query
 
 
+def await_all(queries: Iterable[StreamingQuery], failures: list[BaseException] | None = None) -> None:
+    """Wait until every query has stopped, then raise the first failure, if any."""
+    failures = list(failures or [])
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except Exception as exc:
+            failures.append(exc)
+    if failures:
+        raise failures[0]
+
+
 def run_ingest(spark: SparkSession, specs: Iterable[SeriesSpec]) -> list[StreamingQuery]:
     """Bronze job: every registered series at once, then wait for all of them.
 
@@ -95,11 +107,5 @@ def run_ingest(spark: SparkSession, specs: Iterable[SeriesSpec]) -> list[Streami
             started.append(start_ingest(spark, spec))
         except Exception as exc:  # a stream that cannot start (e.g. no landing folder)
             failures.append(exc)
-    for query in started:
-        try:
-            query.awaitTermination()
-        except Exception as exc:
-            failures.append(exc)
-    if failures:
-        raise failures[0]
+    await_all(started, failures)
     return started
