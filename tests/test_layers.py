@@ -274,3 +274,26 @@ def test_finer_partitions_rewrite_only_touched_days(spark, tmp_path):
     assert results[DAY_GRAIN][2] == {changed, new_day}
     # with year partitions the whole touched years are rewritten
     assert results["year"][2] == {d for d in after if d.year in (changed.year, new_day.year)}
+
+
+def test_max_files_per_trigger_splits_the_drain_and_the_later_batch_wins(spark, tmp_path):
+    from ratecraft.plans.jobs import silver_content
+
+    root = tmp_path / "lake"
+    selic = replace(SELIC, max_files_per_trigger=1).located(str(root))
+    landing = root / "landing" / "selic"
+    days = FIVE_YEARS_DAYS[:10]
+    # oldest first by modification time: the stream reads files in that order
+    write_raw(landing, "a.json", daily_records(days[:5]), mtime=1_700_000_000)
+    write_raw(landing, "b.json", daily_records(days[5:]), mtime=1_700_000_100)
+    write_raw(landing, "c.json", [{"data": fmt(days[0]), "valor": "0.0999"}], mtime=1_700_000_200)
+    query = ingest_series(spark, selic)
+    batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
+    assert [p["numInputRows"] for p in batches] == [5, 5, 1]
+    bronze = read_table(spark, selic.bronze)
+    assert bronze.count() == 11
+    assert bronze.select("ingestion_timestamp").distinct().count() == 3
+    silver = silver_content(bronze, selic)
+    assert silver.count() == 10
+    first = silver.where(F.col("reference_date") == F.lit(days[0])).first()
+    assert first.source_file == "c.json" and float(first.selic_daily_pct) == pytest.approx(0.0999)
