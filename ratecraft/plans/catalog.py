@@ -366,7 +366,7 @@ def q_frame_gaps(spark: SparkSession, d: str) -> DataFrame:
     return frame_gaps(monthly, keys=["o_orderstatus"])
 
 
-def _layer_specs(root: str) -> tuple[SeriesSpec, SeriesSpec, MartSpec]:
+def _layer_specs(root: str, incremental: bool = False) -> tuple[SeriesSpec, SeriesSpec, MartSpec]:
     rates = SeriesSpec(
         name="rates", grain=DAY, rate_column="nominal_daily_pct", rate_min=-5, rate_max=10,
         multi_line=False, series_from_dir=True,
@@ -378,6 +378,7 @@ def _layer_specs(root: str) -> tuple[SeriesSpec, SeriesSpec, MartSpec]:
     mart = MartSpec(
         nominal=rates, reference=reference, gold=f"{root}/gold",
         keys=("series_name",), nominal_name="nominal", reference_name="inflation",
+        checkpoint=f"{root}/checkpoints/gold" if incremental else None,
     )
     return rates, reference, mart
 
@@ -431,14 +432,15 @@ def q_layered_gold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_layered_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
-    """The same chain over two drops of files, Silver reading only new Bronze.
+    """The same chain over two drops of files, each layer doing only new work.
 
     The first drop holds the days before ``INCREMENT_FROM``, the second the
     rest; after each drop the layers run, the second time conforming only
-    the records the second drop added. The Gold table equals one run over
-    all files (``layered_gold``).
+    the records the second drop added and recomputing only the Gold months
+    they can affect. The Gold table equals one run over all files
+    (``layered_gold``).
     """
-    rates, reference, mart = _layer_specs(scratch_dir(spark, "layers-inc"))
+    rates, reference, mart = _layer_specs(scratch_dir(spark, "layers-inc"), incremental=True)
     cut = F.lit(INCREMENT_FROM).cast("date")
     _land_reference(spark, d, reference)
     _land_rates(spark, d, rates, F.col("l_shipdate") < cut)

@@ -9,20 +9,24 @@ upserts have committed.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from contextlib import ExitStack
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from ratecraft.functions.parsing import PARTITION_COLUMNS, partition_column, partition_value
+from ratecraft.functions.parsing import PARTITION_COLUMNS, month_of, partition_column, partition_value
 from ratecraft.operators.conform import conform
-from ratecraft.operators.mart import monthly_mart, monthly_rates, monthly_reference
+from ratecraft.operators.mart import MONTH_KEY, monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import staged, stamp, upsert
 from ratecraft.sources.raw import read_bronze, read_bronze_stream
-from ratecraft.sources.tables import read_table
-from ratecraft.specs import WINDOW_MONTHS, YEAR, SeriesSpec, gold_rules, silver_rules
+from ratecraft.sources.tables import read_table, try_read_table
+from ratecraft.session import ensure_dir
+from ratecraft.specs import WINDOW_MONTHS, YEAR, RuleSet, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import await_all, run_ingest
 
 PARTITION_COLUMN = PARTITION_COLUMNS[YEAR]  # the default partition column
@@ -40,6 +44,7 @@ class MartSpec:
     nominal_name: str | None = None
     reference_name: str | None = None
     partition_grain: str = YEAR  # YEAR or MONTH of reference_month
+    checkpoint: str | None = None  # stream checkpoint of the incremental Gold job
 
     @property
     def names(self) -> tuple[str, str]:
@@ -82,11 +87,17 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
 
 
 def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> str:
-    """Conform, stage, validate and upsert one set of Bronze records of a series."""
+    """Conform, stage, validate and upsert one set of Bronze records of a series.
+
+    After the upsert has committed, the touched (series, month) pairs are
+    appended to the series' change log, so Gold never sees a change before
+    its data. A batch redone after a failure may append them twice, which
+    is harmless.
+    """
     spark = bronze.sparkSession
     with staged(spark, silver_content(bronze, spec), f"silver-{spec.name}") as content:
         validate(content, silver_rules(spec))
-        return upsert(
+        outcome = upsert(
             spark,
             stamp(content, "silver_updated_at"),
             spec.silver,
@@ -94,6 +105,10 @@ def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> str:
             partition_by=(partition_column(spec.partition_grain),),
             check_unique=False,  # validated above
         )
+        if spec.changes:
+            touched = content.select("series_name", month_of(spec.key_column).alias(MONTH_KEY)).distinct()
+            touched.write.mode("append").parquet(spec.changes)
+    return outcome
 
 
 def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) -> None:
@@ -125,11 +140,14 @@ def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) ->
     await_all(started)
 
 
-def build_mart(spark: SparkSession, mart: MartSpec) -> DataFrame:
-    """Gold content from the two Silver tables (full recompute)."""
+def build_mart(
+    spark: SparkSession, mart: MartSpec, daily: DataFrame | None = None, monthly: DataFrame | None = None
+) -> DataFrame:
+    """Gold content from the two Silver tables (full recompute), or from the
+    given selections of them."""
     nominal, reference = mart.names
-    daily = read_table(spark, mart.nominal.silver)
-    monthly = read_table(spark, mart.reference.silver)
+    daily = read_table(spark, mart.nominal.silver) if daily is None else daily
+    monthly = read_table(spark, mart.reference.silver) if monthly is None else monthly
     return monthly_mart(
         monthly_rates(daily, mart.nominal.rate_column, keys=mart.keys, name=nominal),
         monthly_reference(monthly, mart.reference.rate_column, name=reference),
@@ -143,20 +161,116 @@ def build_mart(spark: SparkSession, mart: MartSpec) -> DataFrame:
 def run_mart(spark: SparkSession, mart: MartSpec) -> str:
     """Gold job: build, stage, validate, upsert by (keys, month)."""
     nominal, reference = mart.names
+    return _upsert_gold(spark, mart, build_mart(spark, mart), gold_rules(mart.keys, nominal, reference))
+
+
+def _upsert_gold(spark: SparkSession, mart: MartSpec, content: DataFrame, rules: RuleSet) -> str:
+    """Stage Gold rows with their partition column, validate them, upsert them."""
     part = partition_column(mart.partition_grain)
-    content = build_mart(spark, mart).withColumn(part, partition_value("reference_month", mart.partition_grain))
+    content = content.withColumn(part, partition_value(MONTH_KEY, mart.partition_grain))
     with staged(spark, content, "gold") as gold:
-        validate(gold, gold_rules(mart.keys, nominal, reference))
+        validate(gold, rules)
         return upsert(
             spark,
             stamp(gold, "gold_updated_at"),
             mart.gold,
-            keys=[*mart.keys, "reference_month"],
+            keys=[*mart.keys, MONTH_KEY],
             partition_by=(part,),
             check_unique=False,
         )
 
 
+CHANGES_SCHEMA = StructType(
+    [StructField("series_name", StringType(), True), StructField(MONTH_KEY, DateType(), True)]
+)
+
+
+def _from_partition(spec: SeriesSpec, first: dt.date) -> Column:
+    """Partitions holding dates from ``first`` on (prunes the scan)."""
+    grain = spec.partition_grain
+    return F.col(partition_column(grain)) >= partition_value(F.lit(first), grain)
+
+
+def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
+    """Recompute the Gold rows that a set of Silver changes can affect; upsert them.
+
+    ``changes`` holds (series_name, reference_month, side), side being
+    ``nominal`` or ``reference``. For each touched series, ``m0`` is its
+    first changed month; a changed reference month moves ``m0`` for every
+    series. Rows before ``m0`` keep their values. Rows from ``m0`` on are
+    recomputed from Silver read from ``start``, the month of the
+    ``months - 1``-th Gold row before ``m0``, so every 12-row frame is whole
+    and built from unrounded monthly values, as in the full recompute.
+    Without a Gold table yet, the whole mart is built.
+    """
+    spark = changes.sparkSession
+    current = try_read_table(spark, mart.gold)
+    if current is None:
+        return run_mart(spark, mart)
+    keys = list(mart.keys)
+    side, month = F.col("side"), F.col(MONTH_KEY)
+    m0 = changes.where(side == "nominal").groupBy(*keys).agg(F.min(month).alias("m0"))
+    reference_m0 = changes.where(side == "reference").agg(F.min(month)).first()[0]  # one value
+    if reference_m0 is not None:
+        # every series ever conformed (its change log), not only those in Gold
+        every = spark.read.schema(CHANGES_SCHEMA).parquet(mart.nominal.changes).select(*keys).distinct()
+        m0 = m0.unionByName(every.withColumn("m0", F.lit(reference_m0)))
+        m0 = m0.groupBy(*keys).agg(F.min("m0").alias("m0"))
+    earlier = current.select(*keys, MONTH_KEY).join(m0, keys).where(month < F.col("m0"))
+    by_recency = Window.partitionBy(*keys).orderBy(month.desc())
+    frame_start = (
+        earlier.select(*keys, MONTH_KEY, F.row_number().over(by_recency).alias("_back"))
+        .where(F.col("_back") < mart.months)
+        .groupBy(*keys)
+        .agg(F.min(month).alias("start"))
+    )
+    bounds = m0.join(frame_start, keys, "left").select(
+        *keys, "m0", F.coalesce("start", "m0").alias("start")
+    )
+    lowest = bounds.agg(F.min("start")).first()[0]  # one value
+    if lowest is None:
+        return None
+    daily = read_table(spark, mart.nominal.silver).where(_from_partition(mart.nominal, lowest))
+    daily = daily.join(bounds.select(*keys, "start"), keys).where(
+        month_of(mart.nominal.key_column) >= F.col("start")
+    )
+    monthly = read_table(spark, mart.reference.silver).where(_from_partition(mart.reference, lowest))
+    monthly = monthly.where(month >= F.lit(lowest))
+    content = build_mart(spark, mart, daily, monthly)
+    content = (
+        content.join(bounds.select(*keys, "m0"), keys)
+        .where(month >= F.col("m0"))
+        .select(content.columns)
+    )
+    return _upsert_gold(spark, mart, content, replace(gold_rules(mart.keys, *mart.names), not_empty=False))
+
+
+def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
+    """Gold job over the Silver change logs: only affected rows are recomputed.
+
+    A file stream over both series' change logs (its checkpoint remembers
+    what it read) hands each set of changes to :func:`refresh_gold`. Gold is
+    keyed by ``series_name`` here; the unkeyed mart uses :func:`run_mart`.
+    """
+    if tuple(mart.keys) != ("series_name",):
+        raise ValueError("incremental Gold needs keys ('series_name',)")
+    if not (mart.checkpoint and mart.nominal.changes and mart.reference.changes):
+        raise ValueError("incremental Gold needs a checkpoint and both change logs")
+    streams = []
+    for spec, side in ((mart.nominal, "nominal"), (mart.reference, "reference")):
+        ensure_dir(spark, spec.changes)
+        stream = spark.readStream.schema(CHANGES_SCHEMA).parquet(spec.changes)
+        streams.append(stream.withColumn("side", F.lit(side)))
+    query = (
+        streams[0].unionByName(streams[1])
+        .writeStream.foreachBatch(lambda batch, _id: refresh_gold(mart, batch))
+        .option("checkpointLocation", mart.checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    await_all([query])
+
+
 def run_layers(
     spark: SparkSession, specs: Sequence[SeriesSpec], mart: MartSpec, incremental: bool = False
 ) -> str:
@@ -166,10 +280,13 @@ def run_layers(
     run (:func:`run_conform_incremental`) instead of all of Bronze.
     """
     run_ingest(spark, specs)
-    if incremental:
-        run_conform_incremental(spark, specs)
-    else:
+    if not incremental:
         run_conform(spark, specs)
+        return run_mart(spark, mart)
+    run_conform_incremental(spark, specs)
+    if mart.checkpoint and tuple(mart.keys) == ("series_name",):
+        run_mart_incremental(spark, mart)
+        return "refreshed"
     return run_mart(spark, mart)
 
 
@@ -183,7 +300,10 @@ __all__ = [
     "PARTITION_COLUMN",
     "build_mart",
     "gold_view",
+    "CHANGES_SCHEMA",
     "conform_batch",
+    "refresh_gold",
+    "run_mart_incremental",
     "run_conform",
     "run_conform_incremental",
     "run_layers",

@@ -47,6 +47,9 @@ class SeriesSpec:
     silver: str | None = None
     checkpoint: str | None = None
     silver_checkpoint: str | None = None
+    # append-only log of (series_name, reference_month) touched by incremental
+    # Silver runs; the incremental Gold job reads it
+    changes: str | None = None
     multi_line: bool = True
     series_from_dir: bool = False
     max_files_per_trigger: int | None = None
@@ -72,6 +75,7 @@ class SeriesSpec:
             silver=self.silver or f"{root}/silver/{self.name}",
             checkpoint=self.checkpoint or f"{root}/checkpoints/bronze_{self.name}",
             silver_checkpoint=self.silver_checkpoint or f"{root}/checkpoints/silver_{self.name}",
+            changes=self.changes or f"{root}/changes/{self.name}",
         )
 
 

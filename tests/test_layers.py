@@ -297,3 +297,41 @@ def test_max_files_per_trigger_splits_the_drain_and_the_later_batch_wins(spark,
     assert silver.count() == 10
     first = silver.where(F.col("reference_date") == F.lit(days[0])).first()
     assert first.source_file == "c.json" and float(first.selic_daily_pct) == pytest.approx(0.0999)
+
+
+def test_incremental_gold_equals_full_recompute(spark, tmp_path):
+    steps = {}
+    for incremental in (False, True):
+        root, selic, ipca, mart = layout(tmp_path / f"gold-{incremental}")
+        mart = replace(mart, checkpoint=str(root / "checkpoints" / "gold"))
+        fingerprints, recomputed = [], None
+        run_layers(spark, [selic, ipca], mart, incremental=incremental)
+        fingerprints.append(content_fingerprint(gold_view(spark, mart)).first())
+        # a changed first day and a new day in a month without a reference value yet
+        write_raw(
+            root / "landing" / "selic",
+            "selic_backfill_001.json",
+            [{"data": fmt(FIVE_YEARS_DAYS[0]), "valor": "0,099"}, {"data": fmt(dt.date(2025, 1, 2)), "valor": "0.05"}],
+        )
+        run_layers(spark, [selic, ipca], mart, incremental=incremental)
+        fingerprints.append(content_fingerprint(gold_view(spark, mart)).first())
+        stamp_2 = read_table(spark, mart.gold).agg(F.max("gold_updated_at")).first()[0]
+        # a revised reference month and the missing month
+        write_raw(
+            root / "landing" / "ipca",
+            "ipca_revision_001.json",
+            [{"data": fmt(dt.date(2022, 6, 1)), "valor": "0.91"}, {"data": fmt(dt.date(2025, 1, 1)), "valor": "0.40"}],
+        )
+        run_layers(spark, [selic, ipca], mart, incremental=incremental)
+        fingerprints.append(content_fingerprint(gold_view(spark, mart)).first())
+        if incremental:
+            recomputed = {
+                r.reference_month
+                for r in read_table(spark, mart.gold).where(F.col("gold_updated_at") > F.lit(stamp_2)).collect()
+            }
+        steps[incremental] = (fingerprints, recomputed)
+    assert steps[True][0] == steps[False][0]
+    assert [f.rows for f in steps[True][0]] == [60, 60, 61]
+    months = steps[True][1]
+    assert min(months) == dt.date(2022, 6, 1) and max(months) == dt.date(2025, 1, 1)
+    assert len(months) == 32  # 2022-06 .. 2025-01; earlier rows kept their values
