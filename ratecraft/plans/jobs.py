@@ -207,6 +207,8 @@ def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
     current = try_read_table(spark, mart.gold)
     if current is None:
         return run_mart(spark, mart)
+    if not mart.keys:
+        return _refresh_single_series(spark, mart, current, changes)
     keys = list(mart.keys)
     side, month = F.col("side"), F.col(MONTH_KEY)
     m0 = changes.where(side == "nominal").groupBy(*keys).agg(F.min(month).alias("m0"))
@@ -245,15 +247,34 @@ def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
     return _upsert_gold(spark, mart, content, replace(gold_rules(mart.keys, *mart.names), not_empty=False))
 
 
+def _refresh_single_series(
+    spark: SparkSession, mart: MartSpec, current: DataFrame, changes: DataFrame
+) -> str | None:
+    """:func:`refresh_gold` for the unkeyed mart (all daily rows form one
+    series): the bounds are single values, found by two small aggregates."""
+    month = F.col(MONTH_KEY)
+    m0 = changes.agg(F.min(month)).first()[0]  # one value over both sides
+    if m0 is None:
+        return None
+    earlier = current.where(month < F.lit(m0)).orderBy(month.desc()).limit(mart.months - 1)
+    start = earlier.agg(F.min(month)).first()[0] or m0  # one value
+    daily = read_table(spark, mart.nominal.silver).where(_from_partition(mart.nominal, start))
+    daily = daily.where(month_of(mart.nominal.key_column) >= F.lit(start))
+    monthly = read_table(spark, mart.reference.silver).where(_from_partition(mart.reference, start))
+    monthly = monthly.where(month >= F.lit(start))
+    content = build_mart(spark, mart, daily, monthly).where(month >= F.lit(m0))
+    return _upsert_gold(spark, mart, content, replace(gold_rules(mart.keys, *mart.names), not_empty=False))
+
+
 def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
     """Gold job over the Silver change logs: only affected rows are recomputed.
 
     A file stream over both series' change logs (its checkpoint remembers
     what it read) hands each set of changes to :func:`refresh_gold`. Gold is
-    keyed by ``series_name`` here; the unkeyed mart uses :func:`run_mart`.
+    keyed by ``series_name`` or unkeyed (one national series).
     """
-    if tuple(mart.keys) != ("series_name",):
-        raise ValueError("incremental Gold needs keys ('series_name',)")
+    if tuple(mart.keys) not in ((), ("series_name",)):
+        raise ValueError("incremental Gold needs keys ('series_name',) or none")
     if not (mart.checkpoint and mart.nominal.changes and mart.reference.changes):
         raise ValueError("incremental Gold needs a checkpoint and both change logs")
     streams = []
@@ -284,7 +305,7 @@ def run_layers(
         run_conform(spark, specs)
         return run_mart(spark, mart)
     run_conform_incremental(spark, specs)
-    if mart.checkpoint and tuple(mart.keys) == ("series_name",):
+    if mart.checkpoint and tuple(mart.keys) in ((), ("series_name",)):
         run_mart_incremental(spark, mart)
         return "refreshed"
     return run_mart(spark, mart)

@@ -299,11 +299,12 @@ def test_max_files_per_trigger_splits_the_drain_and_the_later_batch_wins(spark,
     assert first.source_file == "c.json" and float(first.selic_daily_pct) == pytest.approx(0.0999)
 
 
-def test_incremental_gold_equals_full_recompute(spark, tmp_path):
+@pytest.mark.parametrize("keys", [("series_name",), ()])
+def test_incremental_gold_equals_full_recompute(spark, tmp_path, keys):
     steps = {}
     for incremental in (False, True):
         root, selic, ipca, mart = layout(tmp_path / f"gold-{incremental}")
-        mart = replace(mart, checkpoint=str(root / "checkpoints" / "gold"))
+        mart = replace(mart, keys=keys, checkpoint=str(root / "checkpoints" / "gold"))
         fingerprints, recomputed = [], None
         run_layers(spark, [selic, ipca], mart, incremental=incremental)
         fingerprints.append(content_fingerprint(gold_view(spark, mart)).first())
