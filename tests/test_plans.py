@@ -57,3 +57,25 @@ def test_no_python_udf_anywhere(spark, q):
         )
         assert "PythonUDF" not in formatted and "BatchEvalPython" not in formatted, name
         assert "CartesianProduct" not in formatted and "BroadcastNestedLoopJoin" not in formatted, name
+
+
+@pytest.mark.parametrize("grain,expected", [("year", "reference_year"), ("month", "partition_month"), ("day", "partition_day")])
+def test_incremental_gold_read_prunes_silver_partitions(spark, tmp_path, grain, expected):
+    import datetime as dt
+    from dataclasses import replace
+
+    from ratecraft.functions import partition_value
+    from ratecraft.plans.jobs import _from_partition
+    from ratecraft.specs import SELIC
+    from pyspark.sql import functions as F
+
+    spec = replace(SELIC, partition_grain=grain)
+    path = str(tmp_path / "silver")
+    days = spark.range(0, 800).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("reference_date"))
+    days.withColumn(expected, partition_value("reference_date", grain)).write.partitionBy(expected).parquet(path)
+    df = spark.read.parquet(path).where(_from_partition(spec, dt.date(2021, 6, 1)))
+    formatted = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PartitionFilters: [isnotnull(" + expected in formatted
+    assert df.agg(F.min("reference_date")).first()[0] >= dt.date(2021, 1, 1)
