@@ -149,3 +149,56 @@ def test_hot_key_with_a_third_of_rows_keeps_every_row_in_its_aggregate(spark):
     got = {r.k: r.n for r in counts.collect()}
     assert got["hot"] == n // 3
     assert sum(got.values()) == n
+
+
+# -- parsing: decimal(18,8) half-up, ',' as decimal mark, NULL on bad input ----
+
+from decimal import ROUND_HALF_UP, Decimal, InvalidOperation  # noqa: E402
+
+from ratecraft.functions import parse_date, parse_rate  # noqa: E402
+
+
+def expected_rate(text: str):
+    try:
+        value = Decimal(text.replace(",", "."))
+    except InvalidOperation:
+        return None
+    if not value.is_finite():
+        return None
+    rounded = value.quantize(Decimal("1e-8"), rounding=ROUND_HALF_UP)
+    return rounded if abs(rounded) < Decimal("1e10") else None
+
+
+rate_texts = st.one_of(
+    st.decimals(min_value="-99999999999", max_value="99999999999", places=10, allow_nan=False).map(
+        lambda d: format(d, "f")
+    ),
+    st.decimals(min_value="-100", max_value="100", places=6, allow_nan=False).map(
+        lambda d: format(d, "f").replace(".", ",")
+    ),
+    st.sampled_from(["1.234,56", "abc", "", "1,2,3", "--1", "0,0000000050", "0.000000005", "-0,000000005"]),
+)
+
+
+@SETTINGS
+@given(texts=st.lists(rate_texts, min_size=1, max_size=60))
+def test_parse_rate_matches_decimal_rounding(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", parse_rate("t").alias("v")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == expected_rate(t), (t, got[i])
+
+
+@SETTINGS
+@given(
+    days=st.lists(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2099, 12, 31)), min_size=1, max_size=40),
+    bad=st.lists(st.sampled_from(["31/02/2020", "2020-01-31", "1/2/2020", "00/01/2020", "xx", ""]), max_size=5),
+)
+def test_parse_date_round_trips_and_rejects(spark, days, bad):
+    texts = [d.strftime("%d/%m/%Y") for d in days] + bad
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.d for r in df.select("i", parse_date("t").alias("d")).collect()}
+    for i, d in enumerate(days):
+        assert got[i] == d
+    for i in range(len(days), len(texts)):
+        assert got[i] is None, texts[i]
