@@ -202,3 +202,45 @@ def test_parse_date_round_trips_and_rejects(spark, days, bad):
         assert got[i] == d
     for i in range(len(days), len(texts)):
         assert got[i] is None, texts[i]
+
+
+# -- quality report: one pass, counted per key then summed ---------------------
+
+from collections import Counter  # noqa: E402
+
+from ratecraft.operators import dq_report  # noqa: E402
+from ratecraft.specs import RuleSet  # noqa: E402
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.sampled_from([0, 0, 0, 1, 2, 3, 4])),  # 0 is a hot key
+            st.one_of(st.none(), st.integers(min_value=-5, max_value=15)),
+        ),
+        max_size=80,
+    ),
+    keyed=st.booleans(),
+)
+def test_dq_report_matches_brute_force(spark, rows, keyed):
+    rules = RuleSet(
+        dataset="t",
+        required=("k", "v"),
+        unique_key=("k",) if keyed else (),
+        ranges=(("v", 0, 10),),
+        positive=("v",),
+    )
+    df = spark.createDataFrame(rows, "k int, v int")
+    got = {r.rule: (r.checked, r.violations) for r in dq_report(df, rules).collect()}
+    n = len(rows)
+    want = {
+        "not_empty": (n, int(n == 0)),
+        "not_null(k,v)": (n, sum(k is None or v is None for k, v in rows)),
+        "in_range(v,0,10)": (n, sum(v is not None and not 0 <= v <= 10 for _, v in rows)),
+        "positive(v)": (n, sum(v is not None and v <= 0 for _, v in rows)),
+    }
+    if keyed:
+        per_key = Counter(k for k, _ in rows)  # NULL keys form one group, as in GROUP BY
+        want["unique_key(k)"] = (len(per_key), sum(c > 1 for c in per_key.values()))
+    assert got == want
