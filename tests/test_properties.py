@@ -244,3 +244,32 @@ def test_dq_report_matches_brute_force(spark, rows, keyed):
         per_key = Counter(k for k, _ in rows)  # NULL keys form one group, as in GROUP BY
         want["unique_key(k)"] = (len(per_key), sum(c > 1 for c in per_key.values()))
     assert got == want
+
+
+# -- upsert: the result equals a dictionary update by key ----------------------
+
+import uuid  # noqa: E402
+
+from ratecraft.operators import upsert  # noqa: E402
+from ratecraft.sources import read_table  # noqa: E402
+
+keyed_rows = st.dictionaries(
+    st.integers(min_value=0, max_value=40), st.integers(min_value=-100, max_value=100), max_size=30
+)
+
+
+@SETTINGS
+@given(target=keyed_rows, source=keyed_rows, partitioned=st.booleans())
+def test_upsert_matches_dictionary_update(spark, tmp_path, target, source, partitioned):
+    path = str(tmp_path / uuid.uuid4().hex)
+    schema = "v int, k int, part int"  # key not first; the partition follows from the key
+
+    def frame(d):
+        return spark.createDataFrame([(v, k, k // 10) for k, v in d.items()], schema)
+
+    parts = ("part",) if partitioned else ()
+    upsert(spark, frame(target), path, ["k"], partition_by=parts)
+    upsert(spark, frame(source), path, ["k"], partition_by=parts)
+    got = {r.k: (r.v, r.part) for r in read_table(spark, path).collect()}
+    want = {k: (v, k // 10) for k, v in {**target, **source}.items()}
+    assert got == want
