@@ -273,3 +273,31 @@ def test_upsert_matches_dictionary_update(spark, tmp_path, target, source, parti
     got = {r.k: (r.v, r.part) for r in read_table(spark, path).collect()}
     want = {k: (v, k // 10) for k, v in {**target, **source}.items()}
     assert got == want
+
+
+# -- frame gaps: 12-row frames that span more calendar months than rows --------
+
+from ratecraft.operators import frame_gaps  # noqa: E402
+
+
+@SETTINGS
+@given(
+    series=st.dictionaries(
+        st.sampled_from(["a", "b", "c"]),
+        st.sets(st.integers(min_value=0, max_value=40), min_size=1, max_size=30),
+        min_size=1,
+    )
+)
+def test_frame_gaps_matches_brute_force(spark, series):
+    rows = [(s, add_months(START, m)) for s, months in series.items() for m in months]
+    df = spark.createDataFrame(rows, "s string, reference_month date")
+    got = {(r.s, r.reference_month): (r.months_in_window, r.months_spanned) for r in frame_gaps(df, keys=["s"]).collect()}
+    want = {}
+    for s, months in series.items():
+        ordered = sorted(months)
+        for i, m in enumerate(ordered):
+            frame = ordered[max(0, i - 11) : i + 1]
+            spanned = m - frame[0] + 1
+            if spanned != len(frame):
+                want[(s, add_months(START, m))] = (len(frame), spanned)
+    assert got == want
