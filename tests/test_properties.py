@@ -301,3 +301,36 @@ def test_frame_gaps_matches_brute_force(spark, series):
             if spanned != len(frame):
                 want[(s, add_months(START, m))] = (len(frame), spanned)
     assert got == want
+
+
+# -- dropped months: what the inner join on month silently drops ---------------
+
+from ratecraft.operators import dropped_months  # noqa: E402
+
+
+@SETTINGS
+@given(
+    nominal=st.dictionaries(
+        st.sampled_from(["a", "b"]), st.sets(st.integers(min_value=0, max_value=20), min_size=1, max_size=15), min_size=1
+    ),
+    reference=st.sets(st.integers(min_value=0, max_value=20), max_size=15),
+)
+def test_dropped_months_matches_brute_force(spark, nominal, reference):
+    nom = spark.createDataFrame(
+        [(s, add_months(START, m), 1.0) for s, ms in nominal.items() for m in ms],
+        "series_name string, reference_month date, nominal_monthly_effective_pct double",
+    )
+    ref = spark.createDataFrame(
+        [(add_months(START, m), 0.5) for m in reference], "reference_month date, inflation_monthly_pct double"
+    )
+    got = [
+        (r.series_name, r.reference_month, r.side)
+        for r in dropped_months(nom, ref, keys=["series_name"]).collect()
+    ]
+    every_nominal = set().union(*nominal.values())
+    want = sorted(
+        [(s, add_months(START, m), "nominal_only") for s, ms in nominal.items() for m in ms if m not in reference]
+        + [(None, add_months(START, m), "reference_only") for m in reference if m not in every_nominal],
+        key=lambda t: (t[0] is None, t[0] or "", t[1], t[2]),
+    )
+    assert sorted(got, key=lambda t: (t[0] is None, t[0] or "", t[1], t[2])) == want
