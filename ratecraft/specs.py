@@ -53,6 +53,10 @@ class SeriesSpec:
     multi_line: bool = True
     series_from_dir: bool = False
     max_files_per_trigger: int | None = None
+    # Optional: move landed files here once their batch has committed, so the
+    # landing folder (listed on every run) stays small. Off by default: the
+    # landing then keeps every file, as in the source pipeline.
+    archive: str | None = None
     # Silver partition: YEAR, MONTH or DAY of the key date. An upsert rewrites
     # whole partitions, so a large daily series should use MONTH or DAY.
     partition_grain: str = YEAR

@@ -24,7 +24,9 @@ def read_raw_stream(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
 
     ``multiLine`` files (one JSON array per file) are one task each; large
     landings should arrive as many JSON-lines files instead, which split.
-    ``max_files_per_trigger`` bounds one micro-batch.
+    ``max_files_per_trigger`` bounds one micro-batch. With ``archive`` set,
+    files are moved out of the landing once their batch has committed
+    (best effort, done by Spark), so the listing does not grow forever.
     """
     reader = (
         spark.readStream.format("json")
@@ -34,6 +36,8 @@ def read_raw_stream(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
     )
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
+    if spec.archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", spec.archive)
     return reader.load(landing_glob(spec)).select(bronze_projection(spec))
 
 

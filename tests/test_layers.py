@@ -336,3 +336,19 @@ def test_incremental_gold_equals_full_recompute(spark, tmp_path, keys):
     months = steps[True][1]
     assert min(months) == dt.date(2022, 6, 1) and max(months) == dt.date(2025, 1, 1)
     assert len(months) == 32  # 2022-06 .. 2025-01; earlier rows kept their values
+
+
+def test_archive_moves_landed_files_and_ingest_continues(spark, tmp_path):
+    root = tmp_path / "lake"
+    selic = replace(SELIC, archive=str(tmp_path / "archive")).located(str(root))
+    landing = root / "landing" / "selic"
+    write_raw(landing, "a.json", daily_records(FIVE_YEARS_DAYS[:5]))
+    write_raw(landing, "b.json", daily_records(FIVE_YEARS_DAYS[5:8]))
+    ingest_series(spark, selic)
+    assert read_table(spark, selic.bronze).count() == 8
+    write_raw(landing, "c.json", daily_records(FIVE_YEARS_DAYS[8:10]))
+    ingest_series(spark, selic)
+    assert read_table(spark, selic.bronze).count() == 10
+    archived = {p.name for p in (tmp_path / "archive").rglob("*.json")}
+    assert {"a.json", "b.json"} <= archived
+    assert not (landing / "a.json").exists() and not (landing / "b.json").exists()
