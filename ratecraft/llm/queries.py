@@ -17,4 +17,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLES: dict[str, str] = {}
