@@ -6,8 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratecraft.llm.bpe import encode_documents
 from ratecraft.llm.common import read_table
+from ratecraft.llm.embedding_dedup import near_duplicates
 from ratecraft.llm.jaccard_join import jaccard_classes
+from ratecraft.llm.token_output import token_digest
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +37,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
+    "op8_token_output": op8_token_output,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
