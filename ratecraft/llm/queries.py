@@ -10,6 +10,7 @@ from ratecraft.llm.bpe import encode_documents
 from ratecraft.llm.common import read_table
 from ratecraft.llm.embedding_dedup import near_duplicates
 from ratecraft.llm.jaccard_join import jaccard_classes
+from ratecraft.llm import quality, toxicity
 from ratecraft.llm.token_output import token_digest
 
 
@@ -24,6 +25,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -38,6 +47,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op8_token_output": op8_token_output,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op10_jaccard_join": op10_jaccard_join,
