@@ -21,6 +21,7 @@ below one for 10^9 documents).
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -65,22 +66,26 @@ def scheme(band: int) -> tuple[int, int]:
     return m, need
 
 
+_EDGES = [RATIO**k for k in range(1, 100)]
+
+
 def band_of(size: int) -> int:
-    return int(np.searchsorted(np.array([RATIO**k for k in range(1, 100)]), size, "right"))
+    return bisect_right(_EDGES, size)
 
 
 def segment_keys(hashes: np.ndarray) -> np.ndarray:
     """Index keys of one set (distinct hashes, sorted), for its own band and the next."""
     band = band_of(len(hashes))
     out = []
+    high, mixed = hashes >> np.uint64(32), mix(hashes)
     for b in (band, band + 1):
         m, need = scheme(b)
-        segment = ((hashes >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-        at, start = np.unique(segment, return_index=True)
+        segment = (high * np.uint64(m)) >> np.uint64(32)
         # hashes are sorted, so segments are runs; a subset's value is a sum of mixed hashes
-        value = np.add.reduceat(mix(hashes), start)
-        place = mix(at + np.uint64(b << 40))
-        out.append(mix(value + place))
+        start = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
+        at = segment[start]
+        value = np.add.reduceat(mixed, start)
+        out.append(mix(value + (at + np.uint64(b << 40)) * np.uint64(0x9E3779B97F4A7C15)))
         if len(at) >= need:
             continue
         # second allocation: every segment (empty ones too), whole and with one deletion
@@ -89,7 +94,7 @@ def segment_keys(hashes: np.ndarray) -> np.ndarray:
         there = mix(np.arange(m, dtype=np.uint64) + np.uint64(b << 40) + np.uint64(1 << 60))
         out.append(mix(whole + there))
         seg = segment.astype(np.int64)
-        out.append(mix(whole[seg] - mix(hashes) + there[seg]))
+        out.append(mix(whole[seg] - mixed + there[seg]))
         if 2 * len(at) < need:
             out.append(mix(hashes + np.uint64(3 << 60) + np.uint64(b)))
     return np.concatenate(out)
@@ -162,15 +167,16 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _needed_sets(bloom: np.ndarray):
+    """(id, grams) of the documents that the filter may hold; the others aren't shingled."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
+            docs = b.column(0).fill_null(0).to_numpy()
+            b = b.filter(pa.array(bloom_has(bloom, docs) | np.asarray(b.column(0).is_null())))
             names, sets, n = [], [], 0
-            for _, s in shingle_sets(b.column(0)):
-                if not len(s):
-                    continue
-                name = digest(s)
-                if name in seen or not bloom_has(bloom, np.array([name], np.int64))[0]:
+            for _, s in shingle_sets(b.column(1)):
+                if not len(s) or (name := digest(s)) in seen:
                     continue
                 seen.add(name)
                 names.append(name)
@@ -219,17 +225,18 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         classes.filter("id is not null")
         .join(members.select("id").distinct(), "id", "left_semi")
         .groupBy("id")
-        .agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
+        .agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"))
     )
     traits = scratch.write(traits)
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        ids = scratch.write(ids)
+        ids = scratch.write(ids.join(traits.select("id", "doc_id"), "id"))
         n = ids.count()
         if not n:
             return pairs
-        sets = texts.mapInArrow(_needed_sets(bloom_of(ids, "id", n)), "id long, grams array<long>")
+        bloom = bloom_of(ids.filter("doc_id is not null"), "doc_id", n)
+        sets = docs.select("doc_id", "text").mapInArrow(_needed_sets(bloom), "id long, grams array<long>")
         sets = scratch.write(sets.join(ids, "id", "left_semi").groupBy("id").agg(F.first("grams").alias("grams")))
         left = sets.select(F.col("id").alias("u"), F.col("grams").alias("a"))
         right = sets.select(F.col("id").alias("v"), F.col("grams").alias("b"))
@@ -237,7 +244,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         met = pairs.join(left, "u").join(right, "v").withColumn("both", both)
         return met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v")
 
-    _, comps = link_buckets(members, traits, _plausible, verify, scratch)
+    _, comps = link_buckets(members, traits.drop("doc_id"), _plausible, verify, scratch)
     named = classes.select("doc_id", "size", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("doc_id", "size", "id", F.coalesce("comp", "id").alias("comp"))
     least = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
