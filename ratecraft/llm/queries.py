@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratecraft.llm import quality, toxicity
 from ratecraft.llm.bpe import encode_documents
 from ratecraft.llm.common import read_table
+from ratecraft.llm.decontamination import contaminated
 from ratecraft.llm.embedding_dedup import near_duplicates
+from ratecraft.llm.html_extract import extract_pages
 from ratecraft.llm.jaccard_join import jaccard_classes
-from ratecraft.llm import quality, toxicity
+from ratecraft.llm.line_dedup import dedup_lines
 from ratecraft.llm.token_output import token_digest
+from ratecraft.llm.url_filters import judge_urls
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +25,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -33,24 +41,44 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "n_chunks", "n_removed", "words_removed")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages"))
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_bpe": op2_bpe,
-    "op3_quality": op3_quality,
-    "op4_toxicity": op4_toxicity,
-    "op8_token_output": op8_token_output,
-    "op7_embedding_near_dedup": op7_embedding_near_dedup,
-    "op10_jaccard_join": op10_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_url_filters,
+        op2_bpe,
+        op3_quality,
+        op4_toxicity,
+        op5_line_dedup,
+        op6_html_extraction,
+        op7_embedding_near_dedup,
+        op8_token_output,
+        op9_benchmark_decontamination,
+        op10_jaccard_join,
+    )
 }
 ORACLES: dict[str, str] = {}
