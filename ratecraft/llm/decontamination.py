@@ -56,7 +56,7 @@ def slot_words(text: Column) -> Column:
 
 
 def _hashes(words: Column) -> Column:
-    """Hash of the window that begins at each word; a text of fewer words has none."""
+    """Of a column of words: hash of the window that begins at each word; a text of fewer words has none."""
     n = F.size(words) - (WORDS - 1)
     at = [lambda w, i, k=k: F.get(words, i + k) for k in range(1, WORDS)]
     full = F.transform(words, lambda w, i: F.xxhash64(w, *(f(w, i) for f in at)))
@@ -99,7 +99,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small = distinct.count() <= BROADCAST_WINDOWS
 
     named = docs.filter("doc_id is not null").select("doc_id", "text")
-    windows = named.select("doc_id", F.explode(_hashes(template_words(F.col("text")))).alias("hash"))
+    # the words are a column of their own: inside the hashing lambda they would be split anew for each word
+    words = named.select("doc_id", template_words(F.col("text")).alias("w"))
+    windows = words.select("doc_id", F.explode(_hashes(F.col("w"))).alias("hash"))
     met = windows.join(F.broadcast(distinct) if small else distinct, "hash")
     found = (
         met.select("doc_id", "item_id", "hash")
