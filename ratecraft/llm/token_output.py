@@ -18,6 +18,7 @@ start without a scan of the ids and without a task that sees all documents.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ratecraft.llm.bpe import SPACE
 from ratecraft.llm.common import Scratch
 
 END_ID = 2
@@ -37,6 +39,15 @@ LONG_WORD = 256
 DATA_SCHEMA = "doc_id long, local_start long, n_tokens long, ids array<int>, part int"
 
 
+def words_of(text: str | None) -> list[str]:
+    """Words between white space (Unicode's property; str.split also cuts at four control characters)."""
+    if not text:
+        return []
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return [w for w in re.split(f"[{SPACE}]+", text) if w]
+    return text.split()
+
+
 class WordEncoder:
     """Ids of texts whose tokenizer drops white space: each distinct word is encoded once a task.
 
@@ -53,7 +64,7 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(x or "").split() for x in texts]
+        cut = [words_of(x) for x in texts]
         known = self.known
         new = {w for x in cut for w in x if w not in known}
         if new and len(known) + len(new) > CACHE_WORDS:

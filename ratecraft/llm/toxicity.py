@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def calibrated(found: list[tuple[int, int, float]], n: int, m: Model) -> float:
     """Probability that a text of n words with these segments is toxic."""
-    best = sorted((s for _, _, s in found), reverse=True)[:3]
+    best = sorted((s for _, _, s in found if s > TAIL_FROM), reverse=True)[:3]  # the tail begins there
     p = 1.0
     for r, s in enumerate(best, 1):
         e = m.k * n * math.exp(-min(700.0, m.rate * s))
@@ -218,7 +218,7 @@ def _score(m: Model):
             for _, words, heads in document_tokens(b.column(1)):
                 found = segments(word_scores(m.keys, m.weights, words, heads))
                 scores.append(calibrated(found, len(words), m))
-                high = [f for f in found if m.k * len(words) * math.exp(-min(700.0, m.rate * f[2])) < 0.05]
+                high = [f for f in found if f[2] > TAIL_FROM and m.k * len(words) * math.exp(-min(700.0, m.rate * f[2])) < 0.05]
                 passages.append([{"start": s, "end": e, "score": x} for s, e, x in high])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(scores, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "passages"]
