@@ -3,7 +3,7 @@
 ``link_buckets`` turns members (key, id) of buckets into verified links that
 connect whatever the buckets' verified pairs connect:
 
-1. star: each member of a bucket is checked against the bucket's smallest id;
+1. star: each member of a bucket is checked against the bucket's hub;
 2. components of the links found so far;
 3. cross: what is left are pairs of one bucket in different components. Each
    member outside the bucket's largest component is checked against the
@@ -60,15 +60,40 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 4
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots).distinct()
 
 
-def multi_members(rows: DataFrame) -> DataFrame:
-    """(key, id, hub) of the keys that two ids or more share; one exchange, by key."""
+#: A bucket of more ids is hot: ids that can do without it leave it (see bucket_members).
+HOT_BUCKET = 16
+#: spare counts are packed below this base: plan = group * SPARE + spare.
+SPARE = 1 << 20
+
+
+def bucket_members(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, id, hub) of the keys that two ids or more share, written.
+
+    rows: (key, id, plan), dealt by key. plan = group * SPARE + spare says that
+    the id shares more than ``spare`` of its keys of this group with every
+    partner; -1 if it can't spare any. An id none of whose partners needs its
+    hot buckets (it has at most ``spare`` of them in the group) leaves these:
+    any partner still meets it in a bucket that isn't hot, which nobody leaves.
+
+    The hub is the member with the most company over all its buckets (then the
+    largest id): in a group of edited copies, the text they were made from.
+    """
     w = Window.partitionBy("key")
-    return (
-        rows.select("key", "id", F.min("id").over(w).alias("hub"), F.max("id").over(w).alias("top"))
-        .filter("hub <> top")
-        .select("key", "id", "hub")
-        .distinct()
+    met = rows.select("key", "id", "plan", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), F.count("*").over(w).alias("n"))
+    met = scratch.write(met.filter("low <> high").select("key", "id", "plan", "n").distinct())
+    company = met.groupBy("id").agg(F.sum("n").alias("company"))
+    heat = met.filter(f"n > {HOT_BUCKET} and plan >= 0").groupBy("id", "plan").agg(F.count("*").alias("heat"))
+    stay = (
+        met.join(company, "id")
+        .join(heat.withColumnRenamed("id", "hot_id").withColumnRenamed("plan", "hot_plan"), F.expr("id = hot_id and plan = hot_plan"), "left")
+        .filter(f"n <= {HOT_BUCKET} or plan < 0 or heat > plan % {SPARE}")
+        .select("key", "id", "company")
     )
+    lead = F.max(F.struct("company", "id")).over(w)["id"].alias("hub")
+    out = stay.select("key", "id", lead, F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"))
+    out = scratch.write(out.filter("low <> high").select("key", "id", "hub").distinct())
+    scratch.drop(met)
+    return out
 
 
 def link_buckets(
@@ -88,7 +113,7 @@ def link_buckets(
     side = lambda s: traits.select(F.col("id").alias(f"{s}_id"), *(F.col(c).alias(f"{s}_{c}") for c in names))
     condition = plausible("l", "r")
 
-    star = members.filter("id <> hub").select(F.col("hub").alias("l_id"), F.col("id").alias("r_id")).distinct()
+    star = members.filter("id <> hub").select(F.least("hub", "id").alias("l_id"), F.greatest("hub", "id").alias("r_id")).distinct()
     star = star.join(side("l"), "l_id").join(side("r"), "r_id").filter(condition)
     star = scratch.write(star.select(F.col("l_id").alias("u"), F.col("r_id").alias("v")))
     links = scratch.write(verify(star))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.llm.common import Scratch, mix
-from ratecraft.llm.components import link_buckets, multi_members
+from ratecraft.llm.components import bucket_members, link_buckets
 
 TABLES, CONCAT, PROBES = 10, 3, 4
 COSINE = 0.95
@@ -169,9 +169,8 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     reps = scratch.write(
         rows.filter("id is not null").groupBy("id").agg(F.count("*").alias("weight"), F.first("vector").alias("vector"))
     )
-    members = scratch.write(
-        multi_members(reps.select("id", "vector").mapInArrow(_hash, "key long, id long").repartition("key"))
-    )
+    keys = reps.select("id", "vector").mapInArrow(_hash, "key long, id long").repartition("key")
+    members = bucket_members(keys.withColumn("plan", F.lit(-1)), scratch)
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = reps.select(F.col("id").alias("u"), F.col("vector").alias("a"))

@@ -9,7 +9,9 @@ still has H + 1 segments: then one equal, non-empty segment exists and an exact
 index on (band, segment, subset) finds the pair. A set with too few non-empty
 segments gets a second allocation: all its segments, also with one shingle
 deleted, which bears one difference a segment; should even that not reach H + 1,
-its single shingles are indexed. Every pair that reaches the threshold shares a
+its single shingles are indexed. Allocation by cost: two similar sets share more
+keys than a set has segments beyond H + 1, so a set leaves that many of its
+hottest buckets (a common line's, say) without losing a partner. Every pair that reaches the threshold shares a
 key, so the join is exact; candidates pass a size and a parity-bitmap bound
 (both necessary conditions) and are verified on the whole sets.
 
@@ -40,7 +42,7 @@ from ratecraft.llm.common import (
     mix,
     word_hashes,
 )
-from ratecraft.llm.components import link_buckets, multi_members
+from ratecraft.llm.components import SPARE, bucket_members, link_buckets
 
 WORDS = 5
 THRESHOLD = 80  # percent
@@ -73,10 +75,14 @@ def band_of(size: int) -> int:
     return bisect_right(_EDGES, size)
 
 
-def segment_keys(hashes: np.ndarray) -> np.ndarray:
-    """Index keys of one set (distinct hashes, sorted), for its own band and the next."""
+def segment_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of one set (distinct hashes, sorted), for its own band and the next, and their plans.
+
+    A plan holds the band and how many non-empty segments the set has beyond
+    those needed (see components.bucket_members).
+    """
     band = band_of(len(hashes))
-    out = []
+    out: list[tuple[np.ndarray, int]] = []
     high, mixed = hashes >> np.uint64(32), mix(hashes)
     for b in (band, band + 1):
         m, need = scheme(b)
@@ -85,19 +91,20 @@ def segment_keys(hashes: np.ndarray) -> np.ndarray:
         start = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1])))
         at = segment[start]
         value = np.add.reduceat(mixed, start)
-        out.append(mix(value + (at + np.uint64(b << 40)) * np.uint64(0x9E3779B97F4A7C15)))
-        if len(at) >= need:
+        enough = len(at) >= need
+        out.append((mix(value + (at + np.uint64(b << 40)) * np.uint64(0x9E3779B97F4A7C15)), b * SPARE + len(at) - need if enough else -1))
+        if enough:
             continue
         # second allocation: every segment (empty ones too), whole and with one deletion
         whole = np.zeros(m, np.uint64)
         whole[at.astype(np.int64)] = value
         there = mix(np.arange(m, dtype=np.uint64) + np.uint64(b << 40) + np.uint64(1 << 60))
-        out.append(mix(whole + there))
+        out.append((mix(whole + there), -1))
         seg = segment.astype(np.int64)
-        out.append(mix(whole[seg] - mixed + there[seg]))
+        out.append((mix(whole[seg] - mixed + there[seg]), -1))
         if 2 * len(at) < need:
-            out.append(mix(hashes + np.uint64(3 << 60) + np.uint64(b)))
-    return np.concatenate(out)
+            out.append((mix(hashes + np.uint64(3 << 60) + np.uint64(b)), -1))
+    return np.concatenate([k for k, _ in out]), np.concatenate([np.full(len(k), p, np.int64) for k, p in out])
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> Iterator[tuple[int, np.ndarray]]:
@@ -149,21 +156,24 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([np.concatenate(c) for c in zip(*rows, strict=True)], ["key", "id", "plan"])
+
     seen: set[int] = set()  # a class is sent once by each task
     for b in batches:
-        keys, names, rows = [], [], 0
+        rows, n = [], 0
         for _, s in shingle_sets(b.column(0)):
             if not len(s) or (name := digest(s)) in seen:
                 continue
             seen.add(name)
-            keys.append(segment_keys(s))
-            names.append(np.full(len(keys[-1]), name, np.int64))
-            rows += len(keys[-1])
-            if rows > 200_000:
-                yield pa.RecordBatch.from_arrays([np.concatenate(keys).view(np.int64), np.concatenate(names)], ["key", "id"])
-                keys, names, rows = [], [], 0
-        if keys:
-            yield pa.RecordBatch.from_arrays([np.concatenate(keys).view(np.int64), np.concatenate(names)], ["key", "id"])
+            keys, plan = segment_keys(s)
+            rows.append((keys.view(np.int64), np.full(len(keys), name, np.int64), plan))
+            n += len(keys)
+            if n > 200_000:
+                yield batch(rows)
+                rows, n = [], 0
+        if rows:
+            yield batch(rows)
 
 
 def _needed_sets(bloom: np.ndarray):
@@ -220,7 +230,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     classes = scratch.write(
         docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, size long, id long, bits array<long>")
     )
-    members = scratch.write(multi_members(texts.mapInArrow(_keys, "key long, id long").repartition("key")))
+    members = bucket_members(texts.mapInArrow(_keys, "key long, id long, plan long").repartition("key"), scratch)
     traits = (
         classes.filter("id is not null")
         .join(members.select("id").distinct(), "id", "left_semi")
@@ -237,11 +247,12 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
             return pairs
         bloom = bloom_of(ids.filter("doc_id is not null"), "doc_id", n)
         sets = docs.select("doc_id", "text").mapInArrow(_needed_sets(bloom), "id long, grams array<long>")
-        sets = scratch.write(sets.join(ids, "id", "left_semi").groupBy("id").agg(F.first("grams").alias("grams")))
+        sets = scratch.write(sets)
         left = sets.select(F.col("id").alias("u"), F.col("grams").alias("a"))
         right = sets.select(F.col("id").alias("v"), F.col("grams").alias("b"))
         both = F.size(F.array_intersect("a", "b"))
         met = pairs.join(left, "u").join(right, "v").withColumn("both", both)
+        # a class that several tasks sent gives its pairs more than once; links are a set
         return met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v")
 
     _, comps = link_buckets(members, traits.drop("doc_id"), _plausible, verify, scratch)
