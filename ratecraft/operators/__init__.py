@@ -10,7 +10,7 @@ from .audit import (
     window_coverage,
 )
 from .conform import conform, dedup_latest, newest_first, typed_series
-from .dashboard import dash_latest, dash_monthly, latest, metric_count
+from .dashboard import dash_latest, dash_monthly, in_order, latest, metric_count
 from .mart import (
     join_monthly,
     monthly_mart,
@@ -29,7 +29,7 @@ from .quality import (
     range_violations,
     validate,
 )
-from .upsert import merged_content, staged, stamp, upsert
+from .upsert import merged_content, recover, staged, stamp, upsert
 
 __all__ = [
     "audit_counts",
@@ -45,6 +45,7 @@ __all__ = [
     "failures",
     "frame_gaps",
     "grain_check",
+    "in_order",
     "join_monthly",
     "latest",
     "merged_content",
@@ -55,6 +56,7 @@ __all__ = [
     "newest_first",
     "null_rows",
     "range_violations",
+    "recover",
     "rolling_accumulation",
     "rolling_window",
     "staged",

@@ -12,11 +12,21 @@ from ratecraft.specs import WINDOW_MONTHS
 
 
 def table_counts(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(table_name, total_rows, distinct_keys)`` for one table."""
-    return df.agg(
+    """``(table_name, total_rows, distinct_keys, distinct_known_keys)`` for one table.
+
+    ``distinct_keys`` counts distinct rows of the key columns, a NULL being a
+    value like any other; ``distinct_known_keys`` is SQL's ``COUNT(DISTINCT)``,
+    which leaves out keys with a NULL. One row per key and map task is shuffled.
+    """
+    known = F.lit(True)
+    for k in keys:
+        known &= F.col(k).isNotNull()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return per_key.agg(
         F.lit(name).alias("table_name"),
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if(known).alias("distinct_known_keys"),
     )
 
 
@@ -63,18 +73,27 @@ def dropped_months(
     keys: Sequence[str] = (),
     shared_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Months the inner join drops: nominal months without a reference value,
-    and reference months that no nominal series has. Keys are NULL on the
-    reference side unless shared."""
+    """Months the inner join drops, for each series: its months without a reference
+    value (``nominal_only``), and the reference months it has no value for
+    (``reference_only``; with ``shared_keys``, those of its own reference).
+
+    Series are the distinct keys of the nominal side; without keys there is one.
+    """
+    own = [k for k in keys if k not in shared_keys]
     on = [*shared_keys, MONTH_KEY]
     nominal_only = nominal_monthly.join(reference_monthly, on, "left_anti").select(
         *keys, MONTH_KEY, F.lit("nominal_only").alias("side")
     )
-    reference_only = reference_monthly.join(nominal_monthly, on, "left_anti").select(
-        *[F.col(k) if k in shared_keys else F.lit(None).cast(nominal_monthly.schema[k].dataType).alias(k)
-          for k in keys],
-        MONTH_KEY,
-        F.lit("reference_only").alias("side"),
+    months = reference_monthly.select(*on).distinct()
+    if own:  # one row per series and reference month, what the mart itself would hold
+        series = nominal_monthly.select(*keys).distinct()
+        # a list of months for each shared key (one list without): a few bytes a calendar month
+        listed = months.groupBy(*shared_keys, F.lit(1).alias("_all")).agg(F.collect_set(MONTH_KEY).alias("_months"))
+        listed = listed if shared_keys else F.broadcast(listed)
+        joined = series.withColumn("_all", F.lit(1)).join(listed, [*shared_keys, "_all"])
+        months = joined.select(*keys, F.explode("_months").alias(MONTH_KEY))
+    reference_only = months.join(nominal_monthly, [*keys, MONTH_KEY], "left_anti").select(
+        *keys, MONTH_KEY, F.lit("reference_only").alias("side")
     )
     return nominal_only.unionByName(reference_only)
 

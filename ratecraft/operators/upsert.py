@@ -5,57 +5,74 @@ rewrites only the partitions the source touches:
 
 1. the target is partitioned by a value derived from the business key (for
    example the year of the date), so a key never changes partition and the
-   touched partitions follow from the source alone;
+   touched partitions follow from the source alone. Their smallest and largest
+   value become constants in the target's scan, and the list of touched values
+   prunes what lies between at run time;
 2. new content of those partitions = target rows whose key is not in the
    source (left anti join) + all source rows;
-3. that content replaces the touched partitions by dynamic partition
-   overwrite: tasks write to a staging folder and the partitions are swapped
-   only when the job commits, so the job may read the partitions it
-   replaces, a retried task still finds its input, and untouched partitions
-   are neither read nor written.
-
-An unpartitioned target is replaced whole; its new content is first written
-to a folder under the checkpoint root, since a job cannot overwrite the path
-it reads, and that folder is deleted after the commit. A partitioned catalog
-table is staged the same way (only its touched partitions), since Spark
-refuses to overwrite a catalog table that the same job reads. Pass a staged source
-when it is expensive to recompute (the layer jobs stage theirs): on a lost
-executor, tasks recompute from it.
+3. that content is written whole beside the target (``.<name>.pending-...``).
+   A job that fails up to here leaves the target as it was;
+4. a small commit file names the pending folder; then each partition is
+   swapped: the old folder is deleted and the new one renamed into its place.
+   If the driver dies in between, the pending folder still holds every
+   partition that wasn't swapped, and the next upsert of the target finishes
+   the swap first (``recover``). An unpartitioned target is one such folder.
+
+A catalog table is replaced by ``insertInto`` from a staged copy (Spark
+refuses to overwrite a table that the same job reads); should that fail, the
+staged copy stays, and the error names it.
 
 Matched keys update every column, unmatched keys are inserted, nothing is
-deleted. Unlike a transactional MERGE, readers may see the touched
-partitions change one after another at commit.
+deleted. One writer at a time: two upserts of one target at once are not
+guarded, and readers may see partitions change one after another at commit.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.operators.quality import duplicate_keys
-from ratecraft.session import remove_path, scratch_dir
-from ratecraft.sources.tables import is_path, try_read_table
+from ratecraft.session import (
+    forget_scratch,
+    move_path,
+    path_exists,
+    read_text,
+    remove_path,
+    scratch_dir,
+    sub_folders,
+    write_text,
+)
+from ratecraft.sources.tables import is_path, save_schema, try_read_table
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
+def staged(spark: SparkSession, df: DataFrame, label: str, keep_on_failure: bool = False) -> Iterator[DataFrame]:
     """``df`` written once to a fresh folder under the checkpoint root, read back.
 
     The folder is deleted when the block ends, so repeated runs do not
     accumulate staging output. Leave the block only after every job that
-    reads the staged copy has committed.
+    reads the staged copy has committed. With ``keep_on_failure`` a failure in
+    the block leaves the folder, and a note with its path on the error.
     """
     path = scratch_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
     try:
-        yield spark.read.parquet(path)
-    finally:
+        yield spark.read.schema(df.schema).parquet(path)
+    except BaseException as e:
+        if keep_on_failure:
+            e.add_note(f"the content to write is kept in {path}")
+            forget_scratch(path)
+            raise
         remove_path(spark, path)
+        raise
+    remove_path(spark, path)
 
 
 @contextmanager
@@ -71,26 +88,63 @@ def _session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, previous)
 
 
-def _write(df: DataFrame, target: str, partition_by: Sequence[str], dynamic: bool) -> None:
-    if partition_by:
-        # Cluster rows by partition before writing: otherwise every task writes
-        # a file into every partition it holds (tasks x partitions files).
-        # REBALANCE lets AQE split a skewed partition and merge small ones.
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if is_path(target):
-        writer.parquet(target)
-    elif dynamic:
-        # insertInto ignores the writer option; only the session setting (or a
-        # table property) makes the overwrite replace just the touched partitions
-        with _session_conf(spark=df.sparkSession, key=OVERWRITE_MODE, value="dynamic"):
-            df.write.insertInto(target, overwrite=True)
-    else:
-        writer.format("parquet").saveAsTable(target)
+def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows clustered by partition: otherwise every task writes a file into every
+    partition it holds. REBALANCE lets AQE split a skewed partition and merge small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _write_path(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    writer = _clustered(df, partition_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def _commit_file(target: str) -> str:
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.commit"
+
+
+def _pending(target: str) -> str:
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.pending-{uuid.uuid4().hex[:12]}"
+
+
+def _swap(spark: SparkSession, pending: str, target: str, depth: int) -> None:
+    """Move each pending partition folder into the target; may be run again at any point."""
+    if not path_exists(spark, pending):
+        return
+    if depth == 0:
+        remove_path(spark, target)
+        move_path(spark, pending, target)
+        return
+    for name in sub_folders(spark, pending):
+        _swap(spark, f"{pending}/{name}", f"{target}/{name}", depth - 1)
+
+
+def recover(spark: SparkSession, target: str) -> bool:
+    """Finish a commit that a dead driver left half done; True if there was one."""
+    note = read_text(spark, _commit_file(target))
+    if note is None:
+        return False
+    depth, pending = note.split(" ", 1)
+    _swap(spark, pending, target, int(depth))
+    remove_path(spark, _commit_file(target))
+    remove_path(spark, pending)
+    return True
+
+
+def _replace_path(spark: SparkSession, df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
+    """Write ``df`` beside the target, then swap its partitions in (all of an unpartitioned target)."""
+    pending = _pending(target)
+    try:
+        _write_path(df, pending, partition_by)
+        if not partition_by:
+            save_schema(spark, pending, df.schema)
+    except BaseException:
+        remove_path(spark, pending)
+        raise
+    write_text(spark, _commit_file(target), f"{len(partition_by)} {pending}")
+    recover(spark, target)
 
 
 def merged_content(
@@ -98,16 +152,25 @@ def merged_content(
 ) -> DataFrame:
     """Rows of the touched partitions after the upsert, in the target's column order.
 
-    Joins on a column list put those columns first, so the target's order is
-    restored at the end: written files must keep one layout, and
-    ``insertInto`` matches columns by position.
+    ``source`` should be staged: it is scanned for the bounds of the touched
+    partitions, their list, the keys and the rows. Joins on a column list put
+    those columns first, so the target's order is restored at the end: written
+    files must keep one layout, and ``insertInto`` matches columns by position.
     """
     keys = list(keys)
     columns = target.columns
     source = source.select(columns)
     if partition_by:
-        touched = source.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
+        # constants, two values a column: the scan lists only partitions between them, and as
+        # a filter on the list they make Spark prune the others when the list is known
+        bounds = source.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in partition_by for f in (F.min, F.max))).first()
+        between = F.lit(True)
+        for c in partition_by:
+            low, high = bounds[f"min_{c}"], bounds[f"max_{c}"]
+            if low is not None:
+                between &= F.col(c).between(F.lit(low), F.lit(high))
+        touched = source.select(*partition_by).where(between).distinct()
+        target = target.where(between).join(touched, list(partition_by), "left_semi")
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.select(columns).unionByName(source)
 
@@ -119,29 +182,47 @@ def upsert(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     check_unique: bool = True,
+    source_staged: bool = False,
 ) -> str:
     """Upsert ``source`` into ``target`` by ``keys``; returns ``created`` or ``merged``.
 
     A source with a repeated key is rejected (a MERGE would fail on it too;
-    anti join + union would keep both rows).
+    anti join + union would keep both rows). An empty source creates an empty,
+    readable table, or leaves the target as it is. ``source_staged`` says that
+    the source is cheap to scan several times; otherwise it is staged first.
+    Partition values may not be null.
     """
-    if check_unique and not duplicate_keys(source, keys).isEmpty():
-        raise ValueError(f"upsert source has duplicate keys {list(keys)}")
-    current = try_read_table(spark, target)
-    if current is None:
-        _write(source, target, partition_by, dynamic=False)
-        return "created"
-    merged = merged_content(current, source, keys, partition_by)
-    if partition_by and is_path(target):
-        _write(merged, target, partition_by, dynamic=True)
-    elif partition_by:
+    with ExitStack() as stack:
+        if not source_staged:
+            source = stack.enter_context(staged(spark, source, "source"))
+        if check_unique and not duplicate_keys(source, keys).isEmpty():
+            raise ValueError(f"upsert source has duplicate keys {list(keys)}")
+        if is_path(target):
+            recover(spark, target)
+        current = try_read_table(spark, target)
+        if current is None:
+            if not is_path(target):
+                writer = _clustered(source, partition_by).write.mode("errorifexists").format("parquet")
+                (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(target)
+                return "created"
+            data = [c for c in source.columns if c not in partition_by]
+            save_schema(spark, target, source.select(*data, *partition_by).schema)
+            _replace_path(spark, source, target, partition_by)
+            return "created"
+        if source.isEmpty():
+            return "merged"
+        merged = merged_content(current, source, keys, partition_by)
+        if is_path(target):
+            _replace_path(spark, merged, target, partition_by)
+            return "merged"
         # a catalog table may not be overwritten by a job that reads it
-        with staged(spark, merged, "upsert") as content:
-            _write(content, target, partition_by, dynamic=True)
-    else:
-        with staged(spark, merged, "upsert") as content:
-            _write(content.select(current.columns), target, (), dynamic=False)
-    return "merged"
+        with staged(spark, merged, "upsert", keep_on_failure=True) as content:
+            content = _clustered(content, partition_by)
+            # only the session setting makes insertInto replace just the touched partitions
+            mode = "dynamic" if partition_by else "static"
+            with _session_conf(spark, OVERWRITE_MODE, mode):
+                content.write.insertInto(target, overwrite=True)
+        return "merged"
 
 
 def stamp(df: DataFrame, column: str) -> DataFrame:

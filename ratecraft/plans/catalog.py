@@ -18,20 +18,22 @@ layer jobs) write below the session's checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratecraft.functions.parsing import month_of
 from ratecraft.operators.audit import (
     audit_counts,
+    content_fingerprint,
     dropped_months,
     frame_gaps,
     grain_check,
     window_coverage,
 )
 from ratecraft.operators.conform import conform, dedup_latest, typed_series
-from ratecraft.operators.dashboard import dash_latest, dash_monthly, latest, metric_count
+from ratecraft.operators.dashboard import dash_latest, dash_monthly, in_order, latest, metric_count
 from ratecraft.operators.mart import (
     join_monthly,
     monthly_mart,
@@ -42,9 +44,9 @@ from ratecraft.operators.mart import (
 )
 from ratecraft.operators.quality import dq_report, duplicate_keys, range_violations
 from ratecraft.operators.upsert import upsert
-from ratecraft.plans.jobs import MartSpec, gold_view, run_layers
-from ratecraft.session import scratch_dir
-from ratecraft.sources.raw import raw_contract, read_raw, series_range
+from ratecraft.plans.jobs import MartSpec, gold_view, run_layers, run_mart
+from ratecraft.session import scratch_dir, write_text
+from ratecraft.sources.raw import file_contract, raw_contract, read_bronze, read_raw, series_range
 from ratecraft.sources.tables import read_driver_table, read_table
 from ratecraft.specs import DAY, MONTH, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import ingest_series
@@ -53,6 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SERIES_KEY = "l_returnflag"
 REFERENCE_DIVISOR = 10000.0
+LANDED_DIVISOR = 100000.0
 ORDERS = SeriesSpec(name="orders", grain=DAY, rate_column="rate_pct", rate_min=0.1, rate_max=40)
 FIRST_LOAD_BEFORE = "1999-01-01"
 BACKFILL_FROM = "1998-01-01"
@@ -60,7 +63,12 @@ BACKFILL_SHIFT = 100.0
 RANGE_FIRST, RANGE_LAST = "1996-01-01", "1997-12-31"
 BATCH_1_AT = "2024-01-01 00:00:00"
 BATCH_2_AT = "2024-02-01 00:00:00"
+#: The second drop of files: days from here on, and one restated day of each month before.
 INCREMENT_FROM = "1996-01-01"
+RESTATED_DAY = 15
+RESTATED_SHIFT = 0.5
+REVISED_YEAR = 1995
+REVISED_SHIFT = 0.25
 
 MART_MEASURES = [
     "nominal_monthly_effective_pct",
@@ -276,10 +284,67 @@ def _events_spec(root: str) -> SeriesSpec:
     ).located(root)
 
 
+def _land_events(spark: SparkSession, d: str, label: str) -> SeriesSpec:
+    """Events as raw records, every one; some lack a field (values below 1, hours before 1 o'clock)."""
+    spec = _events_spec(scratch_dir(spark, label))
+    events = read_driver_table(spark, d, "events")
+    records = events.select(
+        F.when(F.hour("ts") > 0, F.date_format("ts", "dd/MM/yyyy")).alias("data"),
+        F.when(F.col("value") >= 1, rate_text(F.col("value"))).alias("valor"),
+    )
+    records.write.json(spec.landing)  # a null field is left out of its record
+    write_text(spark, f"{spec.landing}/empty.json", "[]")
+    return spec
+
+
 def q_raw_contract(spark: SparkSession, d: str) -> DataFrame:
-    spec = _events_spec(scratch_dir(spark, "contract"))
-    render_events(spark, d).write.json(spec.landing)
-    return raw_contract(read_raw(spark, spec))
+    """Contract of the landed files, summed: records, missing fields, files without records."""
+    report = file_contract(spark, _land_events(spark, d, "contract"))
+    return report.agg(
+        F.sum("records").alias("total_records"),
+        F.sum("missing_data").alias("missing_data"),
+        F.sum("missing_valor").alias("missing_valor"),
+        F.count_if(F.col("source_file") == "empty.json").alias("empty_files"),
+        F.min("contract_ok").alias("contract_ok"),
+    )
+
+
+def q_raw_records(spark: SparkSession, d: str) -> DataFrame:
+    """The same contract by record."""
+    return raw_contract(read_raw(spark, _land_events(spark, d, "contract")))
+
+
+def q_ingest_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Lineage and ingestion time of the Bronze records of one drain."""
+    spec = _land_events(spark, d, "lineage")
+    ingest_series(spark, spec)
+    b = read_table(spark, spec.bronze)
+    named = F.col("source_path").endswith(F.concat(F.lit("/"), F.col("source_file")))
+    return b.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(named & F.col("source_modified_at").isNotNull()).alias("with_lineage"),
+        F.count_if(F.col("ingestion_timestamp") >= F.col("source_modified_at")).alias("stamped_after_landing"),
+        F.count_distinct("ingestion_timestamp").alias("ingestion_times"),
+        F.count_distinct("series_name").alias("series"),
+    )
+
+
+def q_ingest_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Files that hold one JSON array each (the source's form), streamed with ``multiLine``."""
+    spec = replace(_events_spec(scratch_dir(spark, "arrays")), multi_line=True)
+    day = F.date_format("ts", "yyyyMMdd")
+    record = F.to_json(F.struct(F.col("data"), F.col("valor")))
+    # one array a day and hash slice, since a file in this form is read by one task
+    rows = read_driver_table(spark, d, "events").select(
+        day.alias("day"), F.pmod(F.xxhash64("event_id"), F.lit(4)).alias("slice"),
+        F.date_format("ts", "dd/MM/yyyy").alias("data"), rate_text(F.col("value")).alias("valor"),
+    )
+    arrays = rows.groupBy("day", "slice").agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))
+    # a text file holds the rows of one task: one array a file needs one folder a group
+    arrays.write.partitionBy("day", "slice").text(spec.landing)
+    spec = replace(spec, landing=f"{spec.landing}/*/*")
+    ingest_series(spark, spec)
+    return read_table(spark, spec.bronze).select("data_raw", "valor_raw", "series_name")
 
 
 def q_ingest_append(spark: SparkSession, d: str) -> DataFrame:
@@ -321,12 +386,20 @@ def q_upsert_rerun(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_audit_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Audit of the written layer tables, and of order dates of which some are unknown."""
+    rates, reference, mart = _layer_specs(scratch_dir(spark, "audit"))
+    _land_rates(spark, d, rates)
+    _land_reference(spark, d, reference)
+    run_layers(spark, [rates, reference], mart)
+    known = order_rates(spark, d).select(F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate")).alias("day"))
     return audit_counts(
         [
-            ("bronze_orders", render_orders(spark, d, "orders.json", BATCH_1_AT), ["data_raw"]),
-            ("silver_orders", conformed_orders(spark, d), ["series_name", "reference_date"]),
-            ("silver_reference", reference_monthly(spark, d), ["reference_month"]),
-            ("gold_monthly", keyed_mart(spark, d), [SERIES_KEY, "reference_month"]),
+            ("bronze_rates", read_bronze(spark, rates), ["data_raw"]),
+            ("bronze_reference", read_bronze(spark, reference), ["data_raw"]),
+            ("silver_rates", read_table(spark, rates.silver), rates.business_key),
+            ("silver_reference", read_table(spark, reference.silver), reference.business_key),
+            ("gold", read_table(spark, mart.gold), ["series_name", "reference_month"]),
+            ("orders_days", known, ["day"]),
         ]
     )
 
@@ -351,19 +424,38 @@ def q_dash_latest(spark: SparkSession, d: str) -> DataFrame:
     return dash_latest(national_mart(spark, d), COUNTER_MEASURES)
 
 
+def q_latest_keyed(spark: SparkSession, d: str) -> DataFrame:
+    """The last three months of each series of the keyed mart."""
+    return latest(keyed_mart(spark, d), 3, keys=[SERIES_KEY])
+
+
+def q_dash_latest_keyed(spark: SparkSession, d: str) -> DataFrame:
+    return dash_latest(keyed_mart(spark, d), COUNTER_MEASURES, keys=[SERIES_KEY])
+
+
+def q_ordered_mart(spark: SparkSession, d: str) -> DataFrame:
+    """The keyed mart in key order, each row with its place (proves the order of the rows)."""
+    rows = in_order(keyed_mart(spark, d), [SERIES_KEY]).select(SERIES_KEY, "reference_month", F.monotonically_increasing_id().alias("place"))
+    w = Window.partitionBy(SERIES_KEY).orderBy("place")
+    return rows.select(SERIES_KEY, "reference_month", F.row_number().over(w).cast("bigint").alias("row_in_series"))
+
+
 def q_metric_count(spark: SparkSession, d: str) -> DataFrame:
     return metric_count(national_mart(spark, d))
 
 
 def q_dropped_months(spark: SparkSession, d: str) -> DataFrame:
-    return dropped_months(nominal_monthly(spark, d), reference_monthly(spark, d), keys=[SERIES_KEY])
+    """Months that each supplier's series loses by the join, from either side."""
+    monthly = monthly_rates(read_driver_table(spark, d, "lineitem"), "l_discount", date_col="l_shipdate", keys=["l_suppkey"], name="nominal")
+    return dropped_months(monthly, reference_monthly(spark, d), keys=["l_suppkey"])
 
 
 def q_frame_gaps(spark: SparkSession, d: str) -> DataFrame:
-    monthly = monthly_rates(
-        order_rates(spark, d), "rate_pct", date_col="o_orderdate", keys=["o_orderstatus"], name="orders"
-    )
-    return frame_gaps(monthly, keys=["o_orderstatus"])
+    """Customers order in some months only, so their 12-row frames span more months."""
+    orders = read_driver_table(spark, d, "orders")
+    rows = orders.select("o_custkey", "o_orderdate", (F.col("o_totalprice") / F.lit(REFERENCE_DIVISOR)).alias("rate_pct"))
+    monthly = monthly_rates(rows, "rate_pct", date_col="o_orderdate", keys=["o_custkey"], name="orders")
+    return frame_gaps(monthly, keys=["o_custkey"])
 
 
 def _layer_specs(root: str, incremental: bool = False) -> tuple[SeriesSpec, SeriesSpec, MartSpec]:
@@ -383,37 +475,49 @@ def _layer_specs(root: str, incremental: bool = False) -> tuple[SeriesSpec, Seri
     return rates, reference, mart
 
 
-def _land_rates(spark: SparkSession, d: str, rates: SeriesSpec, keep: Column | None = None) -> None:
-    """One record per series and business day (the day's highest ``l_discount``).
+def _land_rates(spark: SparkSession, d: str, rates: SeriesSpec, keep: Column | None = None, shift: float = 0.0) -> None:
+    """Every line item as a raw record: its ship date, its discount (plus ``shift``).
 
-    A map-side combined aggregate, so a hot day costs nothing extra; one
-    JSON-lines folder per return flag (the stream names each series after
-    its folder). ``keep`` selects the days of this drop.
+    All records of a series and day go to one file, so which of them the dedup
+    keeps (the highest rate) doesn't depend on file names; one JSON-lines folder
+    per return flag (the stream names each series after its folder). ``keep``
+    selects the days of this drop.
     """
     lineitem = read_driver_table(spark, d, "lineitem")
     if keep is not None:
         lineitem = lineitem.where(keep)
     (
-        lineitem.groupBy(
+        lineitem.select(
             F.col(SERIES_KEY).alias("series"),
             F.date_format("l_shipdate", "dd/MM/yyyy").alias("data"),
+            rate_text(F.col("l_discount") + F.lit(shift)).alias("valor"),
         )
-        .agg(rate_text(F.max("l_discount")).alias("valor"))
+        .repartition("series", "data")
         .write.mode("append")
         .partitionBy("series")
         .json(rates.landing)
     )
 
 
-def _land_reference(spark: SparkSession, d: str, reference: SeriesSpec) -> None:
-    """One record per month for the reference series, dated the first of the month."""
+def _land_reference(spark: SparkSession, d: str, reference: SeriesSpec, keep: Column | None = None, shift: float = 0.0) -> None:
+    """Every order as a record of the monthly reference series, a month's in one file.
+
+    The dedup keeps the month's last day, then its highest rate. Prices are
+    scaled to lie within the series' range.
+    """
+    orders = read_driver_table(spark, d, "orders")
+    if keep is not None:
+        orders = orders.where(keep)
     (
-        reference_monthly(spark, d)
-        .select(
-            F.date_format("reference_month", "dd/MM/yyyy").alias("data"),
-            rate_text(F.col("inflation_monthly_pct")).alias("valor"),
+        orders.select(
+            F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"),
+            rate_text(F.col("o_totalprice") / F.lit(LANDED_DIVISOR) + F.lit(shift)).alias("valor"),
+            F.trunc("o_orderdate", "month").alias("month"),
         )
-        .write.json(reference.landing)
+        .repartition("month")
+        .drop("month")
+        .write.mode("append")
+        .json(reference.landing)
     )
 
 
@@ -431,21 +535,37 @@ def q_layered_gold(spark: SparkSession, d: str) -> DataFrame:
     return _gold_result(spark, mart)
 
 
+def q_layered_gold_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """The Gold job twice over the same Silver: rows and content stay."""
+    rates, reference, mart = _layer_specs(scratch_dir(spark, "rerun"))
+    _land_rates(spark, d, rates)
+    _land_reference(spark, d, reference)
+    run_layers(spark, [rates, reference], mart)
+    once = scratch_dir(spark, "rerun-once")
+    gold_view(spark, mart).write.parquet(once)
+    run_mart(spark, mart)
+    before, after = content_fingerprint(spark.read.parquet(once)), content_fingerprint(gold_view(spark, mart))
+    return before.join(after.withColumnsRenamed({"rows": "rows_again", "fingerprint": "again"}), F.col("fingerprint") == F.col("again")).select("rows", "rows_again")
+
+
 def q_layered_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The same chain over two drops of files, each layer doing only new work.
 
-    The first drop holds the days before ``INCREMENT_FROM``, the second the
-    rest; after each drop the layers run, the second time conforming only
-    the records the second drop added and recomputing only the Gold months
-    they can affect. The Gold table equals one run over all files
-    (``layered_gold``).
+    The first drop holds the days before ``INCREMENT_FROM``; the second the
+    days from there on, one restated day of each earlier month, and the revised
+    reference months of a year already loaded. After each drop the layers run;
+    the second time they conform only the added records, update matched keys in
+    loaded partitions, and recompute only the Gold months these can affect.
     """
     rates, reference, mart = _layer_specs(scratch_dir(spark, "layers-inc"), incremental=True)
     cut = F.lit(INCREMENT_FROM).cast("date")
+    early = F.col("l_shipdate") < cut
     _land_reference(spark, d, reference)
-    _land_rates(spark, d, rates, F.col("l_shipdate") < cut)
+    _land_rates(spark, d, rates, early)
     run_layers(spark, [rates, reference], mart, incremental=True)
-    _land_rates(spark, d, rates, F.col("l_shipdate") >= cut)
+    _land_rates(spark, d, rates, ~early)
+    _land_rates(spark, d, rates, early & (F.dayofmonth("l_shipdate") == RESTATED_DAY), RESTATED_SHIFT)
+    _land_reference(spark, d, reference, F.year("o_orderdate") == REVISED_YEAR, REVISED_SHIFT)
     run_layers(spark, [rates, reference], mart, incremental=True)
     return _gold_result(spark, mart)
 
@@ -469,6 +589,9 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_range_rows": q_dq_range_rows,
     "raw_contract": q_raw_contract,
+    "raw_records": q_raw_records,
+    "ingest_lineage": q_ingest_lineage,
+    "ingest_arrays": q_ingest_arrays,
     "ingest_append": q_ingest_append,
     "upsert_merge": q_upsert_merge,
     "upsert_rerun": q_upsert_rerun,
@@ -478,10 +601,14 @@ QUERIES: dict[str, Query] = {
     "latest_12": q_latest_12,
     "dash_monthly": q_dash_monthly,
     "dash_latest": q_dash_latest,
+    "latest_keyed": q_latest_keyed,
+    "dash_latest_keyed": q_dash_latest_keyed,
+    "ordered_mart": q_ordered_mart,
     "metric_count": q_metric_count,
     "dropped_months": q_dropped_months,
     "frame_gaps": q_frame_gaps,
     "layered_gold": q_layered_gold,
+    "layered_gold_rerun": q_layered_gold_rerun,
     "layered_gold_incremental": q_layered_gold_incremental,
 }
 

@@ -23,11 +23,11 @@ from ratecraft.operators.conform import conform
 from ratecraft.operators.mart import MONTH_KEY, monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import staged, stamp, upsert
-from ratecraft.sources.raw import read_bronze, read_bronze_stream
+from ratecraft.sources.raw import enforce_contract, read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table, try_read_table
 from ratecraft.session import ensure_dir
 from ratecraft.specs import WINDOW_MONTHS, YEAR, RuleSet, SeriesSpec, gold_rules, silver_rules
-from ratecraft.streaming.ingest import await_all, run_ingest
+from ratecraft.streaming.ingest import await_all, run_ingest, run_streams
 
 PARTITION_COLUMN = PARTITION_COLUMNS[YEAR]  # the default partition column
 
@@ -44,7 +44,13 @@ class MartSpec:
     nominal_name: str | None = None
     reference_name: str | None = None
     partition_grain: str = YEAR  # YEAR or MONTH of reference_month
-    checkpoint: str | None = None  # stream checkpoint of the incremental Gold job
+    checkpoint: str | None = None  # stream checkpoint of the incremental Gold job; see gold_checkpoint
+
+    @property
+    def gold_checkpoint(self) -> str | None:
+        """``checkpoint``, or a folder beside the nominal series' Silver checkpoint."""
+        own = self.nominal.silver_checkpoint
+        return self.checkpoint or (own and f"{own}_gold")
 
     @property
     def names(self) -> tuple[str, str]:
@@ -81,34 +87,58 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
                 keys=spec.business_key,
                 partition_by=(partition_column(spec.partition_grain),),
                 check_unique=False,  # validated above
+                source_staged=True,
             )
             for spec in specs
         }
 
 
-def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> str:
-    """Conform, stage, validate and upsert one set of Bronze records of a series.
+def _refused(spec: SeriesSpec) -> Column:
+    """The first row rule of a conformed series that a row breaks, null if none."""
+    rate = F.col(spec.rate_column)
+    return (
+        F.when(F.col(spec.key_column).isNull(), F.lit("no valid date"))
+        .when(rate.isNull(), F.lit("no valid rate"))
+        .when(~rate.between(spec.rate_min, spec.rate_max), F.lit("rate out of range"))
+    )
+
+
+def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> int:
+    """Conform and upsert one set of Bronze records of a series; the number refused.
+
+    Records that break a row rule go to the series' quarantine table with the
+    rule's name; the others are upserted. A later, valid record of a refused
+    key is conformed like any other, so a corrected file repairs the series. A
+    batch without records changes nothing.
 
     After the upsert has committed, the touched (series, month) pairs are
     appended to the series' change log, so Gold never sees a change before
-    its data. A batch redone after a failure may append them twice, which
-    is harmless.
+    its data. A batch redone after a failure may append them, or refused
+    records, twice, which is harmless.
     """
     spark = bronze.sparkSession
-    with staged(spark, silver_content(bronze, spec), f"silver-{spec.name}") as content:
-        validate(content, silver_rules(spec))
-        outcome = upsert(
-            spark,
-            stamp(content, "silver_updated_at"),
-            spec.silver,
-            keys=spec.business_key,
-            partition_by=(partition_column(spec.partition_grain),),
-            check_unique=False,  # validated above
-        )
-        if spec.changes:
-            touched = content.select("series_name", month_of(spec.key_column).alias(MONTH_KEY)).distinct()
-            touched.write.mode("append").parquet(spec.changes)
-    return outcome
+    conformed = silver_content(bronze, spec).withColumn("refused", _refused(spec))
+    with staged(spark, conformed, f"silver-{spec.name}") as content:
+        counts = content.agg(F.count_if(F.col("refused").isNull()).alias("good"), F.count("refused").alias("bad")).first()
+        if counts.bad:
+            bad = content.filter("refused is not null").withColumn("refused_at", F.current_timestamp())
+            bad.write.mode("append").parquet(spec.quarantine)
+        if counts.good:
+            good = content.filter("refused is null").drop("refused")
+            validate(good, silver_rules(spec))
+            upsert(
+                spark,
+                stamp(good, "silver_updated_at"),
+                spec.silver,
+                keys=spec.business_key,
+                partition_by=(partition_column(spec.partition_grain),),
+                check_unique=False,  # validated above
+                source_staged=True,
+            )
+            if spec.changes:
+                touched = good.select("series_name", month_of(spec.key_column).alias(MONTH_KEY)).distinct()
+                touched.coalesce(1).write.mode("append").parquet(spec.changes)
+    return counts.bad
 
 
 def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) -> None:
@@ -116,28 +146,40 @@ def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) ->
 
     A file stream over each Bronze table (it lists the files Bronze's commit
     log holds, and its own checkpoint remembers which it has read) hands
-    every new set of records to :func:`conform_batch`. This equals the full
-    recompute of :func:`run_conform`: Bronze is append-only and every ingest
-    batch is stamped later than all before it, so the newest record of a key
-    is either among the new records or already in Silver, and the upsert
-    keeps exactly that one. The cost of a run follows the new data, not the
-    history. A failed batch is not committed to the checkpoint and is redone
-    on the next run; the upsert makes the redo idempotent. Unlike
-    :func:`run_conform`, each series is gated on its own.
+    every new set of records to :func:`conform_batch`. Where every record is
+    valid this equals the full recompute of :func:`run_conform`: Bronze is
+    append-only and every ingest batch is stamped later than all before it, so
+    the newest record of a key is either among the new records or already in
+    Silver, and the upsert keeps exactly that one. The cost of a run follows
+    the new data, not the history.
+
+    Refused records don't hold up the others: they are quarantined, all
+    batches are committed, and then the run fails with their number. The next
+    run goes on with later records; once a refused key's newest record is
+    valid, Silver again equals the full recompute, which fails before that. A
+    batch whose job fails isn't committed and is redone on the next run; the
+    upsert makes that idempotent. Each series is gated on its own.
     """
-    started = []
-    for spec in specs:
-        if not (spec.bronze and spec.silver and spec.silver_checkpoint):
-            raise ValueError(f"series {spec.name!r} has no bronze/silver/checkpoint location")
-        stream = read_bronze_stream(spark, spec)
-        query = (
-            stream.writeStream.foreachBatch(lambda batch, _id, spec=spec: conform_batch(spec, batch))
+    refused: dict[str, int] = {}
+
+    def start(spec: SeriesSpec):
+        if not (spec.bronze and spec.silver and spec.silver_checkpoint and spec.quarantine):
+            raise ValueError(f"series {spec.name!r} has no bronze/silver/checkpoint/quarantine location")
+
+        def batch(records: DataFrame, _id: int) -> None:
+            refused[spec.name] = refused.get(spec.name, 0) + conform_batch(spec, records)
+
+        return (
+            read_bronze_stream(spark, spec)
+            .writeStream.foreachBatch(batch)
             .option("checkpointLocation", spec.silver_checkpoint)
             .trigger(availableNow=True)
             .start()
         )
-        started.append(query)
-    await_all(started)
+
+    run_streams(specs, start)
+    if bad := {name: n for name, n in refused.items() if n}:
+        raise ValueError(f"Silver refused records, see the quarantine tables: {bad}")
 
 
 def build_mart(
@@ -177,6 +219,7 @@ def _upsert_gold(spark: SparkSession, mart: MartSpec, content: DataFrame, rules:
             keys=[*mart.keys, MONTH_KEY],
             partition_by=(part,),
             check_unique=False,
+            source_staged=True,
         )
 
 
@@ -214,8 +257,8 @@ def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
     m0 = changes.where(side == "nominal").groupBy(*keys).agg(F.min(month).alias("m0"))
     reference_m0 = changes.where(side == "reference").agg(F.min(month)).first()[0]  # one value
     if reference_m0 is not None:
-        # every series ever conformed (its change log), not only those in Gold
-        every = spark.read.schema(CHANGES_SCHEMA).parquet(mart.nominal.changes).select(*keys).distinct()
+        # every series in Silver, not only those in Gold; two columns of its scan at most
+        every = read_table(spark, mart.nominal.silver).select(*keys).distinct()
         m0 = m0.unionByName(every.withColumn("m0", F.lit(reference_m0)))
         m0 = m0.groupBy(*keys).agg(F.min("m0").alias("m0"))
     earlier = current.select(*keys, MONTH_KEY).join(m0, keys).where(month < F.col("m0"))
@@ -229,22 +272,23 @@ def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
     bounds = m0.join(frame_start, keys, "left").select(
         *keys, "m0", F.coalesce("start", "m0").alias("start")
     )
-    lowest = bounds.agg(F.min("start")).first()[0]  # one value
-    if lowest is None:
-        return None
-    daily = read_table(spark, mart.nominal.silver).where(_from_partition(mart.nominal, lowest))
-    daily = daily.join(bounds.select(*keys, "start"), keys).where(
-        month_of(mart.nominal.key_column) >= F.col("start")
-    )
-    monthly = read_table(spark, mart.reference.silver).where(_from_partition(mart.reference, lowest))
-    monthly = monthly.where(month >= F.lit(lowest))
-    content = build_mart(spark, mart, daily, monthly)
-    content = (
-        content.join(bounds.select(*keys, "m0"), keys)
-        .where(month >= F.col("m0"))
-        .select(content.columns)
-    )
-    return _upsert_gold(spark, mart, content, replace(gold_rules(mart.keys, *mart.names), not_empty=False))
+    with staged(spark, bounds, "gold-bounds") as bounds:  # read three times below
+        lowest = bounds.agg(F.min("start")).first()[0]  # one value
+        if lowest is None:
+            return None
+        daily = read_table(spark, mart.nominal.silver).where(_from_partition(mart.nominal, lowest))
+        daily = daily.join(bounds.select(*keys, "start"), keys).where(
+            month_of(mart.nominal.key_column) >= F.col("start")
+        )
+        monthly = read_table(spark, mart.reference.silver).where(_from_partition(mart.reference, lowest))
+        monthly = monthly.where(month >= F.lit(lowest))
+        content = build_mart(spark, mart, daily, monthly)
+        content = (
+            content.join(bounds.select(*keys, "m0"), keys)
+            .where(month >= F.col("m0"))
+            .select(content.columns)
+        )
+        return _upsert_gold(spark, mart, content, replace(gold_rules(mart.keys, *mart.names), not_empty=False))
 
 
 def _refresh_single_series(
@@ -275,7 +319,7 @@ def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
     """
     if tuple(mart.keys) not in ((), ("series_name",)):
         raise ValueError("incremental Gold needs keys ('series_name',) or none")
-    if not (mart.checkpoint and mart.nominal.changes and mart.reference.changes):
+    if not (mart.gold_checkpoint and mart.nominal.changes and mart.reference.changes):
         raise ValueError("incremental Gold needs a checkpoint and both change logs")
     streams = []
     for spec, side in ((mart.nominal, "nominal"), (mart.reference, "reference")):
@@ -285,7 +329,7 @@ def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
     query = (
         streams[0].unionByName(streams[1])
         .writeStream.foreachBatch(lambda batch, _id: refresh_gold(mart, batch))
-        .option("checkpointLocation", mart.checkpoint)
+        .option("checkpointLocation", mart.gold_checkpoint)
         .trigger(availableNow=True)
         .start()
     )
@@ -293,22 +337,28 @@ def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
 
 
 def run_layers(
-    spark: SparkSession, specs: Sequence[SeriesSpec], mart: MartSpec, incremental: bool = False
+    spark: SparkSession,
+    specs: Sequence[SeriesSpec],
+    mart: MartSpec,
+    incremental: bool = False,
+    contract: bool = False,
 ) -> str:
     """Bronze, then Silver, then Gold; a failing layer stops the later ones.
 
-    ``incremental`` conforms only the Bronze records added since the last
-    run (:func:`run_conform_incremental`) instead of all of Bronze.
+    ``incremental`` conforms only the Bronze records added since the last run
+    (:func:`run_conform_incremental`) and recomputes only the Gold rows they can
+    affect (:func:`run_mart_incremental`, which says what it needs).
+    ``contract`` stops behind the ingest if a landed file breaks its contract.
     """
     run_ingest(spark, specs)
+    if contract:
+        enforce_contract(spark, specs)
     if not incremental:
         run_conform(spark, specs)
         return run_mart(spark, mart)
     run_conform_incremental(spark, specs)
-    if mart.checkpoint and tuple(mart.keys) in ((), ("series_name",)):
-        run_mart_incremental(spark, mart)
-        return "refreshed"
-    return run_mart(spark, mart)
+    run_mart_incremental(spark, mart)
+    return "refreshed"
 
 
 def gold_view(spark: SparkSession, mart: MartSpec) -> DataFrame:

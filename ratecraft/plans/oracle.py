@@ -184,17 +184,48 @@ def _events_raw() -> str:
     FROM events"""
 
 
-def _layered_gold() -> str:
+def _landed_rates(shift: str = "0.0", drop: int = 1, where: str = "TRUE") -> str:
+    return f"""
+    SELECT l_returnflag AS series_name, CAST(l_shipdate AS DATE) AS reference_date,
+           {_parsed_rate(_rate_text(f'l_discount + {shift}'))} AS nominal_daily_pct, {drop} AS batch
+    FROM lineitem WHERE {where}"""
+
+
+def _landed_reference(shift: str = "0.0", drop: int = 1, where: str = "TRUE") -> str:
+    return f"""
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_month, CAST(o_orderdate AS DATE) AS day,
+           {_parsed_rate(_rate_text(f'o_totalprice / 100000.0 + {shift}'))} AS inflation_monthly_pct, {drop} AS batch
+    FROM orders WHERE {where}"""
+
+
+RATES = [_landed_rates()]
+REFERENCE = [_landed_reference()]
+_EARLY = "l_shipdate < DATE '1996-01-01'"
+RATES_TWICE = [
+    _landed_rates(where=_EARLY),
+    _landed_rates(drop=2, where=f"NOT ({_EARLY})"),
+    _landed_rates("0.5", 2, f"{_EARLY} AND day(l_shipdate) = 15"),
+]
+REFERENCE_TWICE = [*REFERENCE, _landed_reference("0.25", 2, "year(o_orderdate) = 1995")]
+
+
+def silver_rates(drops: list[str] = RATES) -> str:
+    return f"""
+    SELECT series_name, reference_date, nominal_daily_pct FROM ({' UNION ALL '.join(drops)})
+    QUALIFY row_number() OVER (PARTITION BY series_name, reference_date
+                               ORDER BY batch DESC, nominal_daily_pct DESC NULLS LAST) = 1"""
+
+
+def silver_reference(drops: list[str] = REFERENCE) -> str:
+    return f"""
+    SELECT reference_month, inflation_monthly_pct FROM ({' UNION ALL '.join(drops)})
+    QUALIFY row_number() OVER (PARTITION BY reference_month
+                               ORDER BY batch DESC, day DESC, inflation_monthly_pct DESC NULLS LAST) = 1"""
+
+
+def _layered_gold(rates: list[str] = RATES, reference: list[str] = REFERENCE) -> str:
     win = " OVER win"
-    daily = f"""
-    SELECT l_returnflag AS series_name,
-           CAST(l_shipdate AS DATE) AS reference_date,
-           MAX({_parsed_rate(_rate_text('l_discount'))}) AS nominal_daily_pct
-    FROM lineitem GROUP BY ALL"""
-    monthly = f"""
-    SELECT reference_month,
-           {_parsed_rate(_rate_text('inflation_monthly_pct'))} AS inflation_monthly_pct
-    FROM ({REFERENCE_MONTHLY})"""
+    daily, monthly = silver_rates(rates), silver_reference(reference)
     return f"""
     WITH daily AS ({daily}),
     nom AS (
@@ -311,30 +342,41 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS reference_date,
                o_totalprice / 10000.0 AS rate_pct
         FROM orders WHERE NOT (o_totalprice / 10000.0 BETWEEN 0.1 AND 40)""",
-    "raw_contract": f"""
-        SELECT COUNT(*) AS total_records,
-               COUNT(*) FILTER (WHERE data_raw IS NULL) AS missing_data,
-               COUNT(*) FILTER (WHERE valor_raw IS NULL) AS missing_valor,
-               COUNT(*) FILTER (WHERE data_raw IS NULL OR valor_raw IS NULL) AS invalid_records,
-               COUNT(*) > 0 AND COUNT(*) FILTER (WHERE data_raw IS NULL OR valor_raw IS NULL) = 0
-                   AS contract_ok
-        FROM ({_events_raw()})""",
+    "raw_contract": """
+        SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE hour(ts) = 0) AS missing_data,
+               COUNT(*) FILTER (WHERE value IS NULL OR value < 1) AS missing_valor, 1 AS empty_files,
+               FALSE AS contract_ok
+        FROM events""",
+    "raw_records": """
+        SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE hour(ts) = 0) AS missing_data,
+               COUNT(*) FILTER (WHERE value IS NULL OR value < 1) AS missing_valor,
+               COUNT(*) FILTER (WHERE hour(ts) = 0 OR value IS NULL OR value < 1) AS invalid_records,
+               COUNT(*) > 0 AND COUNT(*) FILTER (WHERE hour(ts) = 0 OR value IS NULL OR value < 1) = 0 AS contract_ok
+        FROM events""",
+    "ingest_lineage": """
+        SELECT COUNT(*) AS records, COUNT(*) AS with_lineage, COUNT(*) AS stamped_after_landing,
+               CAST(1 AS BIGINT) AS ingestion_times, CAST(1 AS BIGINT) AS series
+        FROM events""",
+    "ingest_arrays": f"SELECT data_raw, valor_raw, 'events' AS series_name FROM ({_events_raw()})",
     "ingest_append": f"SELECT data_raw, valor_raw, 'events' AS series_name FROM ({_events_raw()})",
     "upsert_merge": _upserted(),
     "upsert_rerun": _upserted(),
     "audit_counts": f"""
-        SELECT 'bronze_orders' AS table_name, COUNT(*) AS total_rows,
-               COUNT(DISTINCT data_raw) AS distinct_keys
-        FROM ({rendered_orders()})
+        WITH gold AS ({_layered_gold()})
+        SELECT 'bronze_rates' AS table_name, COUNT(*) AS total_rows, COUNT(DISTINCT l_shipdate) AS distinct_keys,
+               COUNT(DISTINCT l_shipdate) AS distinct_known_keys FROM lineitem
         UNION ALL
-        SELECT 'silver_orders', COUNT(*), COUNT(DISTINCT (series_name, reference_date))
-        FROM ({CONFORMED_ORDERS})
+        SELECT 'bronze_reference', COUNT(*), COUNT(DISTINCT o_orderdate), COUNT(DISTINCT o_orderdate) FROM orders
         UNION ALL
-        SELECT 'silver_reference', COUNT(*), COUNT(DISTINCT reference_month)
-        FROM ({REFERENCE_MONTHLY})
+        SELECT 'silver_rates', COUNT(*), COUNT(*), COUNT(*) FROM ({silver_rates()})
         UNION ALL
-        SELECT 'gold_monthly', COUNT(*), COUNT(DISTINCT (l_returnflag, reference_month))
-        FROM ({mart(True)})""",
+        SELECT 'silver_reference', COUNT(*), COUNT(*), COUNT(*) FROM ({silver_reference()})
+        UNION ALL
+        SELECT 'gold', COUNT(*), COUNT(*), COUNT(*) FROM gold
+        UNION ALL
+        SELECT 'orders_days', SUM(n)::BIGINT, COUNT(*), COUNT(day)
+        FROM (SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS day, COUNT(*) AS n
+              FROM orders GROUP BY 1)""",
     "grain_check": f"""
         SELECT COUNT(*) AS total_rows, COUNT(DISTINCT reference_month) AS distinct_months,
                MIN(reference_month) AS first_month, MAX(reference_month) AS last_month
@@ -351,29 +393,44 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {_sums(MART_MEASURES[:3])}
         FROM (SELECT * FROM ({mart(False)}) ORDER BY reference_month DESC LIMIT 1)""",
     "metric_count": f"SELECT COUNT(*) AS count FROM ({mart(False)})",
+    "latest_keyed": f"""
+        SELECT * FROM ({mart(True)})
+        QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY reference_month DESC) <= 3""",
+    "dash_latest_keyed": f"""
+        SELECT l_returnflag, {_sums(MART_MEASURES[:3])}
+        FROM (SELECT * FROM ({mart(True)})
+              QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY reference_month DESC) = 1)
+        GROUP BY l_returnflag""",
+    "ordered_mart": f"""
+        SELECT l_returnflag, reference_month,
+               row_number() OVER (PARTITION BY l_returnflag ORDER BY reference_month) AS row_in_series
+        FROM ({mart(True)})""",
     "dropped_months": f"""
-        WITH nom AS ({nominal_monthly(True)}), ref AS ({REFERENCE_MONTHLY})
-        SELECT l_returnflag, reference_month, 'nominal_only' AS side
+        WITH nom AS (SELECT DISTINCT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS reference_month FROM lineitem),
+        ref AS ({REFERENCE_MONTHLY})
+        SELECT l_suppkey, reference_month, 'nominal_only' AS side
         FROM nom WHERE reference_month NOT IN (SELECT reference_month FROM ref)
         UNION ALL
-        SELECT CAST(NULL AS VARCHAR), reference_month, 'reference_only'
-        FROM ref WHERE reference_month NOT IN (SELECT reference_month FROM nom)""",
+        SELECT s.l_suppkey, ref.reference_month, 'reference_only'
+        FROM (SELECT DISTINCT l_suppkey FROM nom) s, ref
+        WHERE NOT EXISTS (FROM nom n WHERE n.l_suppkey = s.l_suppkey AND n.reference_month = ref.reference_month)""",
     "frame_gaps": """
         WITH m AS (
-            SELECT o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_month
+            SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_month
             FROM orders GROUP BY ALL),
         f AS (
-            SELECT o_orderstatus, reference_month,
+            SELECT o_custkey, reference_month,
                    COUNT(*) OVER win AS months_in_window,
                    MIN(reference_month) OVER win AS first_month_in_window
             FROM m
-            WINDOW win AS (PARTITION BY o_orderstatus ORDER BY reference_month
+            WINDOW win AS (PARTITION BY o_custkey ORDER BY reference_month
                            ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))
         SELECT *, CAST(date_diff('month', first_month_in_window, reference_month) + 1 AS BIGINT)
                   AS months_spanned
         FROM f
         WHERE date_diff('month', first_month_in_window, reference_month) + 1 <> months_in_window""",
     "layered_gold": _layered_gold(),
-    # two drops of files, the same Gold as one run over all of them
-    "layered_gold_incremental": _layered_gold(),
+    "layered_gold_rerun": f"SELECT COUNT(*) AS rows, COUNT(*) AS rows_again FROM ({_layered_gold()})",
+    # two drops of files; the newer record of a key wins
+    "layered_gold_incremental": _layered_gold(RATES_TWICE, REFERENCE_TWICE),
 }

@@ -2,27 +2,34 @@
 
 Scratch output (upsert staging, stream landings built by the registered
 queries) goes under the folder the cluster names in ``spark.checkpoint.dir``.
-Only a local session without that setting gets a private temporary folder.
+A session in one local process that has no such setting gets a temporary
+folder; any other session without it is refused. Scratch folders are deleted
+when the Python process ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_CREATED: set[str] = set()  # scratch folders of this process
+
 
 def build_session(
-    master: str = "local[8]",
+    master: str | None = "local[8]",
     app_name: str = "ratecraft",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """A session with AQE on and the UI off.
 
-    On a cluster, pass ``master=None`` and size ``shuffle_partitions`` to the
-    data (AQE coalesces small partitions and splits skewed ones at runtime).
+    On a cluster, pass ``master=None``. ``shuffle_partitions`` is set only if
+    given; size it to the data (AQE coalesces small partitions and splits
+    skewed ones at runtime).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -32,13 +39,14 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.session.timeZone": "UTC",
         # No Python call-site capture around every DataFrame/Column call: it
         # costs five JVM round trips per call while building a plan and only
         # adds the Python line to error messages.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -49,9 +57,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Only a local-mode session without one gets a temporary folder;
-    a cluster session without one is an error, since a machine-local folder
-    is not visible to other executors.
+    context). Only a session whose executor is the driver's own process
+    (master ``local`` or ``local[n]``) gets a temporary folder without one;
+    elsewhere that is an error, since a machine-local folder is not visible
+    to other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,7 +68,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise ValueError(
                 "spark.checkpoint.dir is not set; scratch output needs a shared folder"
             )
@@ -69,19 +78,84 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder below the checkpoint root."""
-    return f"{checkpoint_root(spark)}/ratecraft/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the checkpoint root, deleted when the process ends."""
+    path = f"{checkpoint_root(spark)}/ratecraft/{label}-{uuid.uuid4().hex[:12]}"
+    if not _CREATED:
+        atexit.register(_remove_scratch, spark)
+    _CREATED.add(path)
+    return path
+
+
+def forget_scratch(path: str) -> None:
+    """Leave a scratch folder in place when the process ends."""
+    _CREATED.discard(path)
+
+
+def _remove_scratch(spark: SparkSession) -> None:
+    for path in sorted(_CREATED):
+        try:
+            remove_path(spark, path)
+        except Exception:  # the JVM is gone already: nothing can be deleted any more
+            return
+    _CREATED.clear()
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) through which the session reads and writes ``path``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop file system the session writes with."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
 
 
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder (and its parents) through the session's Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; raises if the file system refuses."""
+    fs, s = _file_system(spark, source)
+    _, t = _file_system(spark, target)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(s, t):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path that aren't hidden."""
+    fs, target = _file_system(spark, path)
+    found = [f.getPath().getName() for f in fs.listStatus(target) if f.isDirectory()]
+    return sorted(n for n in found if not n.startswith(("_", ".")))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole (overwritten if it exists)."""
+    fs, target = _file_system(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small file, None if there is none."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

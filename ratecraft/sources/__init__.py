@@ -12,7 +12,7 @@ from .raw import (
     read_raw,
     series_range,
 )
-from .tables import read_driver_table, read_input, read_table, table_exists, try_read_table
+from .tables import read_driver_table, read_table, table_exists, try_read_table
 
 __all__ = [
     "BRONZE_COLUMNS",
@@ -24,7 +24,6 @@ __all__ = [
     "read_bronze",
     "read_bronze_stream",
     "read_driver_table",
-    "read_input",
     "read_raw",
     "read_table",
     "series_range",

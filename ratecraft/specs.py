@@ -17,6 +17,10 @@ from dataclasses import dataclass, replace
 #   output rounding ............. 8 decimal places
 #   daily nominal rate range .... [-5, 10] percent per day   (series "selic")
 #   monthly inflation range ..... [-20, 50] percent per month (series "ipca")
+#   raw record fields ........... data, valor (strings; sources/raw.py RAW_SCHEMA)
+#   Bronze columns .............. data_raw, valor_raw, series_name, source_file,
+#                                 source_path, ingestion_timestamp, ingestion_date
+#                                 (sources/raw.py BRONZE_SCHEMA, which adds source_modified_at)
 # ---------------------------------------------------------------------------
 RAW_DATE_PATTERN = "dd/MM/yyyy"
 RATE_TYPE = "decimal(18,8)"
@@ -50,6 +54,8 @@ class SeriesSpec:
     # append-only log of (series_name, reference_month) touched by incremental
     # Silver runs; the incremental Gold job reads it
     changes: str | None = None
+    # records that the incremental Silver job refused, with the rule they broke
+    quarantine: str | None = None
     multi_line: bool = True
     series_from_dir: bool = False
     max_files_per_trigger: int | None = None
@@ -80,6 +86,7 @@ class SeriesSpec:
             checkpoint=self.checkpoint or f"{root}/checkpoints/bronze_{self.name}",
             silver_checkpoint=self.silver_checkpoint or f"{root}/checkpoints/silver_{self.name}",
             changes=self.changes or f"{root}/changes/{self.name}",
+            quarantine=self.quarantine or f"{root}/quarantine/{self.name}",
         )
 
 

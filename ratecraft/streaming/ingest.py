@@ -9,7 +9,7 @@ committed batches, and a batch whose tasks died is redone, not duplicated.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -96,20 +96,40 @@ def await_all(queries: Iterable[StreamingQuery], failures: list[BaseException] |
         raise failures[0]
 
 
-def run_ingest(spark: SparkSession, specs: Iterable[SeriesSpec]) -> list[StreamingQuery]:
-    """Bronze job: every registered series at once, then wait for all of them.
+#: Streams that run at the same time; each holds a driver thread.
+STREAMS_AT_ONCE = 16
 
-    The streams share the cluster, so many small series do not queue behind
-    each other. Each has its own checkpoint, so a failed series does not
-    affect the others; the first failure is raised once every stream has
-    stopped.
+
+def run_streams(specs: Iterable[SeriesSpec], start: Callable[[SeriesSpec], StreamingQuery]) -> list[StreamingQuery]:
+    """Start a stream for every spec, STREAMS_AT_ONCE at a time, and wait for all of them.
+
+    A failed series does not keep others from running; the first failure is
+    raised once every stream has stopped.
     """
-    started: list[StreamingQuery] = []
+    todo = list(specs)
+    done: list[StreamingQuery] = []
     failures: list[BaseException] = []
-    for spec in specs:
+    for at in range(0, len(todo), STREAMS_AT_ONCE):
+        started: list[StreamingQuery] = []
+        for spec in todo[at : at + STREAMS_AT_ONCE]:
+            try:
+                started.append(start(spec))
+            except Exception as exc:  # a stream that cannot start (e.g. no landing folder)
+                failures.append(exc)
         try:
-            started.append(start_ingest(spark, spec))
-        except Exception as exc:  # a stream that cannot start (e.g. no landing folder)
+            await_all(started)
+        except Exception as exc:
             failures.append(exc)
-    await_all(started, failures)
-    return started
+        done += started
+    if failures:
+        raise failures[0]
+    return done
+
+
+def run_ingest(spark: SparkSession, specs: Iterable[SeriesSpec]) -> list[StreamingQuery]:
+    """Bronze job: every registered series (see :func:`run_streams`), each with its own checkpoint.
+
+    The streams share the cluster, so many small series do not queue behind
+    each other.
+    """
+    return run_streams(specs, lambda spec: start_ingest(spark, spec))

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratecraft.operators import content_fingerprint, dropped_months, frame_gaps, monthly_rates, monthly_reference
-from ratecraft.plans.jobs import MartSpec, gold_view, run_conform, run_layers
+from ratecraft.plans.jobs import MartSpec, gold_view, run_conform, run_layers, run_mart
 from ratecraft.session import checkpoint_root
 from ratecraft.sources import raw_contract, read_raw, read_table
+from ratecraft.sources.raw import file_contract
 from ratecraft.specs import IPCA, SELIC
 from ratecraft.streaming import ingest_series
 
@@ -352,3 +353,62 @@ def test_archive_moves_landed_files_and_ingest_continues(spark, tmp_path):
     archived = {p.name for p in (tmp_path / "archive").rglob("*.json")}
     assert {"a.json", "b.json"} <= archived
     assert not (landing / "a.json").exists() and not (landing / "b.json").exists()
+
+
+def test_incremental_layers_recover_from_bad_records_and_empty_files(spark, tmp_path):
+    """Bad record, corrected record and an empty array: Silver and Gold equal the full jobs."""
+    root, selic, ipca, mart = layout(tmp_path)
+    mart = replace(mart, checkpoint=str(root / "checkpoints" / "gold"))
+    landing = root / "landing" / "selic"
+    run_layers(spark, [selic, ipca], mart, incremental=True)
+    before = gold_view(spark, mart).count()
+
+    write_raw(landing, "empty.json", [])
+    run_layers(spark, [selic, ipca], mart, incremental=True)
+    assert gold_view(spark, mart).count() == before
+
+    write_raw(landing, "bad.json", [{"data": "02/01/2025", "valor": "11"}, {"data": "03/01/2025"}, {"data": "06/01/2025", "valor": "0.04"}])
+    with pytest.raises(ValueError, match="refused"):
+        run_layers(spark, [selic, ipca], mart, incremental=True)
+    refused = {r.refused for r in spark.read.parquet(selic.quarantine).collect()}
+    assert refused == {"rate out of range", "no valid rate"}
+    silver = read_table(spark, selic.silver)
+    assert silver.where(F.col("reference_date") == "2025-01-06").count() == 1
+    with pytest.raises(ValueError):
+        run_conform(spark, [selic, ipca])  # the full job refuses the same Bronze
+
+    write_raw(landing, "corrected.json", [{"data": "02/01/2025", "valor": "0.05"}, {"data": "03/01/2025", "valor": "0.06"}])
+    write_raw(root / "landing" / "ipca", "ipca_2025.json", [{"data": "01/01/2025", "valor": "0.3"}])
+    run_layers(spark, [selic, ipca], mart, incremental=True)
+    columns = ["series_name", "reference_date", "selic_daily_pct"]
+    got = content_fingerprint(read_table(spark, selic.silver).select(columns)).first()
+    gold = content_fingerprint(gold_view(spark, mart)).first()
+    assert gold.rows == before + 1
+
+    full = replace(selic, silver=str(root / "full_silver")), replace(ipca, silver=str(root / "full_ipca"))
+    run_conform(spark, full)
+    assert content_fingerprint(read_table(spark, full[0].silver).select(columns)).first() == got
+    full_mart = replace(mart, nominal=full[0], reference=full[1], gold=str(root / "full_gold"))
+    run_mart(spark, full_mart)
+    assert content_fingerprint(gold_view(spark, full_mart)).first() == gold
+
+
+def test_incremental_gold_by_other_keys_is_refused(spark, tmp_path):
+    root, selic, ipca, mart = layout(tmp_path)
+    with pytest.raises(ValueError, match="keys"):
+        run_layers(spark, [selic, ipca], replace(mart, keys=("source_file",)), incremental=True)
+
+
+def test_contract_stops_behind_the_ingest(spark, tmp_path):
+    root, selic, ipca, mart = layout(tmp_path)
+    run_layers(spark, [selic, ipca], mart, contract=True)
+    landing = root / "landing" / "selic"
+    write_raw(landing, "empty.json", [])
+    write_raw(landing, "holes.json", [{"data": "03/01/2025"}, {"data": "2025-01-04", "valor": "x"}, {"data": "05/01/2025", "valor": "1"}, {"data": "05/01/2025", "valor": "2"}])
+    report = {r.source_file: r for r in file_contract(spark, selic).collect()}
+    assert not report["empty.json"].contract_ok and report["empty.json"].records == 0
+    holes = report["holes.json"]
+    assert (holes.records, holes.missing_data, holes.missing_valor, holes.bad_data, holes.bad_valor, holes.repeated_keys) == (4, 0, 1, 1, 1, 1)
+    assert sum(not r.contract_ok for r in report.values()) == 2
+    with pytest.raises(ValueError, match="2 files break the contract"):
+        run_layers(spark, [selic, ipca], mart, contract=True)

@@ -1,8 +1,10 @@
+import importlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from ratecraft.operators import content_fingerprint, upsert
-from ratecraft.sources import read_table
+from ratecraft.operators import content_fingerprint, merged_content, recover, staged, upsert
+from ratecraft.sources import read_table, try_read_table
 
 SCHEMA = "k int, v double, part int"
 
@@ -97,3 +99,85 @@ def test_partitioned_write_makes_one_file_per_partition(spark, tmp_path):
     for year in range(2000, 2005):
         assert len(glob.glob(f"{target}/part={year}/*.parquet")) == 1
     assert read_table(spark, target).count() == 2000
+
+
+@pytest.mark.parametrize("parts", [(), ("part",)])
+def test_a_failed_write_leaves_the_target(spark, tmp_path, parts):
+    target = str(tmp_path / "t")
+    rows = [(k, float(k), 2000 + k % 3) for k in range(100)]
+    upsert(spark, spark.createDataFrame(rows, SCHEMA), target, ["k"], parts)
+    before = content_fingerprint(read_table(spark, target)).first()
+    spark.conf.set("spark.sql.parquet.compression.codec", "brotli")
+    try:
+        with pytest.raises(Exception):
+            upsert(spark, spark.createDataFrame([(1, 9.0, 2001)], SCHEMA), target, ["k"], parts, source_staged=True)
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+    assert content_fingerprint(read_table(spark, target)).first() == before
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]  # nothing half-written stays behind
+
+
+@pytest.mark.parametrize("parts", [(), ("part",)])
+@pytest.mark.parametrize("dies_at", [0, 1, 2])
+def test_a_commit_cut_short_is_finished_by_the_next_upsert(spark, tmp_path, monkeypatch, parts, dies_at):
+    module = importlib.import_module("ratecraft.operators.upsert")
+    target = str(tmp_path / "t")
+    rows = [(k, float(k), 2000 + k % 3) for k in range(30)]
+    upsert(spark, spark.createDataFrame(rows, SCHEMA), target, ["k"], parts)
+    calls, real = [], module.move_path
+
+    def dying(*args):  # the driver dies just before the n-th rename, its old folder gone already
+        calls.append(args)
+        if len(calls) > dies_at:
+            raise KeyboardInterrupt
+        real(*args)
+
+    change = [(k, -1.0, 2000 + k % 3) for k in range(3)]
+    monkeypatch.setattr(module, "move_path", dying)
+    if parts or not dies_at:
+        with pytest.raises(KeyboardInterrupt):
+            upsert(spark, spark.createDataFrame(change, SCHEMA), target, ["k"], parts)
+        monkeypatch.setattr(module, "move_path", real)
+        assert recover(spark, target) and not recover(spark, target)
+        got = {r.k: r.v for r in read_table(spark, target).collect()}
+        assert got == {k: -1.0 if k < 3 else float(k) for k in range(30)}
+
+
+def test_only_a_missing_table_counts_as_absent(spark, tmp_path):
+    assert try_read_table(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("no parquet at all")
+    with pytest.raises(Exception):
+        upsert(spark, spark.createDataFrame([(1, 1.0, 1)], SCHEMA), str(tmp_path / "bad"), ["k"])
+    assert (tmp_path / "bad" / "part-0.parquet").read_text() == "no parquet at all"
+
+
+@pytest.mark.parametrize("parts", [(), ("part",)])
+def test_an_empty_first_load_reads_as_empty(spark, tmp_path, parts):
+    target = str(tmp_path / "t")
+    empty = spark.createDataFrame([], SCHEMA)
+    assert upsert(spark, empty, target, ["k"], parts) == "created"
+    assert read_table(spark, target).count() == 0
+    assert upsert(spark, empty, target, ["k"], parts) == "merged"
+    upsert(spark, spark.createDataFrame([(1, 1.0, 7)], SCHEMA), target, ["k"], parts)
+    assert [tuple(r) for r in read_table(spark, target).select("k", "v", "part").collect()] == [(1, 1.0, 7)]
+
+
+def test_partition_values_keep_their_types(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert(spark, spark.createDataFrame([(1, "011")], "k int, series string"), target, ["k"], ("series",))
+    assert [tuple(r) for r in read_table(spark, target).collect()] == [(1, "011")]
+
+
+def test_a_staged_source_prunes_the_target(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = [(k, 0.0, 2000 + k % 10) for k in range(100)]
+    upsert(spark, spark.createDataFrame(rows, SCHEMA), target, ["k"], ("part",))
+    with staged(spark, spark.createDataFrame([(3, 1.0, 2003), (5, 1.0, 2005)], SCHEMA), "test") as source:
+        merged = merged_content(read_table(spark, target), source, ["k"], ("part",))
+        plan = merged._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        filters = next(x for x in plan.split("\n") if "PartitionFilters" in x and "dynamicpruning" in x)
+        assert "2003" in filters and "2005" in filters
+        assert merged.count() == 20
