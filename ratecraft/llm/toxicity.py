@@ -1,7 +1,8 @@
 """Toxicity by maximum-scoring segments of token log-odds, calibrated by extreme values.
 
-1. Token counts, in documents, over the whole corpus (the informative part of
-   the Dirichlet prior) and over the toxic and the clean training rows. Tokens
+1. Token counts, in documents, over the toxic and the clean training rows and,
+   for tokens that stand out there, over the whole corpus (the informative part
+   of the Dirichlet prior). Tokens
    are words (runs of letters, digits and non-ASCII bytes; A-Z lower-cased) and,
    as a back-off for words not seen in training, four-byte word beginnings.
 2. Weight of a token: the log-odds of the two classes under the prior, brought
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import Scratch, fold_table, nonword_table, word_hashes
+from ratecraft.llm.common import Scratch, bloom_has, bloom_of, fold_table, nonword_table, word_hashes
 from ratecraft.llm.labels import fold, training_labels
 
 FOLDS, HELD_OUT = 4, 2
@@ -60,43 +61,70 @@ def document_tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndar
             yield first + r, words[s], heads[s]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, documents, toxic, clean), summed within a task as far as memory allows."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of count rows by token, for (tokens, (rows, counts)) pairs."""
+    keys = np.concatenate([p[0] for p in parts])
+    counts = np.concatenate([p[1] for p in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[start], np.add.reduceat(counts, start, axis=0)
 
-    def summed(parts):
-        keys = np.concatenate([p[0] for p in parts])
-        kind = np.concatenate([p[1] for p in parts])
-        if kind.ndim == 1:
-            kind = np.stack([np.ones(len(kind), np.int64), kind == 1, kind == 0], axis=1).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, kind = keys[order], kind[order]
-        start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[start], np.add.reduceat(kind, start, axis=0)
+
+def _counting(names: list[str], count, most: int = 1_000_000):
+    """Sums rows of ``count(batch)`` by token within a task, as far as memory allows.
+
+    count yields (tokens, (rows, columns) counts).
+    """
 
     def batch(part):
-        return pa.RecordBatch.from_arrays(
-            [part[0].view(np.int64), *(np.ascontiguousarray(part[1][:, k]) for k in range(3))], ["token", "n", "toxic", "clean"]
-        )
-
-    total, parts, size = [], [], 0
-    for b in batches:
-        labels = b.column(0).fill_null(-1).to_numpy()
-        for row, words, heads in document_tokens(b.column(1)):
+        columns = (np.ascontiguousarray(part[1][:, k]) for k in range(len(names) - 1))
+        return pa.RecordBatch.from_arrays([part[0].view(np.int64), *columns], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for b in batches:
+            for tokens, counts in count(b):
+                if not len(tokens):
+                    continue
+                parts.append((tokens, counts))
+                size += len(tokens)
+                if size > 2 * most:
+                    parts = [_summed(parts)]
+                    size = len(parts[0][0])
+                    if size > most:
+                        yield batch(parts.pop())
+                        size = 0
+        if parts:
+            yield batch(_summed(parts))
+
+    return run
+
+
+def _labelled(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Documents of each class by token, of rows (label, text)."""
+    labels = b.column(0).to_numpy()
+    for row, words, heads in document_tokens(b.column(1)):
+        own = np.unique(np.concatenate((words, heads)))
+        yield own, np.broadcast_to(np.array([labels[row] == 1, labels[row] == 0], np.int64), (len(own), 2))
+
+
+TOTAL = np.uint64(1)  # the token under which all of a task's tokens are counted
+
+
+def _corpus(bloom: np.ndarray):
+    """Documents by token, of rows (text), for tokens that the filter may hold."""
+
+    def count(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        total = 0
+        for _, words, heads in document_tokens(b.column(0)):
             own = np.unique(np.concatenate((words, heads)))
-            if len(own):
-                parts.append((own, np.full(len(own), labels[row], np.int64)))
-                size += len(own)
-            if size > 1_000_000:
-                total.append(summed(parts))
-                parts, size = [], 0
-                if sum(len(t[0]) for t in total) > 3_000_000:
-                    total = [summed(total)]
-                    if len(total[0][0]) > 1_500_000:
-                        yield batch(total.pop())
-    if parts:
-        total.append(summed(parts))
-    if total:
-        yield batch(summed(total))
+            total += len(own)
+            own = own[bloom_has(bloom, own.view(np.int64))]
+            yield own, np.ones((len(own), 1), np.int64)
+        yield np.array([TOTAL]), np.array([[total]], np.int64)
+
+    return count
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -151,31 +179,34 @@ def _tail(keys: np.ndarray, weights: np.ndarray):
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn token weights and the clean tail; labels of the held-out fold are not read."""
+    scratch = Scratch(docs.sparkSession, "toxicity")
     sample = training_labels(labels, "toxic", FOLDS, HELD_OUT)
-    sample = Scratch(docs.sparkSession, "toxicity").write(sample.withColumn("tail", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0))
+    sample = scratch.write(sample.withColumn("tail", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0))
     learn = F.broadcast(sample.filter("not tail or label = 1").select("doc_id", "label"))  # at most TRAINING_ROWS
-    counts = (
-        docs.select("doc_id", "text")
-        .join(learn, "doc_id", "left")
-        .select("label", "text")
-        .mapInArrow(_count, "token long, n long, toxic long, clean long")
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    )
-    counts = Scratch(docs.sparkSession, "toxicity").write(counts)
-    sums = counts.agg(F.sum("n"), F.sum("toxic"), F.sum("clean")).first()
-    n_all, n_toxic, n_clean = (float(x or 0) for x in sums)
+    seen = docs.select("doc_id", "text").join(learn, "doc_id").select("label", "text")
+    seen = seen.mapInArrow(_counting(["token", "toxic", "clean"], _labelled), "token long, toxic long, clean long")
+    counts = scratch.write(seen.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    n_toxic, n_clean = (float(x or 0) for x in counts.agg(F.sum("toxic"), F.sum("clean")).first())
     if not n_toxic or not n_clean:
         return Model(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0, 0.5)
-    alpha = F.lit(PRIOR_TOKENS) * F.col("n") / F.lit(n_all) + F.lit(FLAT_PRIOR)
-    rest = PRIOR_TOKENS + FLAT_PRIOR
-    odds = F.log((F.col("toxic") + alpha) / (F.lit(n_toxic + rest) - F.col("toxic") - alpha)) - F.log(
-        (F.col("clean") + alpha) / (F.lit(n_clean + rest) - F.col("clean") - alpha)
-    )
-    spread = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
+
+    def log_odds(alpha, rest):
+        """(log-odds, their standard deviation) under a prior of alpha for the token, rest in all."""
+        toxic, clean = F.col("toxic") + alpha, F.col("clean") + alpha
+        odds = F.log(toxic / (F.lit(n_toxic + rest) - toxic)) - F.log(clean / (F.lit(n_clean + rest) - clean))
+        return odds, F.sqrt(1 / toxic + 1 / clean)
+
+    # the corpus is counted for tokens whose odds stand out under the flat prior alone; it shrinks the others to zero
+    odds, spread = log_odds(F.lit(FLAT_PRIOR), FLAT_PRIOR)
+    likely = scratch.write(counts.filter(F.abs(odds) > spread))
+    bloom = bloom_of(likely, "token", likely.count())
+    everywhere = docs.select("text").mapInArrow(_counting(["token", "n"], _corpus(bloom)), "token long, n long")
+    everywhere = scratch.write(everywhere.groupBy("token").agg(F.sum("n").alias("n")))
+    n_all = float(everywhere.filter(F.col("token") == int(TOTAL)).agg(F.sum("n")).first()[0] or 1)
+    odds, spread = log_odds(F.lit(PRIOR_TOKENS) * F.coalesce("n", F.lit(0)) / F.lit(n_all) + F.lit(FLAT_PRIOR), PRIOR_TOKENS + FLAT_PRIOR)
     weight = F.signum(odds) * F.greatest(F.lit(0.0), F.abs(odds) - F.lit(SHRINK) * spread)
     kept = (
-        counts.filter("toxic + clean > 0")
+        likely.join(everywhere, "token", "left")
         .select("token", weight.alias("weight"))
         .filter("abs(weight) > 0.05")
         .orderBy(F.abs("weight").desc(), "token")
