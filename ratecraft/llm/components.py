@@ -80,18 +80,21 @@ def bucket_members(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """
     w = Window.partitionBy("key")
     met = rows.select("key", "id", "plan", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), F.count("*").over(w).alias("n"))
-    met = scratch.write(met.filter("low <> high").select("key", "id", "plan", "n").distinct())
+    met = scratch.write(met.filter("low <> high").select("key", "id", "plan", "low", "n").distinct())
+    # most buckets hold two ids: nothing to choose there
+    pairs = met.filter("n = 2").select("key", "id", F.col("low").alias("hub"))
     company = met.groupBy("id").agg(F.sum("n").alias("company"))
     heat = met.filter(f"n > {HOT_BUCKET} and plan >= 0").groupBy("id", "plan").agg(F.count("*").alias("heat"))
     stay = (
-        met.join(company, "id")
+        met.filter("n > 2")
+        .join(company, "id")
         .join(heat.withColumnRenamed("id", "hot_id").withColumnRenamed("plan", "hot_plan"), F.expr("id = hot_id and plan = hot_plan"), "left")
         .filter(f"n <= {HOT_BUCKET} or plan < 0 or heat > plan % {SPARE}")
         .select("key", "id", "company")
     )
     lead = F.max(F.struct("company", "id")).over(w)["id"].alias("hub")
     out = stay.select("key", "id", lead, F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"))
-    out = scratch.write(out.filter("low <> high").select("key", "id", "hub").distinct())
+    out = scratch.write(out.filter("low <> high").select("key", "id", "hub").distinct().unionByName(pairs))
     scratch.drop(met)
     return out
 

@@ -12,8 +12,9 @@ deleted, which bears one difference a segment; should even that not reach H + 1,
 its single shingles are indexed. Allocation by cost: two similar sets share more
 keys than a set has segments beyond H + 1, so a set leaves that many of its
 hottest buckets (a common line's, say) without losing a partner. Every pair that reaches the threshold shares a
-key, so the join is exact; candidates pass a size and a parity-bitmap bound
-(both necessary conditions) and are verified on the whole sets.
+key, so the join is exact; candidates pass a size bound and parity bitmaps, a
+short one and one as long as the set (all necessary conditions), and are
+verified on the whole sets.
 
 Copies with the same set form one class, named by a 64-bit digest; classes
 take part, not copies (about n^2 / 2^65 accidental class merges are expected,
@@ -25,7 +26,6 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +47,12 @@ from ratecraft.llm.components import SPARE, bucket_members, link_buckets
 WORDS = 5
 THRESHOLD = 80  # percent
 RATIO = 1.25  # 100 / THRESHOLD: a partner is at most one band away
-BITMAP_LONGS = 8
+BITMAP_LONGS = 4
+
+
+_SCHEMES: dict[int, tuple[int, int]] = {}
 
 
-@lru_cache(maxsize=None)
 def scheme(band: int) -> tuple[int, int]:
     """(segments m, non-empty segments needed H + 1) of a band.
 
@@ -59,12 +61,15 @@ def scheme(band: int) -> tuple[int, int]:
     the least that leaves the smallest sets of the band (80 % of its lower
     edge) four standard deviations above H + 1.
     """
+    if band in _SCHEMES:
+        return _SCHEMES[band]
     largest = math.ceil(RATIO ** (band + 1)) - 1
     need = 2 * largest * (100 - THRESHOLD) // (100 + THRESHOLD) + 1
     low = max(1.0, RATIO**band * THRESHOLD / 100)
     m = need + 2
     while m < 2 * need and m - (empty := m * math.exp(-low / m)) - 4 * math.sqrt(empty) < need:
         m += 1
+    _SCHEMES[band] = m, need
     return m, need
 
 
@@ -136,22 +141,49 @@ def digest(s: np.ndarray) -> int:
     return int(mix(np.array([x], np.uint64)).view(np.int64)[0])
 
 
-def parity_bitmap(s: np.ndarray) -> np.ndarray:
-    """Bit i is the parity of the shingles hashed to i; two bitmaps differ in at most |A xor B| bits."""
-    bit = np.bincount((mix(s) & np.uint64(BITMAP_LONGS * 64 - 1)).astype(np.int64), minlength=BITMAP_LONGS * 64) & 1
-    return np.packbits(bit.astype(np.uint8)).view(np.int64)
+def parity_bitmap(s: np.ndarray, bits: int) -> np.ndarray:
+    """Bit i is the parity of the shingles hashed to i (bits is a power of two).
+
+    Two sets' bitmaps differ in at most |A xor B| bits.
+    """
+    bit = np.bincount((mix(s) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(bit.astype(np.uint8))
+
+
+def wide_bits(size: int) -> int:
+    """Bits of the wide bitmap: about one a shingle, so unrelated sets differ far beyond the threshold."""
+    return 1 << max(9, int(size - 1).bit_length())
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """Differing bits of two wide bitmaps, the longer one folded to the shorter one's length."""
+    x, y = (np.frombuffer(v, np.uint8) for v in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.unpackbits(x ^ y).sum())
+
+
+def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v, size_u, size_v, wide_u, wide_v) whose wide bitmaps allow the threshold."""
+    for b in batches:
+        su, sv = b.column(2).to_numpy(), b.column(3).to_numpy()
+        apart = [_differing(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
+        good = (100 + THRESHOLD) * np.array(apart, np.int64) <= (100 - THRESHOLD) * (su + sv)
+        yield b.select([0, 1]).filter(pa.array(good))
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sizes, names, bits = [], [], []
+        sizes, names, bits, wide = [], [], [], []
         for _, s in shingle_sets(b.column(1)):
             sizes.append(len(s))
             names.append(digest(s) if len(s) else None)
-            bits.append(parity_bitmap(s))
+            bits.append(parity_bitmap(s, BITMAP_LONGS * 64).view(np.int64))
+            wide.append(parity_bitmap(s, wide_bits(len(s))).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(bits, pa.list_(pa.int64()))],
-            ["doc_id", "size", "id", "bits"],
+            [b.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.binary())],
+            ["doc_id", "size", "id", "bits", "wide"],
         )
 
 
@@ -228,18 +260,21 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "jaccard")
     texts = docs.select("text")
     classes = scratch.write(
-        docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, size long, id long, bits array<long>")
+        docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, size long, id long, bits array<long>, wide binary")
     )
     members = bucket_members(texts.mapInArrow(_keys, "key long, id long, plan long").repartition("key"), scratch)
     traits = (
         classes.filter("id is not null")
         .join(members.select("id").distinct(), "id", "left_semi")
         .groupBy("id")
-        .agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id"))
+        .agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("wide").alias("wide"), F.min("doc_id").alias("doc_id"))
     )
     traits = scratch.write(traits)
 
     def verify(pairs: DataFrame) -> DataFrame:
+        sketch = lambda c: traits.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("wide").alias(f"wide_{c}"))
+        near = pairs.join(sketch("u"), "u").join(sketch("v"), "v").select("u", "v", "size_u", "size_v", "wide_u", "wide_v")
+        pairs = scratch.write(near.mapInArrow(_near_enough, "u long, v long"))
         ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
         ids = scratch.write(ids.join(traits.select("id", "doc_id"), "id"))
         n = ids.count()
@@ -255,7 +290,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         # a class that several tasks sent gives its pairs more than once; links are a set
         return met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v")
 
-    _, comps = link_buckets(members, traits.drop("doc_id"), _plausible, verify, scratch)
+    _, comps = link_buckets(members, traits.drop("doc_id", "wide"), _plausible, verify, scratch)
     named = classes.select("doc_id", "size", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("doc_id", "size", "id", F.coalesce("comp", "id").alias("comp"))
     least = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
