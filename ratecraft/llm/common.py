@@ -239,3 +239,27 @@ def bloom_has(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
         bit = (k >> np.uint64(s)) & (n - np.uint64(1))
         out &= (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
     return out
+
+
+def _filtered(bloom: np.ndarray, at: int, keep: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(at)
+            held = bloom_has(bloom, ids.fill_null(0).to_numpy().astype(np.int64)) & ~np.asarray(ids.is_null())
+            yield b.filter(pa.array(held == keep))
+
+    return run
+
+
+def drop_ids(rows: DataFrame, gone: DataFrame, column: str, n: int) -> DataFrame:
+    """Rows whose bigint ``column`` isn't among the n of ``gone`` (one column of that name).
+
+    A bounded Bloom filter lets the rows that can't be among them pass where
+    they are read; only the others are shuffled for the exact anti join. Nulls stay.
+    """
+    if not n:
+        return rows
+    bloom, at = bloom_of(gone, column, n), rows.columns.index(column)
+    rest = rows.mapInArrow(_filtered(bloom, at, False), rows.schema)
+    asked = rows.mapInArrow(_filtered(bloom, at, True), rows.schema)
+    return rest.unionByName(asked.join(gone.hint("merge"), column, "left_anti").select(rows.columns))

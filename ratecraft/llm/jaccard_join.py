@@ -38,6 +38,7 @@ from ratecraft.llm.common import (
     bloom_has,
     bloom_of,
     constants,
+    drop_ids,
     fold_table,
     mix,
     word_hashes,
@@ -308,7 +309,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Columns and types as given. Documents without text or with a null doc_id
     stay; repeated rows (same doc_id and text) count as copies, one stays.
     """
-    groups = jaccard_classes(docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    groups = scratch.write(jaccard_classes(docs))
+    gone = scratch.write(groups.filter("doc_id <> component_id").select("doc_id").distinct())
+    kept = drop_ids(docs, gone, "doc_id", gone.count())
+    if groups.groupBy("doc_id", "class_id").count().filter("count > 1").isEmpty():
+        return kept  # no repeated rows: the sort by text isn't needed
+    return kept.dropDuplicates(["doc_id", "text"])

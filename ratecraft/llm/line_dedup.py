@@ -153,7 +153,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     positions = Scratch(docs.sparkSession, "lines").write(repeated_chunks(docs)).select(F.col("doc_id").alias("__id"), F.col("positions").alias("__at"))
     added = ["n_chunks", "n_removed", "words_removed"]
     extra = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
-    joined = docs.join(positions, docs["doc_id"] == positions["__id"], "left").select("doc_id", "text", "__at", *extra)
+    # always by shuffle: the list grows with the corpus
+    joined = docs.join(positions.hint("merge"), docs["doc_id"] == positions["__id"], "left").select("doc_id", "text", "__at", *extra)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = "doc_id long, text string, n_chunks long, n_removed long, words_removed long" + "".join(f", `{c}` {kinds[c]}" for c in extra)
     return joined.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_rewrite, schema)
