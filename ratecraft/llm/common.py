@@ -32,19 +32,30 @@ class Scratch:
         self.spark = spark
         self.root = scratch_dir(spark, label)
         self.count = 0
+        self.paths: list[str] = []
 
-    def write(self, df: DataFrame, keep: bool = True) -> DataFrame:
+    def write(self, df: DataFrame) -> DataFrame:
         """Write ``df`` once and return the scan of what was written."""
         self.count += 1
         path = f"{self.root}/t{self.count}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.paths.append(path)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
             remove_path(self.spark, t._scratch_path)
+            self.paths.remove(t._scratch_path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all tables but these."""
+        kept = [t._scratch_path for t in tables]
+        for path in self.paths:
+            if path not in kept:
+                remove_path(self.spark, path)
+        self.paths = kept
 
 
 # -- hashing ---------------------------------------------------------------

@@ -243,7 +243,7 @@ def _plausible(l: str, r: str) -> str:
     )
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
+def jaccard_classes(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id, component_id.
 
     Documents link when 100 * |A & B| >= 80 * |A | B| on their distinct 5-word
@@ -257,8 +257,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     and share a class. An empty table gives an empty result; other columns are
     not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "jaccard")
+    scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     texts = docs.select("text")
     classes = scratch.write(
         docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, size long, id long, bits array<long>, wide binary")
@@ -289,9 +288,12 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         both = F.size(F.array_intersect("a", "b"))
         met = pairs.join(left, "u").join(right, "v").withColumn("both", both)
         # a class that several tasks sent gives its pairs more than once; links are a set
-        return met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v")
+        linked = scratch.write(met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v"))
+        scratch.drop(sets, ids)
+        return linked
 
     _, comps = link_buckets(members, traits.drop("doc_id", "wide"), _plausible, verify, scratch)
+    scratch.keep(classes, comps)
     named = classes.select("doc_id", "size", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("doc_id", "size", "id", F.coalesce("comp", "id").alias("comp"))
     least = named.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
@@ -310,7 +312,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stay; repeated rows (same doc_id and text) count as copies, one stays.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
-    groups = scratch.write(jaccard_classes(docs))
+    groups = scratch.write(jaccard_classes(docs, scratch))
+    scratch.keep(groups)
     gone = scratch.write(groups.filter("doc_id <> component_id").select("doc_id").distinct())
     kept = drop_ids(docs, gone, "doc_id", gone.count())
     if groups.groupBy("doc_id", "class_id").count().filter("count > 1").isEmpty():

@@ -126,9 +126,8 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, positions): the chunks of each document that stand elsewhere before."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lines")
+    """(doc_id, positions): the chunks of each document that stand elsewhere before; written."""
+    scratch = Scratch(docs.sparkSession, "lines")
     hashes = docs.select("text").mapInArrow(_hashes, "hash long")
     twice = scratch.write(hashes.groupBy("hash").count().filter("count > 1").select("hash"))
     bloom = bloom_of(twice, "hash", twice.count())
@@ -137,7 +136,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     # grouping on the bytes is the comparison; the minimum is combined before the shuffle
     first = found.groupBy("hash", "chunk").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = found.join(first, ["hash", "chunk"]).filter("doc_id <> first.doc_id or pos <> first.pos or first.doc_id is null")
-    return later.filter("doc_id is not null").select("doc_id", "pos").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    later = later.filter("doc_id is not null").select("doc_id", "pos").distinct()
+    out = scratch.write(later.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("positions")))
+    scratch.keep(out)
+    return out
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -150,7 +152,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     empty result. Extra columns keep their names; one named like an added
     column is left out.
     """
-    positions = Scratch(docs.sparkSession, "lines").write(repeated_chunks(docs)).select(F.col("doc_id").alias("__id"), F.col("positions").alias("__at"))
+    positions = repeated_chunks(docs).select(F.col("doc_id").alias("__id"), F.col("positions").alias("__at"))
     added = ["n_chunks", "n_removed", "words_removed"]
     extra = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
     # always by shuffle: the list grows with the corpus

@@ -216,6 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     keys = kept.column("token").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     keys, weights = keys[order], kept.column("weight").to_numpy()[order]
+    scratch.keep(sample)
 
     tail = F.broadcast(sample.filter("tail and label = 0").select("doc_id"))
     seen = docs.select("doc_id", "text").join(tail, "doc_id", "left_semi").select("text")
@@ -224,6 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rate = (over + 1) / (excess + 1)  # one segment of unit excess more than was seen
     k = (over + 1) / (words + 1) * math.exp(rate * TAIL_FROM)
     share = sample.agg(F.avg("label")).first()[0]
+    scratch.keep()
     return Model(keys, weights, rate, k, float(share))
 
 
