@@ -149,6 +149,8 @@ def link_buckets(
     cross = scratch.write(cross.join(star, ["u", "v"], "left_anti"))
     more = scratch.write(verify(cross))
     scratch.drop(placed)
+    if more.isEmpty():
+        return links, comps
     both = links.unionByName(more)
     comps2 = scratch.write(connected_components(both, scratch))
     return both, comps2
