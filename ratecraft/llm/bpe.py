@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from ratecraft.llm.common import bounded_batches
+
 #: Fixed values of the public byte-level BPE format: the pre-tokenizer's pattern,
 #: with white space spelt out (Unicode property White_Space), and the bytes that
 #: stand for themselves in vocabulary files.
@@ -33,13 +35,13 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{
 PRINTED = [(33, 126), (161, 172), (174, 255)]
 
 #: Distinct pieces that a task remembers before it starts afresh.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 #: Longer pieces are encoded anew each time, so the cache has bounded bytes.
 LONG_PIECE = 256
 #: Tokens of up to so many bytes are merged many at a time.
 SHORT_TOKEN = 64
 #: Texts of up to so many characters in all are encoded together.
-ROUND_CHARS = 4_000_000
+ROUND_CHARS = 2_000_000
 NEVER = 1 << 60
 
 
@@ -333,4 +335,4 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, with_text: bool = Fa
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_text:
         schema += ", ids array<int>, decoded string"
-    return docs.select("doc_id", "text").mapInArrow(_encoded(vocabulary_path, with_text), schema)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_encoded(vocabulary_path, with_text), schema)

@@ -12,11 +12,21 @@ from pyspark.sql import functions as F
 from ratecraft.session import remove_path, scratch_dir
 
 #: Bytes of text that one round of numpy work takes (longer texts are cut at a separator).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Rows that Spark hands to Python at a time; documents are long, so fewer than its default.
+BATCH_ROWS = 1000
 #: Bits of the largest Bloom filter that is sent to the executors (8 MB).
 BLOOM_MAX_BITS = 1 << 26
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batch size to BATCH_ROWS, for jobs that hand whole texts to Python."""
+    name, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import Scratch
+from ratecraft.llm.common import Scratch, bounded_batches
 
 #: Most hosts whose paths are broadcast (about 100 bytes each); beyond it the pages are shuffled by host.
 BROADCAST_HOSTS = 100_000
@@ -231,7 +231,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     stay; an empty table gives an empty result; other columns are not read.
     """
     spark = pages.sparkSession
-    rows = pages.select("page_id", "url", "html", host_of("url").alias("host"))
+    rows = bounded_batches(pages).select("page_id", "url", "html", host_of("url").alias("host"))
     votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, votes long")
     summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     winners = summed.groupBy("host").agg(F.max(F.struct("votes", F.length("path").alias("n"), "path"))["path"].alias("path"))

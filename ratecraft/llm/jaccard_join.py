@@ -37,6 +37,7 @@ from ratecraft.llm.common import (
     blank_table,
     bloom_has,
     bloom_of,
+    bounded_batches,
     constants,
     drop_ids,
     fold_table,
@@ -202,7 +203,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, plan = segment_keys(s)
             rows.append((keys.view(np.int64), np.full(len(keys), name, np.int64), plan))
             n += len(keys)
-            if n > 200_000:
+            if n > 100_000:
                 yield batch(rows)
                 rows, n = [], 0
         if rows:
@@ -225,7 +226,7 @@ def _needed_sets(bloom: np.ndarray):
                 names.append(name)
                 sets.append(s.view(np.int64))
                 n += len(s)
-                if n > 500_000:
+                if n > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "grams"])
                     names, sets, n = [], [], 0
             if names:
@@ -258,6 +259,7 @@ def jaccard_classes(docs: DataFrame, scratch: Scratch | None = None) -> DataFram
     not read.
     """
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
+    docs = bounded_batches(docs)
     texts = docs.select("text")
     classes = scratch.write(
         docs.select("doc_id", "text").mapInArrow(_classes, "doc_id long, size long, id long, bits array<long>, wide binary")

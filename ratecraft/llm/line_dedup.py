@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import Scratch, blank_table, bloom_has, bloom_of, constants, groups_of, mix, raw_text, rolling, span_hash
+from ratecraft.llm.common import Scratch, blank_table, bloom_has, bloom_of, bounded_batches, constants, groups_of, mix, raw_text, rolling, span_hash
 
 PASSAGE_WORDS = 50
 
@@ -127,7 +127,7 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(doc_id, positions): the chunks of each document that stand elsewhere before; written."""
-    scratch = Scratch(docs.sparkSession, "lines")
+    scratch = Scratch(bounded_batches(docs).sparkSession, "lines")
     hashes = docs.select("text").mapInArrow(_hashes, "hash long")
     twice = scratch.write(hashes.groupBy("hash").count().filter("count > 1").select("hash"))
     bloom = bloom_of(twice, "hash", twice.count())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import blank_table, fold_table, groups_of, raw_text, word_hashes
+from ratecraft.llm.common import blank_table, bounded_batches, fold_table, groups_of, raw_text, word_hashes
 from ratecraft.llm.labels import TRAINING_ROWS, fold, training_labels
 
 FOLDS, HELD_OUT = 5, 0
@@ -204,7 +204,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on at most TRAINING_ROWS labelled rows outside the held-out fold; only their features reach the driver."""
     sample = F.broadcast(training_labels(labels, "quality", FOLDS, HELD_OUT))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("label", "text")
+    rows = bounded_batches(docs).select("doc_id", "text").join(sample, "doc_id").select("label", "text")
     t = rows.mapInArrow(_features, "label int, x array<double>").limit(TRAINING_ROWS).toArrow()
     x = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     y = t.column("label").to_numpy().astype(float)
@@ -230,6 +230,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, model: Model | None = No
     n_chars and doc_id are no inputs of a score.
     """
     m = model or fit(docs, labels)
-    out = docs.select("doc_id", "text").mapInArrow(_score(m), "doc_id long, score double")
+    out = bounded_batches(docs).select("doc_id", "text").mapInArrow(_score(m), "doc_id long, score double")
     held = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratecraft.llm.bpe import SPACE
-from ratecraft.llm.common import Scratch
+from ratecraft.llm.common import Scratch, bounded_batches
 
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 LONG_WORD = 256
 
 DATA_SCHEMA = "doc_id long, local_start long, n_tokens long, ids array<int>, part int"
@@ -82,7 +82,7 @@ class WordEncoder:
         return out
 
 
-def _rounds(texts: list[str | None], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _rounds(texts: list[str | None], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     at, n = 0, 0
     for end, x in enumerate(texts, 1):
         n += len(x or "")
@@ -122,7 +122,8 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str) -> None:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
-        docs.select("doc_id", "text")
+        bounded_batches(docs)
+        .select("doc_id", "text")
         .repartitionByRange(n, F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
         .withColumn("part", F.spark_partition_id())

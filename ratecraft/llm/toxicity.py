@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import Scratch, bloom_has, bloom_of, fold_table, nonword_table, word_hashes
+from ratecraft.llm.common import Scratch, bloom_has, bloom_of, bounded_batches, fold_table, nonword_table, word_hashes
 from ratecraft.llm.labels import fold, training_labels
 
 FOLDS, HELD_OUT = 4, 2
@@ -71,7 +71,7 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[start], np.add.reduceat(counts, start, axis=0)
 
 
-def _counting(names: list[str], count, most: int = 1_000_000):
+def _counting(names: list[str], count, most: int = 250_000):
     """Sums rows of ``count(batch)`` by token within a task, as far as memory allows.
 
     count yields (tokens, (rows, columns) counts).
@@ -179,7 +179,7 @@ def _tail(keys: np.ndarray, weights: np.ndarray):
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn token weights and the clean tail; labels of the held-out fold are not read."""
-    scratch = Scratch(docs.sparkSession, "toxicity")
+    scratch = Scratch(bounded_batches(docs).sparkSession, "toxicity")
     sample = training_labels(labels, "toxic", FOLDS, HELD_OUT)
     sample = scratch.write(sample.withColumn("tail", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0))
     learn = F.broadcast(sample.filter("not tail or label = 1").select("doc_id", "label"))  # at most TRAINING_ROWS
@@ -270,7 +270,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, model: Model | None = No
     score is 0.5. labels, lang, source and doc_id are no inputs of a score.
     """
     m = model or fit(docs, labels)
-    out = docs.select("doc_id", "text").mapInArrow(
+    out = bounded_batches(docs).select("doc_id", "text").mapInArrow(
         _score(m), "doc_id long, score double, passages array<struct<start:int,end:int,score:double>>"
     )
     held = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
