@@ -6,9 +6,12 @@ lower-case letter, comma or semicolon and a space); the rest is lower-cased
 words. Windows of five template words are hashed and joined with the windows
 of the benchmark items. A document contains an item when it holds 80 % or more
 of the item's distinct windows. Where these windows have slots (placeholders),
-the values are compared: each value of the item must stand for one value of
-the document throughout, as in a question whose names and numbers were
-replaced; a jumble of other values is no copy.
+the values are compared: each value of the item must stand for one value
+throughout an occurrence, as in a question whose names and numbers were
+replaced; a jumble of other values is no copy. An occurrence is what lies
+nearest one offset (document position less item position), so lists of numbers
+meet themselves place by place, and an item is found beside variants of it.
+Values of windows that equal the item's always count.
 
 Every document's windows meet the benchmark in one hash join. The benchmark's
 windows are broadcast up to BROADCAST_WINDOWS (16 bytes each), else both sides
@@ -64,19 +67,19 @@ def _hashes(words: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, hash, values) of each window; values are its slots' values with their places."""
+    """(item_id, at, size, hash, slots) of each window; slots are (place in the window, value), size is the item's words."""
     rows = benchmark.filter("item_id is not null").select("item_id", template_words(F.col("text")).alias("w"), slot_words(F.col("text")).alias("v"))
     rows = rows.select("item_id", "w", "v", F.posexplode(_hashes(F.col("w"))).alias("at", "hash"))
-    return rows.select("item_id", "at", "hash", _slots("at").alias("slots"))
+    return rows.select("item_id", "at", F.size("w").alias("size"), "hash", _slots("at").alias("slots"))
 
 
 def _slots(at: str) -> Column:
-    """Values of the slots in the window that begins at a word, in order, words left out."""
+    """(place, value) of the slots in the window that begins at a word, in order, words left out."""
     kinds = F.slice("w", F.col(at) + 1, WORDS)
     values = F.slice("v", F.col(at) + 1, WORDS)
-    both = F.arrays_zip(kinds.alias("k"), values.alias("x"))
-    slot = F.filter(both, lambda z: z["k"].isin("0", "¤") | z["k"].rlike(r"^\d|^0"))
-    return F.transform(slot, lambda z: z["x"])
+    both = F.transform(F.arrays_zip(kinds.alias("k"), values.alias("x")), lambda z, i: F.struct(i.alias("k"), z["k"].alias("kind"), z["x"].alias("x")))
+    slot = F.filter(both, lambda z: z["kind"].isin("0", "¤") | z["kind"].rlike(r"^\d|^0"))
+    return F.transform(slot, lambda z: F.struct(z["k"].alias("k"), z["x"].alias("x")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -84,7 +87,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     share is the part of the item's distinct windows that the document holds,
     0.8 or more. slots counts the item's slot values seen, consistent those
-    that stand for one value of the document; items are reported when 80 % of
+    that stand for one value (of the document, or of the best occurrence in
+    it) or stand unchanged in a window; items are reported when 80 % of
     them are (or there are none). Items of fewer than five words are too short
     to show a leak. Null and empty texts have no windows. Rows with a null
     doc_id or item_id can't be named and are left out; rows that share a doc_id
@@ -115,24 +119,50 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = scratch.write(found)
 
     # slots: only documents that hold an item with slots are read again
-    slotted = items.filter("size(slots) > 0").select("item_id", "hash", F.col("slots").alias("asked"))
+    slotted = items.filter("size(slots) > 0").select("item_id", F.col("at").alias("item_at"), "size", "hash", "slots")
     pairs = scratch.write(found.join(slotted.select("item_id").distinct(), "item_id", "left_semi").select("doc_id", "item_id"))
     again = pairs.select("doc_id").distinct()
     if again.count() <= BROADCAST_DOCUMENTS:
         again = F.broadcast(again)
-    rows = named.join(again, "doc_id", "left_semi").select("doc_id", template_words(F.col("text")).alias("w"), slot_words(F.col("text")).alias("v"))
-    rows = rows.select("doc_id", "w", "v", F.posexplode(_hashes(F.col("w"))).alias("at", "hash"))
-    given = rows.select("doc_id", "hash", _slots("at").alias("given")).filter("size(given) > 0")
+    rows = named.join(again, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), template_words(F.col("text")).alias("w"), slot_words(F.col("text")).alias("v"))
+    rows = rows.select("doc_id", "copy", "v", F.posexplode(_hashes(F.col("w"))).alias("at", "hash"))
+    rows = rows.select("doc_id", "copy", "at", "hash", F.slice("v", F.col("at") + 1, WORDS).alias("given"))
+    same = F.forall("slots", lambda z: F.get("given", z["k"]) == z["x"])
+    filled = F.transform("slots", lambda z: F.struct((F.col("item_at") + z["k"]).alias("place"), z["x"].alias("asked"), F.get("given", z["k"]).alias("given")))
     values = (
-        given.join(slotted, "hash")
+        rows.join(slotted, "hash")
         .join(pairs, ["doc_id", "item_id"], "left_semi")
-        .select("doc_id", "item_id", F.explode(F.arrays_zip("asked", "given")).alias("s"))
-        .select("doc_id", "item_id", "s.asked", "s.given")
-        .groupBy("doc_id", "item_id", "asked")
-        .agg(F.min("given").alias("low"), F.max("given").alias("high"))
+        .select("doc_id", "item_id", "copy", (F.col("at") - F.col("item_at")).alias("offset"), "size", same.alias("same"), F.explode(filled).alias("s"))
+        .groupBy("doc_id", "item_id", "copy", "offset", "size", "s.place", "s.asked", "s.given")
+        .agg(F.max("same").alias("same"))
+    )
+    values = scratch.write(values)
+    one = (F.min("given") == F.max("given")) | F.max("same")
+    whole = (
+        values.groupBy("doc_id", "item_id", "asked")
+        .agg(one.alias("one"))
+        .groupBy("doc_id", "item_id")
+        .agg(F.count("*").alias("slots"), F.count_if("one").alias("consistent"))
+    )
+    whole = scratch.write(whole)
+    # the others by occurrence: around each offset, every slot takes the value that lies nearest
+    unclear = values.join(whole.filter(f"100 * consistent < {SLOT_SHARE} * slots").select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
+    anchors = unclear.select("doc_id", "item_id", "copy", F.col("offset").alias("anchor")).distinct()
+    away = F.abs(F.col("offset") - F.col("anchor"))
+    best = (
+        unclear.join(anchors, ["doc_id", "item_id", "copy"])
+        .filter(away <= F.col("size"))
+        .groupBy("doc_id", "item_id", "copy", "anchor", "place", "asked")
+        .agg(F.min(F.struct(away.alias("away"), "offset", "given", "same")).alias("s"))
+        .select("doc_id", "item_id", "copy", "anchor", "asked", "s.given", "s.same")
+        .groupBy("doc_id", "item_id", "copy", "anchor", "asked")
+        .agg(one.alias("one"))
+        .groupBy("doc_id", "item_id", "copy", "anchor")
+        .agg(F.count_if("one").alias("best"))
         .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("slots"), F.count_if(F.col("low") == F.col("high")).alias("consistent"))
+        .agg(F.max("best").alias("best"))
     )
+    values = whole.join(best, ["doc_id", "item_id"], "left").select("doc_id", "item_id", "slots", F.greatest("consistent", "best").alias("consistent"))
     out = found.join(values, ["doc_id", "item_id"], "left").select(
         "doc_id", "item_id", "share", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("consistent", F.lit(0)).alias("consistent")
     )

@@ -72,6 +72,21 @@ def test_decontamination(spark, make_docs):
     assert contaminated(make_docs(rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_judges_each_occurrence(spark, make_docs):
+    """Lists whose windows repeat, and items beside variants of themselves."""
+    even = "What number comes next in the list 2, 4, 6, 8, 10, 12, 14, 16, 18, 20?"
+    shop = "Ann has 12 apples and gives Bob 3 apples, then Ann buys 5 kg of flour for 20 dollars in total"
+    other = shop.replace("Ann", "Eve").replace("Bob", "Tom").replace("12", "40").replace("20", "33").replace(" 3 ", " 7 ").replace(" 5 ", " 9 ")
+    third = other.replace("Eve", "Zoe").replace("Tom", "Max").replace("40", "41").replace("33", "34").replace(" 7 ", " 6 ").replace(" 9 ", " 8 ")
+    coins = "First Ann pays Bob 7 coins, then Bob pays Ann 7 coins, so Ann and Bob have 7 coins each"
+    jumble = "First Eve pays Tom 1 coins, then Zoe pays Max 2 coins, so Kim and Lea have 3 coins each"
+    bench = spark.createDataFrame([(1, even), (2, "so " + shop), (3, coins)], "item_id long, text string")
+    rows = [(1, f"quiz. {even} end"), (2, f"so {shop}. And so {other}."), (3, f"so {other}. And so {third}."), (4, "plain text"), (5, f"so {other.replace(' then', ' and then')}. And so {third}.")]
+    got = {(r.doc_id, r.item_id): r for r in contaminated(make_docs([*rows, (6, f"{jumble}. {jumble}.")]), bench).collect()}
+    assert {(1, 1), (2, 2), (3, 2)} <= set(got)
+    assert {d for d, _ in got} <= {1, 2, 3, 5}
+    assert got[1, 1].consistent == got[1, 1].slots == 10
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style><script>var t="</p><article>no</article>";</script></head><body>
 <header class="site">Site</header><nav><ul><li><a href="/a">Menu</a></li></ul></nav><div class="ad">Buy &lt;now&gt;</div><div class="cookie-notice">Cookies</div>
 {open}<h1>A  title&nbsp;&eacute; &#x41;</h1><p>First <b>bold</b>er
