@@ -2,10 +2,11 @@
 
 Texts are canonicalised into templates: numbers become ``0``, units behind a
 number ``µ`` and names ``¤`` (a capitalised word inside a sentence: behind a
-lower-case letter, comma or semicolon and a space); the rest is lower-cased
+lower-case letter, comma or semicolon and white space); the rest is lower-cased
 words. Windows of five template words are hashed and joined with the windows
 of the benchmark items. A document contains an item when it holds 80 % or more
-of the item's distinct windows. Where these windows have slots (placeholders),
+of the item's distinct windows, each by its template or by its plain lower-cased
+words: copies in other letter case show no names. Where these windows have slots (placeholders),
 the values are compared: each value of the item must stand for one value
 throughout an occurrence, as in a question whose names and numbers were
 replaced; a jumble of other values is no copy. An occurrence is what lies
@@ -37,7 +38,7 @@ UNITS = "mm|cm|km|m|mi|miles?|ft|feet|inch(?:es)?|yards?|mg|kg|g|lbs?|pounds?|oz
 
 def _marked(text: Column) -> Column:
     """Lower-cased text in which names begin with ¤, units with µ, and numbers are single runs of digits."""
-    t = F.regexp_replace(F.regexp_replace(text, "[¤µ]", " "), r"([\p{Ll},;] )(?=\p{Lu})", "$1¤")
+    t = F.regexp_replace(F.regexp_replace(text, "[¤µ]", " "), r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu})", "$1¤")
     t = F.regexp_replace(t, r"(?<=\d)[.,](?=\d)", "")
     return F.regexp_replace(F.lower(t), rf"(\d) ?({UNITS})(?![\p{{L}}\p{{N}}])", "$1 µ")
 
@@ -47,15 +48,15 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"[^\p{L}\p{N}¤µ]+"), lambda w: w != "")
 
 
-def template_words(text: Column) -> Column:
-    """Words of the template: slots are 0, µ and ¤."""
-    t = F.regexp_replace(_marked(text), r"\d+", "0")
+def template_words(marked: Column) -> Column:
+    """Words of a marked text's template: slots are 0, µ and ¤."""
+    t = F.regexp_replace(marked, r"\d+", "0")
     return _words(F.regexp_replace(t, r"¤[\p{L}\p{N}]+", "¤"))
 
 
-def slot_words(text: Column) -> Column:
-    """The same words with the slots' values in place (¤ann, 12)."""
-    return _words(_marked(text))
+def plain_words(marked: Column) -> Column:
+    """The same words, lower-cased, with the values of names and numbers in place (ann, 12)."""
+    return _words(F.translate(marked, "¤", ""))
 
 
 def _hashes(words: Column) -> Column:
@@ -67,10 +68,15 @@ def _hashes(words: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, size, hash, slots) of each window; slots are (place in the window, value), size is the item's words."""
-    rows = benchmark.filter("item_id is not null").select("item_id", template_words(F.col("text")).alias("w"), slot_words(F.col("text")).alias("v"))
-    rows = rows.select("item_id", "w", "v", F.posexplode(_hashes(F.col("w"))).alias("at", "hash"))
-    return rows.select("item_id", "at", F.size("w").alias("size"), "hash", _slots("at").alias("slots"))
+    """(item_id, at, size, hash, plain, slots) of each window.
+
+    hash is the template's, plain that of the plain words; slots are (place in
+    the window, value), size is the item's words.
+    """
+    rows = benchmark.filter("item_id is not null").select("item_id", _marked(F.col("text")).alias("m"))
+    rows = rows.select("item_id", template_words(F.col("m")).alias("w"), plain_words(F.col("m")).alias("v"))
+    rows = rows.select("item_id", "w", "v", F.posexplode(F.arrays_zip(_hashes(F.col("w")).alias("hash"), _hashes(F.col("v")).alias("plain"))).alias("at", "h"))
+    return rows.select("item_id", "at", F.size("w").alias("size"), "h.hash", "h.plain", _slots("at").alias("slots"))
 
 
 def _slots(at: str) -> Column:
@@ -98,17 +104,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontamination")
     items = scratch.write(item_windows(benchmark))
-    distinct = items.select("item_id", "hash").distinct()
-    sizes = distinct.groupBy("item_id").agg(F.count("*").alias("windows"))
+    # a distinct window is a template; its template or any of its plain forms shows it
+    sizes = items.groupBy("item_id").agg(F.count_distinct("hash").alias("windows"))
+    distinct = items.select("item_id", F.col("hash").alias("window"), F.explode(F.array("hash", "plain")).alias("hash")).distinct()
     small = distinct.count() <= BROADCAST_WINDOWS
 
     named = docs.filter("doc_id is not null").select("doc_id", "text")
     # the words are a column of their own: inside the hashing lambda they would be split anew for each word
-    words = named.select("doc_id", template_words(F.col("text")).alias("w"))
-    windows = words.select("doc_id", F.explode(_hashes(F.col("w"))).alias("hash"))
+    words = named.select("doc_id", _marked(F.col("text")).alias("m"))
+    # without names and numbers the plain words are the template's
+    plain = F.when(F.col("m").rlike(r"[¤\d]"), plain_words(F.col("m")))
+    words = words.select("doc_id", template_words(F.col("m")).alias("w"), F.coalesce(plain, F.array().cast("array<string>")).alias("v"))
+    windows = words.select("doc_id", F.explode(F.array_union(_hashes(F.col("w")), _hashes(F.col("v")))).alias("hash"))
     met = windows.join(F.broadcast(distinct) if small else distinct, "hash")
     found = (
-        met.select("doc_id", "item_id", "hash")
+        met.select("doc_id", "item_id", "window")
         .distinct()
         .groupBy("doc_id", "item_id")
         .agg(F.count("*").alias("held"))
@@ -119,13 +129,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = scratch.write(found)
 
     # slots: only documents that hold an item with slots are read again
-    slotted = items.filter("size(slots) > 0").select("item_id", F.col("at").alias("item_at"), "size", "hash", "slots")
+    slotted = items.filter("size(slots) > 0").select("item_id", F.col("at").alias("item_at"), "size", F.explode(F.array_distinct(F.array("hash", "plain"))).alias("hash"), "slots")
     pairs = scratch.write(found.join(slotted.select("item_id").distinct(), "item_id", "left_semi").select("doc_id", "item_id"))
     again = pairs.select("doc_id").distinct()
     if again.count() <= BROADCAST_DOCUMENTS:
         again = F.broadcast(again)
-    rows = named.join(again, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), template_words(F.col("text")).alias("w"), slot_words(F.col("text")).alias("v"))
-    rows = rows.select("doc_id", "copy", "v", F.posexplode(_hashes(F.col("w"))).alias("at", "hash"))
+    rows = named.join(again, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), _marked(F.col("text")).alias("m"))
+    rows = rows.select("doc_id", "copy", template_words(F.col("m")).alias("w"), plain_words(F.col("m")).alias("v"))
+    rows = rows.select("doc_id", "copy", "v", F.posexplode(F.arrays_zip(_hashes(F.col("w")).alias("hash"), _hashes(F.col("v")).alias("plain"))).alias("at", "h"))
+    rows = rows.select("doc_id", "copy", "v", "at", F.explode(F.array_distinct(F.array("h.hash", "h.plain"))).alias("hash"))
     rows = rows.select("doc_id", "copy", "at", "hash", F.slice("v", F.col("at") + 1, WORDS).alias("given"))
     same = F.forall("slots", lambda z: F.get("given", z["k"]) == z["x"])
     filled = F.transform("slots", lambda z: F.struct((F.col("item_at") + z["k"]).alias("place"), z["x"].alias("asked"), F.get("given", z["k"]).alias("given")))

@@ -87,6 +87,15 @@ def test_decontamination_judges_each_occurrence(spark, make_docs):
     assert {d for d, _ in got} <= {1, 2, 3, 5}
     assert got[1, 1].consistent == got[1, 1].slots == 10
 
+def test_decontamination_in_other_letter_case(spark, make_docs):
+    """Names don't hide an item that is copied in other letter case or broken into lines."""
+    item = "yesterday Ann met Bob near the old mill, where Tom and Eve waited, and Zoe told Max the whole story twice"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item.lower()), (2, f"x {item.upper()} y"), (3, item.replace(" ", "\n")), (4, item.replace("Ann", "Kim")), (5, "yesterday ann met bob near the old mill and that was all that came of it in the end")]
+    got = {r.doc_id: r for r in contaminated(make_docs(rows), bench).collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert all(r.share == 1 and r.slots == r.consistent == 6 for r in got.values())
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style><script>var t="</p><article>no</article>";</script></head><body>
 <header class="site">Site</header><nav><ul><li><a href="/a">Menu</a></li></ul></nav><div class="ad">Buy &lt;now&gt;</div><div class="cookie-notice">Cookies</div>
 {open}<h1>A  title&nbsp;&eacute; &#x41;</h1><p>First <b>bold</b>er
