@@ -28,7 +28,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 4
 
     Large-star and small-star rounds, each a partially aggregated minimum and
     a join; the edges of each round are written, and the rounds end when the
-    edge set stands still. No edges give an empty table.
+    edge set stands still; more than ``max_rounds`` are an error. No edges give an
+    empty table.
     """
     # every edge as (larger, smaller)
     now = scratch.write(
@@ -55,6 +56,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 4
         nxt = scratch.write(small)
         scratch.drop(now)
         now = nxt
+    else:
+        raise RuntimeError(f"components aren't at rest after {max_rounds} rounds")
     # at rest every edge points at its component's smallest node
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("comp"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots).distinct()

@@ -73,6 +73,12 @@ def test_connected_components(spark):
     assert got == {i: c for i, c in expected.items() if any(i in e and e[0] != e[1] for e in links)}
 
 
+def test_components_not_at_rest_are_an_error(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "u long, v long")
+    with pytest.raises(RuntimeError, match="at rest"):
+        connected_components(chain, Scratch(spark, "test"), max_rounds=1)
+
+
 def test_embeddings_equal_all_pairs(spark):
     rng = np.random.default_rng(4)
     rows, at = [], 0
