@@ -90,10 +90,9 @@ def range_shards(
     scratch = Scratch(rows.sparkSession, "shards")
     data = F.struct(*(F.col(f"`{c}`") for c in rows.columns if c not in ("shard", "slot"))).alias("data")
     order = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(key)), F.monotonically_increasing_id().alias("tie")).alias("key")
-    found = scratch.write(rows.select(data, order, size.cast("long").alias("size")))
-    kept = [found]
-
-    ranged = found.withColumn("range", F.lit(""))
+    # the first range is stored, not a constant of the plan: a join on it stays an equi-join
+    found = scratch.write(rows.select(data, order, size.cast("long").alias("size"), F.lit("").alias("range")))
+    kept, ranged = [found], found
     for level in range(LEVELS):
         need = F.greatest(F.col("rows") / max_rows, F.col("bytes") / max_bytes)
         ranges = ranged.groupBy("range").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
