@@ -29,7 +29,7 @@ from .quality import (
     range_violations,
     validate,
 )
-from .upsert import merged_content, recover, staged, stamp, upsert
+from .upsert import TargetBusy, exclusive, merged_content, not_older, recover, staged, stamp, take_over, upsert, writer_mark
 
 __all__ = [
     "audit_counts",
@@ -56,7 +56,12 @@ __all__ = [
     "newest_first",
     "null_rows",
     "range_violations",
+    "TargetBusy",
+    "exclusive",
+    "not_older",
     "recover",
+    "take_over",
+    "writer_mark",
     "rolling_accumulation",
     "rolling_window",
     "staged",

@@ -44,8 +44,8 @@ def newest_first(*then: Column) -> list[Column]:
     ]
 
 
-def typed_series(bronze: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Parse date and rate; add the month key for monthly series.
+def typed_series(bronze: DataFrame, spec: SeriesSpec, raw: bool = False) -> DataFrame:
+    """Parse date and rate; add the month key for monthly series (and keep the raw texts with ``raw``).
 
     Bad dates and unparsable rates become NULL (never a failed task); the
     quality rules count them.
@@ -59,13 +59,32 @@ def typed_series(bronze: DataFrame, spec: SeriesSpec) -> DataFrame:
     ]
     if spec.grain == MONTH:
         cols.append(month_of(date).alias("reference_month"))
+    if raw:
+        cols += [F.col("data_raw"), F.col("valor_raw")]
     return bronze.select(cols)
 
 
+def record_order(spec: SeriesSpec) -> list[str]:
+    """Columns by which the newest record of a key is the highest (see :func:`newest_first`)."""
+    return ["ingestion_timestamp", "source_modified_at", "source_path", "reference_date", spec.rate_column]
+
+
+def latest_records(typed: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Latest record per (series, date or month) of a typed series."""
+    order = newest_first(F.col("reference_date").desc(), F.col(spec.rate_column).desc())
+    return dedup_latest(typed, spec.business_key, order)
+
+
 def conform(bronze: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Typed series, latest record per (series, date or month)."""
-    typed = typed_series(bronze, spec)
-    order = newest_first(
-        F.col("reference_date").desc(), F.col(spec.rate_column).desc()
+    return latest_records(typed_series(bronze, spec), spec)
+
+
+def broken_rule(spec: SeriesSpec) -> Column:
+    """The first row rule that a typed record breaks, null if none."""
+    rate = F.col(spec.rate_column)
+    return (
+        F.when(F.col(spec.key_column).isNull(), F.lit("no valid date"))
+        .when(rate.isNull(), F.lit("no valid rate"))
+        .when(~rate.between(spec.rate_min, spec.rate_max), F.lit("rate out of range"))
     )
-    return dedup_latest(typed, spec.business_key, order)

@@ -44,7 +44,15 @@ from ratecraft.operators.mart import (
 )
 from ratecraft.operators.quality import dq_report, duplicate_keys, range_violations
 from ratecraft.operators.upsert import upsert
-from ratecraft.plans.jobs import MartSpec, gold_view, run_layers, run_mart
+from ratecraft.plans.jobs import (
+    MartSpec,
+    conform_batch,
+    gold_view,
+    quarantined,
+    run_conform_incremental,
+    run_layers,
+    run_mart,
+)
 from ratecraft.session import scratch_dir, write_text
 from ratecraft.sources.raw import file_contract, raw_contract, read_bronze, read_raw, series_range
 from ratecraft.sources.tables import read_driver_table, read_table
@@ -570,6 +578,52 @@ def q_layered_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
     return _gold_result(spark, mart)
 
 
+#: Rates above this are refused by the quarantine queries; the restated ones are this much higher.
+REFUSED_ABOVE = 0.08
+DIRTY_SHIFT = 0.01
+
+
+def _dirty_silver(spark: SparkSession, d: str, label: str) -> SeriesSpec:
+    """Two drops of every line item through the incremental Silver job, the second batch done twice.
+
+    Line 6 of an order has no readable rate, line 7 no valid date, and discounts
+    above REFUSED_ABOVE are out of the series' range. The second drop holds the
+    days from ``INCREMENT_FROM`` on and one restated day of each month before.
+    """
+    spec = replace(_layer_specs(scratch_dir(spark, label))[0], rate_min=0, rate_max=REFUSED_ABOVE)
+    early, line = F.col("l_shipdate") < F.lit(INCREMENT_FROM).cast("date"), F.col("l_linenumber")
+    drops = [[(early, 0.0)], [(~early, 0.0), (early & (F.dayofmonth("l_shipdate") == RESTATED_DAY), DIRTY_SHIFT)]]
+    for drop in drops:
+        for keep, shift in drop:
+            date = F.date_format("l_shipdate", "dd/MM/yyyy")
+            rows = read_driver_table(spark, d, "lineitem").where(keep).select(
+                F.col(SERIES_KEY).alias("series"),
+                F.when(line == 7, F.concat(F.lit("?"), date)).otherwise(date).alias("data"),
+                F.when(line == 6, F.lit("n/a")).otherwise(rate_text(F.col("l_discount") + F.lit(shift))).alias("valor"),
+            )
+            rows.repartition("series", "data").write.mode("append").partitionBy("series").json(spec.landing)
+        ingest_series(spark, spec)
+        run_conform_incremental(spark, [spec], fail_on_refused=False)
+    bronze = read_bronze(spark, spec)
+    newest = bronze.agg(F.max("ingestion_timestamp")).first()[0]  # one value
+    conform_batch(spec, bronze.where(F.col("ingestion_timestamp") == F.lit(newest)), 1)
+    return spec
+
+
+def q_silver_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Every refused record is in quarantine once, with the rule it broke."""
+    refused = quarantined(spark, _dirty_silver(spark, d, "quarantine"))
+    return refused.groupBy("series_name", "batch_id", "refused").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("data_raw").alias("days")
+    )
+
+
+def q_silver_valid(spark: SparkSession, d: str) -> DataFrame:
+    """Silver holds the newest valid record of each key, whatever broken ones came with or after it."""
+    silver = read_table(spark, _dirty_silver(spark, d, "valid").silver)
+    return silver.select("series_name", "reference_date", F.col("nominal_daily_pct").cast("double").alias("nominal_daily_pct"))
+
+
 QUERIES: dict[str, Query] = {
     "monthly_mart": q_monthly_mart,
     "national_mart": q_national_mart,
@@ -610,6 +664,8 @@ QUERIES: dict[str, Query] = {
     "layered_gold": q_layered_gold,
     "layered_gold_rerun": q_layered_gold_rerun,
     "layered_gold_incremental": q_layered_gold_incremental,
+    "silver_quarantine": q_silver_quarantine,
+    "silver_valid": q_silver_valid,
 }
 
 __all__ = ["QUERIES"]

@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ratecraft.functions.parsing import PARTITION_COLUMNS, month_of, partition_column, partition_value
-from ratecraft.operators.conform import conform
+from ratecraft.operators.conform import broken_rule, conform, latest_records, record_order, typed_series
 from ratecraft.operators.mart import MONTH_KEY, monthly_mart, monthly_rates, monthly_reference
 from ratecraft.operators.quality import validate
 from ratecraft.operators.upsert import staged, stamp, upsert
-from ratecraft.sources.raw import enforce_contract, read_bronze, read_bronze_stream
+from ratecraft.sources.raw import BRONZE_SCHEMA, enforce_contract, read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table, try_read_table
-from ratecraft.session import ensure_dir
+from ratecraft.session import ensure_dir, path_exists, remove_path
 from ratecraft.specs import WINDOW_MONTHS, YEAR, RuleSet, SeriesSpec, gold_rules, silver_rules
 from ratecraft.streaming.ingest import await_all, run_ingest, run_streams
 
@@ -45,6 +45,7 @@ class MartSpec:
     reference_name: str | None = None
     partition_grain: str = YEAR  # YEAR or MONTH of reference_month
     checkpoint: str | None = None  # stream checkpoint of the incremental Gold job; see gold_checkpoint
+    reader: str = "gold"  # whose change logs the incremental Gold job reads; one mart each
 
     @property
     def gold_checkpoint(self) -> str | None:
@@ -93,72 +94,85 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
         }
 
 
-def _refused(spec: SeriesSpec) -> Column:
-    """The first row rule of a conformed series that a row breaks, null if none."""
-    rate = F.col(spec.rate_column)
-    return (
-        F.when(F.col(spec.key_column).isNull(), F.lit("no valid date"))
-        .when(rate.isNull(), F.lit("no valid rate"))
-        .when(~rate.between(spec.rate_min, spec.rate_max), F.lit("rate out of range"))
-    )
+def quarantined(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
+    """Records that the incremental Silver job refused, as landed and as parsed:
+    the typed columns, data_raw, valor_raw, refused (the rule), refused_at, batch_id."""
+    bronze = spark.createDataFrame([], BRONZE_SCHEMA)
+    schema = typed_series(bronze, spec, raw=True).schema.add("refused", "string").add("refused_at", "timestamp").add("batch_id", "long")
+    if not path_exists(spark, spec.quarantine):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(spec.quarantine)
 
 
-def conform_batch(spec: SeriesSpec, bronze: DataFrame) -> int:
+def conform_batch(spec: SeriesSpec, bronze: DataFrame, batch_id: int) -> int:
     """Conform and upsert one set of Bronze records of a series; the number refused.
 
-    Records that break a row rule go to the series' quarantine table with the
-    rule's name; the others are upserted. A later, valid record of a refused
-    key is conformed like any other, so a corrected file repairs the series. A
-    batch without records changes nothing.
+    The row rules come first, record by record: a record that breaks one goes to
+    the quarantine, and only valid records take part in the dedup, so a broken
+    record never hides a valid one of its key. A later, valid record of a
+    refused key is conformed like any other and repairs the series. A row of
+    Silver is replaced only by one that isn't older (``record_order``); so Silver
+    is the newest valid record of each key, however records are cut into batches
+    and in whatever order batches come. A batch without records changes nothing.
+
+    A batch may be done again: its quarantine folder (``batch_id=<n>``) is
+    replaced, not added to, and the upsert is idempotent. Batch 0 means a new
+    checkpoint, which reads Bronze from its beginning: it clears the quarantine.
 
     After the upsert has committed, the touched (series, month) pairs are
-    appended to the series' change log, so Gold never sees a change before
-    its data. A batch redone after a failure may append them, or refused
-    records, twice, which is harmless.
+    appended to the series' change log, so Gold never sees a change before its
+    data. A batch done again appends them twice, which is harmless.
     """
     spark = bronze.sparkSession
-    conformed = silver_content(bronze, spec).withColumn("refused", _refused(spec))
-    with staged(spark, conformed, f"silver-{spec.name}") as content:
-        counts = content.agg(F.count_if(F.col("refused").isNull()).alias("good"), F.count("refused").alias("bad")).first()
+    part = partition_column(spec.partition_grain)
+    typed = typed_series(bronze, spec, raw=True).withColumn("refused", broken_rule(spec))
+    with staged(spark, typed, f"records-{spec.name}") as records:
+        counts = records.agg(F.count_if(F.col("refused").isNull()).alias("good"), F.count("refused").alias("bad")).first()
+        if batch_id == 0:
+            remove_path(spark, spec.quarantine)
         if counts.bad:
-            bad = content.filter("refused is not null").withColumn("refused_at", F.current_timestamp())
-            bad.write.mode("append").parquet(spec.quarantine)
-        if counts.good:
-            good = content.filter("refused is null").drop("refused")
-            validate(good, silver_rules(spec))
+            bad = records.filter("refused is not null").withColumn("refused_at", F.current_timestamp())
+            bad.write.mode("overwrite").parquet(f"{spec.quarantine}/batch_id={batch_id}")
+        if not counts.good:
+            return counts.bad
+        good = latest_records(records.filter("refused is null").drop("refused", "data_raw", "valor_raw"), spec)
+        good = good.withColumn(part, partition_value(spec.key_column, spec.partition_grain))
+        with staged(spark, good, f"silver-{spec.name}") as content:
+            validate(content, silver_rules(spec))
             upsert(
                 spark,
-                stamp(good, "silver_updated_at"),
+                stamp(content, "silver_updated_at"),
                 spec.silver,
                 keys=spec.business_key,
-                partition_by=(partition_column(spec.partition_grain),),
+                partition_by=(part,),
                 check_unique=False,  # validated above
                 source_staged=True,
+                newer_by=record_order(spec),
             )
             if spec.changes:
-                touched = good.select("series_name", month_of(spec.key_column).alias(MONTH_KEY)).distinct()
-                touched.coalesce(1).write.mode("append").parquet(spec.changes)
+                touched = content.select("series_name", month_of(spec.key_column).alias(MONTH_KEY)).distinct().coalesce(1)
+                for reader in spec.change_readers:
+                    touched.write.mode("append").parquet(f"{spec.changes}/{reader}")
     return counts.bad
 
 
-def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) -> None:
+def run_conform_incremental(
+    spark: SparkSession, specs: Sequence[SeriesSpec], fail_on_refused: bool = True
+) -> dict[str, int]:
     """Silver job that reads only the Bronze records added since its last run.
 
     A file stream over each Bronze table (it lists the files Bronze's commit
     log holds, and its own checkpoint remembers which it has read) hands
     every new set of records to :func:`conform_batch`. Where every record is
-    valid this equals the full recompute of :func:`run_conform`: Bronze is
-    append-only and every ingest batch is stamped later than all before it, so
-    the newest record of a key is either among the new records or already in
-    Silver, and the upsert keeps exactly that one. The cost of a run follows
-    the new data, not the history.
+    valid this equals the full recompute of :func:`run_conform`. The cost of a
+    run follows the new data, not the history.
 
     Refused records don't hold up the others: they are quarantined, all
-    batches are committed, and then the run fails with their number. The next
-    run goes on with later records; once a refused key's newest record is
-    valid, Silver again equals the full recompute, which fails before that. A
-    batch whose job fails isn't committed and is redone on the next run; the
-    upsert makes that idempotent. Each series is gated on its own.
+    batches are committed, and then the run fails with their number, or returns
+    it by series name without ``fail_on_refused``. The next run goes on with
+    later records; once a refused key's newest record is valid, Silver again
+    equals the full recompute, which fails before that. A batch whose job fails
+    isn't committed and is redone on the next run. Each series is gated on its own.
     """
     refused: dict[str, int] = {}
 
@@ -166,8 +180,8 @@ def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) ->
         if not (spec.bronze and spec.silver and spec.silver_checkpoint and spec.quarantine):
             raise ValueError(f"series {spec.name!r} has no bronze/silver/checkpoint/quarantine location")
 
-        def batch(records: DataFrame, _id: int) -> None:
-            refused[spec.name] = refused.get(spec.name, 0) + conform_batch(spec, records)
+        def batch(records: DataFrame, batch_id: int) -> None:
+            refused[spec.name] = refused.get(spec.name, 0) + conform_batch(spec, records, batch_id)
 
         return (
             read_bronze_stream(spark, spec)
@@ -178,8 +192,10 @@ def run_conform_incremental(spark: SparkSession, specs: Sequence[SeriesSpec]) ->
         )
 
     run_streams(specs, start)
-    if bad := {name: n for name, n in refused.items() if n}:
+    bad = {name: n for name, n in refused.items() if n}
+    if bad and fail_on_refused:
         raise ValueError(f"Silver refused records, see the quarantine tables: {bad}")
+    return bad
 
 
 def build_mart(
@@ -323,8 +339,12 @@ def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
         raise ValueError("incremental Gold needs a checkpoint and both change logs")
     streams = []
     for spec, side in ((mart.nominal, "nominal"), (mart.reference, "reference")):
-        ensure_dir(spark, spec.changes)
-        stream = spark.readStream.schema(CHANGES_SCHEMA).parquet(spec.changes)
+        if mart.reader not in spec.change_readers:
+            raise ValueError(f"series {spec.name!r} keeps no change log for {mart.reader!r}")
+        log = f"{spec.changes}/{mart.reader}"
+        ensure_dir(spark, log)
+        # files are deleted once a later batch has committed: what is listed doesn't grow
+        stream = spark.readStream.schema(CHANGES_SCHEMA).option("cleanSource", "delete").parquet(log)
         streams.append(stream.withColumn("side", F.lit(side)))
     query = (
         streams[0].unionByName(streams[1])
@@ -373,6 +393,7 @@ __all__ = [
     "gold_view",
     "CHANGES_SCHEMA",
     "conform_batch",
+    "quarantined",
     "refresh_gold",
     "run_mart_incremental",
     "run_conform",

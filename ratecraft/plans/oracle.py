@@ -259,6 +259,19 @@ def _layered_gold(rates: list[str] = RATES, reference: list[str] = REFERENCE) ->
     FROM w"""
 
 
+_DIRTY_DROPS = f"""
+    SELECT *, 0 AS batch, l_discount AS rate FROM lineitem WHERE {_EARLY}
+    UNION ALL SELECT *, 1, l_discount FROM lineitem WHERE NOT ({_EARLY})
+    UNION ALL SELECT *, 1, l_discount + 0.01 FROM lineitem WHERE {_EARLY} AND day(l_shipdate) = 15"""
+
+#: Landed line items with the rule each one breaks (null: none).
+_DIRTY = f"""
+    SELECT l_returnflag AS series_name, CAST(l_shipdate AS DATE) AS reference_date, batch,
+           {_parsed_rate(_rate_text('rate'))} AS nominal_daily_pct,
+           CASE WHEN l_linenumber = 7 THEN 'no valid date' WHEN l_linenumber = 6 THEN 'no valid rate'
+                WHEN {_parsed_rate(_rate_text('rate'))} > 0.08 THEN 'rate out of range' END AS refused
+    FROM ({_DIRTY_DROPS})"""
+
 MART_MEASURES = [
     "nominal_monthly_effective_pct",
     "inflation_monthly_pct",
@@ -431,6 +444,15 @@ ORACLE_SQL: dict[str, str] = {
         WHERE date_diff('month', first_month_in_window, reference_month) + 1 <> months_in_window""",
     "layered_gold": _layered_gold(),
     "layered_gold_rerun": f"SELECT COUNT(*) AS rows, COUNT(*) AS rows_again FROM ({_layered_gold()})",
+    "silver_quarantine": f"""
+        SELECT series_name, CAST(batch AS BIGINT) AS batch_id, refused, COUNT(*) AS records,
+               COUNT(DISTINCT reference_date) AS days
+        FROM ({_DIRTY}) WHERE refused IS NOT NULL GROUP BY ALL""",
+    "silver_valid": f"""
+        SELECT series_name, reference_date, CAST(nominal_daily_pct AS DOUBLE) AS nominal_daily_pct
+        FROM ({_DIRTY}) WHERE refused IS NULL
+        QUALIFY row_number() OVER (PARTITION BY series_name, reference_date
+                                   ORDER BY batch DESC, nominal_daily_pct DESC) = 1""",
     # two drops of files; the newer record of a key wins
     "layered_gold_incremental": _layered_gold(RATES_TWICE, REFERENCE_TWICE),
 }

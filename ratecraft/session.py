@@ -14,6 +14,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _CREATED: set[str] = set()  # scratch folders of this process
@@ -139,16 +140,55 @@ def sub_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in found if not n.startswith(("_", ".")))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file whole (overwritten if it exists)."""
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of everything directly below a folder, hidden names too; none if it isn't there."""
     fs, target = _file_system(spark, path)
-    out = fs.create(target, True)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def _put(out, text: str) -> None:
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole (overwritten if it exists)."""
+    fs, target = _file_system(spark, path)
+    _put(fs.create(target, True), text)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that isn't there yet under another name, then rename it: readers see all of it or none."""
+    aside = f"{path}.{uuid.uuid4().hex[:12]}.tmp"
+    write_text(spark, aside, text)
+    try:
+        move_path(spark, aside, path)
+    except BaseException:
+        remove_path(spark, aside)
+        raise
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False, with nothing done, if there is one."""
+    fs, target = _file_system(spark, path)
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(target):
+            return False
+        raise
+    _put(out, text)
+    return True
+
+
+def modified_at(spark: SparkSession, path: str) -> float | None:
+    """Modification time of a file in seconds, None if there is none."""
+    fs, target = _file_system(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000 if fs.exists(target) else None
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Contents of a small file, None if there is none."""
     fs, target = _file_system(spark, path)

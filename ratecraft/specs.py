@@ -51,10 +51,12 @@ class SeriesSpec:
     silver: str | None = None
     checkpoint: str | None = None
     silver_checkpoint: str | None = None
-    # append-only log of (series_name, reference_month) touched by incremental
-    # Silver runs; the incremental Gold job reads it
+    # (series_name, reference_month) pairs touched by incremental Silver runs: one
+    # folder for each of change_readers (a Gold job each), which deletes what it has read
     changes: str | None = None
-    # records that the incremental Silver job refused, with the rule they broke
+    change_readers: tuple[str, ...] = ("gold",)
+    # records that the incremental Silver job refused, with the rule they broke,
+    # one folder a batch
     quarantine: str | None = None
     multi_line: bool = True
     series_from_dir: bool = False

@@ -1,9 +1,24 @@
 import importlib
+import os
+import random
+import time
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from ratecraft.operators import content_fingerprint, merged_content, recover, staged, upsert
+from ratecraft.operators import (
+    TargetBusy,
+    content_fingerprint,
+    exclusive,
+    merged_content,
+    recover,
+    staged,
+    take_over,
+    upsert,
+    writer_mark,
+)
 from ratecraft.sources import read_table, try_read_table
 
 SCHEMA = "k int, v double, part int"
@@ -181,3 +196,144 @@ def test_a_staged_source_prunes_the_target(spark, tmp_path):
         filters = next(x for x in plan.split("\n") if "PartitionFilters" in x and "dynamicpruning" in x)
         assert "2003" in filters and "2005" in filters
         assert merged.count() == 20
+
+
+# -- one writer, whole notes, refused sources ---------------------------------
+
+
+def _rows(spark, target):
+    return sorted((r.k, r.v, r.part) for r in read_table(spark, target).collect())
+
+
+def _mark(target, text, age_hours=0.0):
+    mark = Path(writer_mark(target))
+    mark.parent.mkdir(parents=True, exist_ok=True)
+    mark.write_text(text)
+    crc = mark.with_name(f".{mark.name}.crc")
+    if crc.exists():
+        crc.unlink()
+    at = time.time() - age_hours * 3600
+    os.utime(mark, (at, at))
+
+
+def test_a_second_writer_is_refused_and_leaves_nothing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert(spark, spark.createDataFrame([(1, 1.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    with exclusive(spark, target):
+        with pytest.raises(TargetBusy):
+            upsert(spark, spark.createDataFrame([(1, 2.0, 2020)], SCHEMA), target, ["k"], ("part",))
+        assert Path(writer_mark(target)).exists()  # the first writer's mark stays
+    _mark(target, "another-application writer")
+    with pytest.raises(TargetBusy, match="another-application"):
+        upsert(spark, spark.createDataFrame([(1, 2.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    assert _rows(spark, target) == [(1, 1.0, 2020)]
+    assert take_over(spark, target) and not take_over(spark, target)
+    upsert(spark, spark.createDataFrame([(1, 2.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    assert _rows(spark, target) == [(1, 2.0, 2020)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize(("text", "age"), [("another-application writer", 25.0), ("{own} dead-writer", 0.0)])
+def test_the_mark_of_a_dead_writer_is_taken_over(spark, tmp_path, text, age):
+    target = str(tmp_path / "t")
+    _mark(target, text.format(own=spark.sparkContext.applicationId), age)
+    upsert(spark, spark.createDataFrame([(1, 1.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    assert _rows(spark, target) == [(1, 1.0, 2020)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_of_two_writers_at_once_one_wins_whole(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert(spark, spark.createDataFrame([(k, 0.0, 2020) for k in range(50)], SCHEMA), target, ["k"], ("part",))
+
+    def write(v):
+        try:
+            upsert(spark, spark.createDataFrame([(k, v, 2020) for k in range(50)], SCHEMA), target, ["k"], ("part",))
+            return v
+        except TargetBusy:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        done = {v for v in pool.map(write, [1.0, 2.0, 3.0, 4.0]) if v}
+    assert done and len({v for _, v, _ in _rows(spark, target)}) == 1
+    assert {v for _, v, _ in _rows(spark, target)} <= done
+
+
+@pytest.mark.parametrize("note", ["", "1 /tmp/elsewhere", '{"depth": 1, "pen', "[]", "null"])
+def test_a_note_cut_short_is_no_commit(spark, tmp_path, note):
+    target, keep = str(tmp_path / "t"), tmp_path / "elsewhere"
+    keep.mkdir()
+    upsert(spark, spark.createDataFrame([(1, 1.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    orphan = tmp_path / ".t.pending-0123456789ab" / "part=2020"
+    orphan.mkdir(parents=True)
+    (tmp_path / ".t.commit").write_text(note)
+    upsert(spark, spark.createDataFrame([(2, 2.0, 2021)], SCHEMA), target, ["k"], ("part",))
+    assert _rows(spark, target) == [(1, 1.0, 2020), (2, 2.0, 2021)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["elsewhere", "t"]  # the orphan is gone, nothing else
+
+
+def test_a_note_that_names_another_folder_is_refused(spark, tmp_path):
+    target, other = str(tmp_path / "t"), tmp_path / "other"
+    other.mkdir()
+    upsert(spark, spark.createDataFrame([(1, 1.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    (tmp_path / ".t.commit").write_text(f'{{"depth": 0, "pending": "{other}"}}')
+    with pytest.raises(ValueError, match="no folder of"):
+        recover(spark, target)
+    assert other.exists() and _rows(spark, target) == [(1, 1.0, 2020)]
+
+
+def test_the_note_is_whole_or_absent(spark, tmp_path, monkeypatch):
+    session = importlib.import_module("ratecraft.session")
+    target = str(tmp_path / "t")
+    upsert(spark, spark.createDataFrame([(1, 1.0, 2020)], SCHEMA), target, ["k"], ("part",))
+
+    def dying(out, text):  # the driver dies between creating and closing the note
+        out.close()
+        raise KeyboardInterrupt
+
+    real = session._put
+    monkeypatch.setattr(session, "_put", lambda out, text: dying(out, text) if text.startswith("{") else real(out, text))
+    with pytest.raises(KeyboardInterrupt):
+        upsert(spark, spark.createDataFrame([(1, 2.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    monkeypatch.setattr(session, "_put", real)
+    assert not (tmp_path / ".t.commit").exists() and not recover(spark, target)
+    upsert(spark, spark.createDataFrame([(1, 3.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    assert _rows(spark, target) == [(1, 3.0, 2020)]
+
+
+@pytest.mark.parametrize("exists", [False, True])
+def test_null_partition_values_are_refused(spark, tmp_path, exists):
+    target = str(tmp_path / "t")
+    if exists:
+        upsert(spark, spark.createDataFrame([(1, 1.0, 2020)], SCHEMA), target, ["k"], ("part",))
+    with pytest.raises(ValueError, match="null partition"):
+        upsert(spark, spark.createDataFrame([(2, 2.0, None)], SCHEMA), target, ["k"], ("part",))
+    assert (try_read_table(spark, target) is not None) == exists
+
+
+def test_sources_in_any_order_leave_the_newest(spark, tmp_path):
+    rng = random.Random(4)
+    batches = [[(k, float(v), 2020 + k % 2) for k in rng.sample(range(20), 12) for v in [rng.randrange(100)]] for _ in range(5)]
+    results = set()
+    for turn in range(3):
+        target = str(tmp_path / f"t{turn}")
+        for rows in rng.sample(batches, 5):
+            upsert(spark, spark.createDataFrame(rows, SCHEMA), target, ["k"], ("part",), newer_by=["v"])
+        results.add(tuple(_rows(spark, target)))
+    best = {}
+    for k, v, part in (r for rows in batches for r in rows):
+        best[k] = max(best.get(k, (v, part)), (v, part))
+    assert results == {tuple(sorted((k, v, part) for k, (v, part) in best.items()))}
+
+
+def test_deleted_keys_go_and_empty_their_partitions(spark, tmp_path):
+    target = str(tmp_path / "t")
+    schema = "k int, v double, part string"
+    upsert(spark, spark.createDataFrame([(1, 1.0, "a b"), (2, 2.0, "a b"), (3, 3.0, "c/d"), (4, 4.0, "e")], schema), target, ["k"], ("part",))
+    gone = spark.createDataFrame([(2, "a b"), (3, "c/d"), (4, "e"), (9, "none")], "k int, part string")
+    change = spark.createDataFrame([(4, 40.0, "e")], schema)
+    upsert(spark, change, target, ["k"], ("part",), deleted=gone)
+    assert _rows(spark, target) == [(1, 1.0, "a b"), (4, 40.0, "e")]  # a key of the source stays
+    assert len(list(Path(target).glob("part=*"))) == 2
+    upsert(spark, change.limit(0), target, ["k"], ("part",), deleted=gone)
+    assert _rows(spark, target) == [(1, 1.0, "a b")]
