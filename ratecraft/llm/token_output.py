@@ -18,23 +18,33 @@ start without a scan of the ids and without a task that sees all documents.
 
 from __future__ import annotations
 
+import json
+import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecraft.llm.bpe import SPACE
+from ratecraft.llm.bpe import SPACE, byte_symbols
 from ratecraft.llm.common import Scratch, bounded_batches
 
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE_WORDS = 250_000
-LONG_WORD = 256
+#: Words and ids that a task remembers; it starts anew beyond either.
+CACHE_WORDS, CACHE_IDS = 500_000, 8_000_000
+#: Characters of a round, pieces of a text and words of a batch that the library gets at once.
+ROUND_CHARS, CALL_PIECES, CALL_WORDS = 500_000, 256, 2000
+#: Bytes of text for one file, and the least for which another one is worth its start.
+PART_BYTES, SMALL_BYTES = 32 << 20, 1 << 20
+PLAIN_WORD = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+\\Z")
+PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
 
 DATA_SCHEMA = "doc_id long, local_start long, n_tokens long, ids array<int>, part int"
 
@@ -48,41 +58,137 @@ def words_of(text: str | None) -> list[str]:
     return text.split()
 
 
+class _Numbers(dict):
+    """Numbers words as they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
+class _Ids:
+    """Ids of numbered texts, one after another in one array."""
+
+    def __init__(self):
+        self.flat, self.start, self.n = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, n: np.ndarray) -> None:
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(n) - n))
+        self.flat, self.n = np.concatenate((self.flat, flat.astype(np.int32))), np.concatenate((self.n, n))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these texts in a row, how many each has)."""
+        n = self.n[numbers]
+        before = np.cumsum(n) - n
+        return self.flat[np.repeat(self.start[numbers] - before, n) + np.arange(int(n.sum()))], n
+
+
+def _per(n: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Sums of n over consecutive groups of the given lengths."""
+    return np.diff(np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(group)))])
+
+
+def _numbers(known: _Numbers, texts) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, texts), np.int64)
+
+
 class WordEncoder:
-    """Ids of texts whose tokenizer drops white space: each distinct word is encoded once a task.
+    """Ids of texts whose tokenizer drops white space: each distinct word is encoded once while it is remembered.
 
     The tokenizer's normaliser turns runs of white space into one space, which
     its pre-tokenizer drops, so no token, composition or lower-casing spans it.
+    Words of printable ASCII and Latin-1 letters, which its pattern splits into
+    letters, single digits and the rest, go to its model as lower-case pieces in
+    the model's byte alphabet, many a call; others (and words with an apostrophe or an angle
+    bracket, where contractions and added tokens begin) pass through the whole tokenizer one by
+    one. A tokenizer file with another normaliser or pattern gets every word that way.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task: cores and memory are Spark's to deal
+        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tokenizer, self.model):
+            t.no_padding()
+            t.no_truncation()
+        self.model.normalizer, self.model.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = all("<" in x for x in added) and _splits_plainly(json.loads(self.tokenizer.to_str()))
+        alphabet = byte_symbols()
+        self.bytes = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.word_ids = _Numbers(), _Ids()
+        self.pieces, self.piece_ids = _Numbers(), _Ids()
+        self.pieces["\n"] = 0  # ends a word, has no ids
+        self.piece_ids.add(np.zeros(0, np.int32), np.zeros(1, np.int64))
+
+    def _learn_pieces(self) -> None:
+        new, self.pieces.new = self.pieces.new, []
+        new = [x if x.isascii() else x.translate(self.bytes) for x in new]
+        joined = [" ".join(new[k : k + CALL_PIECES]) for k in range(0, len(new), CALL_PIECES)]
+        for k in range(0, len(joined), 16):
+            for e in self.model.encode_batch(joined[k : k + 16], add_special_tokens=False):
+                self.piece_ids.add(np.array(e.ids, np.int32), np.bincount(np.array(e.word_ids, np.int64)))
+
+    def _learn(self) -> None:
+        """Encode the words met for the first time: plain ones by pieces, the others whole."""
+        new, self.words.new = self.words.new, []
+        plain = np.fromiter((self.plain and PLAIN_WORD.match(w) is not None for w in new), bool, len(new))
+        at, lengths = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        found = PIECE.findall("\n".join([*compress(new, plain), ""]).lower())
+        numbers = _numbers(self.pieces, found)
+        if self.pieces.new:
+            self._learn_pieces()
+        flat, n = self.piece_ids.of(numbers)
+        ends = np.flatnonzero(numbers == 0)
+        lengths[plain] = _per(n, np.diff(ends, prepend=-1))
+        others, ids = list(compress(new, ~plain)), []
+        for k in range(0, len(others), CALL_WORDS):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(others[k : k + CALL_WORDS], add_special_tokens=False)]
+        lengths[~plain] = np.fromiter(map(len, ids), np.int64, len(ids))
+        order = np.argsort(~plain, kind="stable")  # plain words first, as their ids are
+        at[order] = np.cumsum(lengths[order]) - lengths[order]
+        base = len(self.word_ids.flat)
+        self.word_ids.add(np.concatenate((flat, np.fromiter(chain.from_iterable(ids), np.int32))), lengths)
+        self.word_ids.start[-len(new) :] = base + at
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids by text)."""
+        if len(self.words) > CACHE_WORDS or len(self.word_ids.flat) > CACHE_IDS:
+            self._forget()
+        cut = [words_of(x) for x in texts]
+        numbers = _numbers(self.words, chain.from_iterable(cut))
+        if self.words.new:
+            self._learn()
+        flat, n = self.word_ids.of(numbers)
+        return flat, _per(n, np.fromiter(map(len, cut), np.int64, len(cut)))
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        cut = [words_of(x) for x in texts]
-        known = self.known
-        new = {w for x in cut for w in x if w not in known}
-        if new and len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = {w for x in cut for w in x}
-        words = list(new)
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join([known[w] for w in x]) for x in cut]
-        for w in words:
-            if len(w) > LONG_WORD:
-                del known[w]
-        return out
-
-
-def _rounds(texts: list[str | None], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+        """Ids of each text as little-endian 32-bit integers."""
+        flat, n = self.encode(texts)
+        return [x.astype("<u4").tobytes() for x in np.split(flat, np.cumsum(n)[:-1])] if len(n) else []
+
+
+def _splits_plainly(tokenizer: dict) -> bool:
+    """Whether a tokenizer lower-cases and splits printable ASCII into letters, single digits and the rest."""
+    normal = [n["type"] for n in (tokenizer["normalizer"] or {}).get("normalizers", [])]
+    steps = (tokenizer["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if normal != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in steps] != ["Split", "ByteLevel"]:
+        return False
+    pattern = steps[0]["pattern"].get("Regex", "")
+    whole = steps[0]["invert"] and steps[0]["behavior"] == "Removed" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+    return whole and [x for x in pattern.split("|") if not x.startswith("'")] == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
+
+
+def _rounds(texts: list[str | None], chars: int = ROUND_CHARS) -> Iterator[tuple[int, int]]:
     at, n = 0, 0
     for end, x in enumerate(texts, 1):
         n += len(x or "")
@@ -93,17 +199,17 @@ def _rounds(texts: list[str | None], chars: int = 2_000_000) -> Iterator[tuple[i
 
 def _tokenise(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start, end = WordEncoder(path), 0, np.array([END_ID], "<u4").tobytes()
+        encoder, start = WordEncoder(path), 0
         for b in batches:
             texts = b.column(1).to_pylist()
             for lo, hi in _rounds(texts):
-                raw = [x + end for x in encoder.encode_many(texts[lo:hi])]
-                n = np.array([len(x) // 4 for x in raw], np.int64)
+                flat, n = encoder.encode(texts[lo:hi])
+                flat = np.insert(flat, np.cumsum(n), END_ID)
+                n = n + 1
                 before = start + np.cumsum(n) - n
                 start += int(n.sum())
-                flat = np.frombuffer(b"".join(raw), np.int32)
                 offsets = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(before), pa.array(n), ids, b.column(2).slice(lo, hi - lo)],
                     ["doc_id", "local_start", "n_tokens", "ids", "part"],
@@ -112,21 +218,29 @@ def _tokenise(path: str):
     return run
 
 
+def _partitions(docs: DataFrame) -> int:
+    """One for every PART_BYTES of text, more on an idle cluster as far as there are SMALL_BYTES for each."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(total / PART_BYTES), min(cores, math.ceil(total / SMALL_BYTES)))
+
+
 def write_token_files(docs: DataFrame, vocabulary_path: str, path: str) -> None:
     """Write documents' ids below ``path``: data files under data, the manifest under manifest.
 
-    Rows are in ascending doc_id order (nulls first; repeated doc_ids in no
-    fixed order among themselves). A null or empty text has the end id alone.
-    An empty table writes readable, empty files.
+    Rows are in ascending doc_id order, nulls first; rows of one doc_id in the
+    order of a digest of their texts, so starts are the same on every run, and
+    equal rows, which are dealt to several files if they are many, in no order. A null or empty
+    text has the end id alone. An empty table writes readable, empty files.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("digest").asc(), F.col("tie").asc()]
     ordered = (
         bounded_batches(docs)
-        .select("doc_id", "text")
-        .repartitionByRange(n, F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-        .withColumn("part", F.spark_partition_id())
+        .select("doc_id", "text", F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("tie"))
+        .repartitionByRange(_partitions(docs), *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text", F.spark_partition_id().alias("part"))
     )
     writer = ordered.mapInArrow(_tokenise(vocabulary_path), DATA_SCHEMA).write
     options = {

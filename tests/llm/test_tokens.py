@@ -56,6 +56,30 @@ def test_word_encoder_equals_the_library(texts):
         assert np.frombuffer(raw, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
 
+def test_word_encoder_splits_latin_words_as_the_library(texts):
+    t, e = library(WORD), WordEncoder(WORD)
+    assert e.plain
+    rng = random.Random(8)
+    parts = [*"aZéÉßØøÿÀ×÷µªº09.,;-_^~<>'\"", "<|endoftext|>", "don't", "ab", "ÉCOLE", "\u0301", "¡", "A\u030a"]
+    words = [" ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(5)) for _ in range(2000)]
+    for round_ in range(2):  # met for the first time, then remembered
+        for x, raw in zip(words, e.encode_many(words), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, (round_, x)
+    e.plain = False
+    e._forget()
+    assert [x.tolist() for x in e.encode(words)] == [x.tolist() for x in WordEncoder(WORD).encode(words)]
+    assert e.encode([])[0].tolist() == [] and e.encode([None, ""])[1].tolist() == [0, 0]
+
+
+def test_forgetting_changes_nothing(texts, monkeypatch):
+    from ratecraft.llm import token_output
+
+    whole = [WordEncoder(WORD).encode(texts)[0].tolist()]
+    monkeypatch.setattr(token_output, "CACHE_WORDS", 50)
+    e = WordEncoder(WORD)
+    assert [i for k in range(0, len(texts), 7) for i in e.encode(texts[k : k + 7])[0].tolist()] == whole[0]
+
+
 def test_bpe_query(make_docs):
     rows = [(1, "A b  c"), (1, "A b  c"), (2, None), (None, "x"), (3, "")]
     t = library(BYTE)
@@ -78,6 +102,10 @@ def test_token_files(spark, make_docs, corpus, tmp_path):
         start += len(ids)
     assert sorted(map(tuple, out)) == expected
     assert token_digest(make_docs([]), WORD).count() == 0
+    # rows of one doc_id have an order of their own, whatever order they are read in
+    tied = [(4, f"text {k} " * (k + 1)) for k in range(12)] + [(None, "x y"), (None, None)]
+    one, other = (sorted(map(tuple, token_digest(make_docs(x), WORD).collect()), key=str) for x in (tied, tied[::-1]))
+    assert one == other
     rows = token_digest(make_docs([(None, "a"), (4, "b c"), (4, "b c"), (5, None)]), WORD).collect()
     assert sorted((r.start, r.n_tokens) for r in rows) == [(0, 2), (2, 3), (5, 3), (8, 1)]
 
