@@ -11,7 +11,9 @@ segments gets a second allocation: all its segments, also with one shingle
 deleted, which bears one difference a segment; should even that not reach H + 1,
 its single shingles are indexed. Allocation by cost: two similar sets share more
 keys than a set has segments beyond H + 1, so a set leaves that many of its
-hottest buckets (a common line's, say) without losing a partner. Every pair that reaches the threshold shares a
+hottest buckets (a common line's, say) without losing a partner. Sets that still
+stand in wide buckets are partitioned again among themselves, down to single
+shingles, of which each keeps the rarest fifth (and one more). Every pair that reaches the threshold shares a
 key, so the join is exact; candidates pass a size bound and parity bitmaps, a
 short one and one as long as the set (all necessary conditions), and are
 verified on the whole sets.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.llm.common import (
@@ -244,6 +246,21 @@ def _plausible(l: str, r: str) -> str:
     )
 
 
+def rarest_shingles(sets: DataFrame) -> DataFrame:
+    """Buckets (key, id) of single shingles, the finest partition of the universe, for sets (id, grams).
+
+    A set of n shares ceil(0.8 n) shingles or more with any partner, so it can
+    leave its ceil(0.8 n) - 1 most frequent ones (by the number of these sets that hold them,
+    then hash) and still meets each partner in the rarest that both hold.
+    """
+    spare = F.floor((F.col("n") * THRESHOLD + 99) / 100) - 1
+    grams = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("key"))
+    often = grams.groupBy("key").agg(F.count("*").alias("often"))
+    frequent = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("often"), "key"))
+    ranked = grams.join(often, "key").withColumn("rank", frequent)
+    return ranked.filter((F.col("rank") > spare) & (F.col("often") > 1)).select("key", "id")
+
+
 def jaccard_classes(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id, component_id.
 
@@ -273,28 +290,42 @@ def jaccard_classes(docs: DataFrame, scratch: Scratch | None = None) -> DataFram
     )
     traits = scratch.write(traits)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        sketch = lambda c: traits.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("wide").alias(f"wide_{c}"))
-        near = pairs.join(sketch("u"), "u").join(sketch("v"), "v").select("u", "v", "size_u", "size_v", "wide_u", "wide_v")
-        pairs = scratch.write(near.mapInArrow(_near_enough, "u long, v long"))
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        ids = scratch.write(ids.join(traits.select("id", "doc_id"), "id"))
-        n = ids.count()
-        if not n:
-            return pairs
-        bloom = bloom_of(ids.filter("doc_id is not null"), "doc_id", n)
-        sets = docs.select("doc_id", "text").mapInArrow(_needed_sets(bloom), "id long, grams array<long>")
-        sets = scratch.write(sets)
+    def grams_of(ids: DataFrame) -> DataFrame:
+        """(id, grams) of the classes in ``ids`` (at least; several rows of a class are equal), written."""
+        named = scratch.write(ids.join(traits.select("id", "doc_id"), "id"))
+        bloom = bloom_of(named.filter("doc_id is not null"), "doc_id", named.count())
+        sets = scratch.write(docs.select("doc_id", "text").mapInArrow(_needed_sets(bloom), "id long, grams array<long>"))
+        scratch.drop(named)
+        return sets
+
+    def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         left = sets.select(F.col("id").alias("u"), F.col("grams").alias("a"))
         right = sets.select(F.col("id").alias("v"), F.col("grams").alias("b"))
         both = F.size(F.array_intersect("a", "b"))
         met = pairs.join(left, "u").join(right, "v").withColumn("both", both)
         # a class that several tasks sent gives its pairs more than once; links are a set
-        linked = scratch.write(met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v"))
-        scratch.drop(sets, ids)
-        return linked
+        return met.filter(f"100 * both >= {THRESHOLD} * (size(a) + size(b) - both)").select("u", "v")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        sketch = lambda c: traits.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("wide").alias(f"wide_{c}"))
+        both = pairs.join(sketch("u"), "u").join(sketch("v"), "v").select("u", "v", "size_u", "size_v", "wide_u", "wide_v")
+        return scratch.write(both.mapInArrow(_near_enough, "u long, v long"))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = near(pairs)
+        if pairs.isEmpty():
+            return pairs
+        sets = grams_of(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
+        out = scratch.write(linked(pairs, sets))
+        scratch.drop(sets)
+        return out
+
+    def refine(ids: DataFrame):
+        sets = grams_of(ids)
+        sets = scratch.write(sets.join(ids, "id", "left_semi").dropDuplicates(["id"]))
+        return scratch.write(rarest_shingles(sets)), lambda pairs: linked(near(pairs), sets)
 
-    _, comps = link_buckets(members, traits.drop("doc_id", "wide"), _plausible, verify, scratch)
+    _, comps = link_buckets(members, traits.drop("doc_id", "wide"), _plausible, verify, scratch, refine)
     scratch.keep(classes, comps)
     named = classes.select("doc_id", "size", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("doc_id", "size", "id", F.coalesce("comp", "id").alias("comp"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+import random
+
 import numpy as np
 import pytest
 
-from ratecraft.llm import jaccard_join
+from ratecraft.llm import components, jaccard_join
 from ratecraft.llm.components import connected_components
 from ratecraft.llm.common import Scratch
 from ratecraft.llm.embedding_dedup import near_duplicates
@@ -20,6 +23,46 @@ def test_jaccard_equals_all_pairs(spark, make_docs, corpus):
     assert sum(c != i for i, (_, c) in expected.items()) > 20  # the fixture has groups
 
 
+@pytest.mark.parametrize("width", [0, 2, 32])
+def test_texts_of_common_passages_equal_all_pairs(make_docs, monkeypatch, width):
+    """A line common to all, texts made of common passages, and edited copies around the threshold."""
+    monkeypatch.setattr(components, "HOT_BUCKET", min(width, 16))
+    monkeypatch.setattr(components, "WIDE_BUCKET", width)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = lambda n: " ".join(word() for _ in range(n))
+    line, passages, base = passage(40), [passage(30) for _ in range(8)], passage(150).split()
+    docs = [f"{line}\n{passage(rng.randint(5, 60))}" for _ in range(40)]
+    docs += [" ".join([line, *rng.sample(passages, 4)]) for _ in range(40)]
+    for _ in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = word()
+        docs.append(f"{line}\n{' '.join(w)}")
+    docs = list(enumerate(docs))
+    expected = brute.jaccard(docs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_classes(make_docs(docs)).collect()}
+    assert got == expected
+    assert 5 < len({c for _, c in expected.values()}) < 130
+
+
+def test_rarest_shingles_keep_a_shared_one(spark):
+    rng = np.random.default_rng(4)
+    sets = []
+    for k in range(120):
+        old = sets[rng.integers(len(sets))][1] if sets and rng.random() < 0.7 else rng.integers(0, 200, int(rng.integers(1, 60))).tolist()
+        sets.append((k, sorted({x for x in old if rng.random() > 0.1} | set(rng.integers(0, 200, int(rng.integers(0, 4))).tolist()) or {1})))
+    held = {}
+    for r in jaccard_join.rarest_shingles(spark.createDataFrame(sets, "id long, grams array<long>")).collect():
+        held.setdefault(r.id, set()).add(r.key)
+    near = 0
+    for (a, x), (b, y) in itertools.combinations(sets, 2):
+        if 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y}):
+            near += 1
+            assert held.get(a, set()) & held.get(b, set())
+    assert near > 20
+
+
 def test_one_of_each_group_stays(make_docs, corpus):
     docs = make_docs([*corpus, corpus[0], corpus[1], (None, "a b c d e f g")])
     out = keep_one(docs)
