@@ -38,11 +38,11 @@ END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 #: Words and ids that a task remembers; it starts anew beyond either.
-CACHE_WORDS, CACHE_IDS = 500_000, 8_000_000
+CACHE_WORDS, CACHE_IDS = 700_000, 12_000_000
 #: Characters of a round, pieces of a text and words of a batch that the library gets at once.
 ROUND_CHARS, CALL_PIECES, CALL_WORDS = 500_000, 256, 2000
 #: Bytes of text for one file, and the least for which another one is worth its start.
-PART_BYTES, SMALL_BYTES = 32 << 20, 1 << 20
+PART_BYTES, SMALL_BYTES = 48 << 20, 1 << 20
 PLAIN_WORD = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+\\Z")
 PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
 
