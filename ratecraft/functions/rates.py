@@ -26,6 +26,11 @@ def _from_log_sum(log_sum: Column) -> Column:
     return (F.exp(log_sum) - 1.0) * 100.0
 
 
+def from_log_sum(log_sum: Column, least_factor: Column) -> Column:
+    """The compounded rate in percent of rates whose log factors sum to ``log_sum``; NULL if a factor isn't positive."""
+    return F.when(least_factor > 0, _from_log_sum(log_sum))
+
+
 def compound(rate_pct: ColumnOrName) -> Column:
     """Aggregate: geometric compounding of the group's rates, in percent.
 

@@ -15,10 +15,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 from pyspark.sql.window import WindowSpec
 
 from ratecraft.functions.parsing import month_of
-from ratecraft.functions.rates import compound, compound_over, real_rate
+from ratecraft.functions.rates import compound, compound_over, from_log_sum, growth_factor, real_rate
 from ratecraft.specs import OUTPUT_SCALE, WINDOW_MONTHS
 
 MONTH_KEY = "reference_month"
@@ -39,6 +40,36 @@ def monthly_rates(
     )
 
 
+def monthly_state(
+    daily: DataFrame, rate_col: str, date_col: str = "reference_date", keys: Sequence[str] = ()
+) -> DataFrame:
+    """What :func:`monthly_rates` needs of each (keys, month), in a form that merges: observations,
+    sum of rates, sum of log factors and least factor."""
+    factor = growth_factor(rate_col)
+    return daily.groupBy(*keys, month_of(date_col).alias(MONTH_KEY)).agg(
+        F.count(F.lit(1)).alias("observations"),
+        F.count(rate_col).alias("rates"),
+        F.sum(rate_col).alias("rate_sum"),
+        F.sum(F.ln(factor)).alias("log_sum"),
+        F.min(factor).alias("least_factor"),
+    )
+
+
+def merged_rates(state: DataFrame, keys: Sequence[str] = (), name: str = "nominal") -> DataFrame:
+    """:func:`monthly_rates` of the rows that :func:`monthly_state` summed up, by any of its keys."""
+    total, n = F.sum("rate_sum"), F.sum("rates")
+    mean = total / n
+    if isinstance(kind := state.schema["rate_sum"].dataType, DecimalType):
+        # the type and rounding of an average of the rates themselves, whose sum has ten digits more
+        digits = kind.precision - 10
+        mean = (total.cast(kind) / n.cast("decimal(20,0)")).cast(DecimalType(min(38, digits + 4), min(38, kind.scale + 4)))
+    return state.groupBy(*keys, MONTH_KEY).agg(
+        mean.alias(f"{name}_daily_average_pct"),
+        from_log_sum(F.sum("log_sum"), F.min("least_factor")).alias(f"{name}_monthly_effective_pct"),
+        F.sum("observations").alias(f"{name}_observation_count"),
+    )
+
+
 def monthly_reference(
     monthly: DataFrame,
     rate_col: str,

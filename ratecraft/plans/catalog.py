@@ -565,7 +565,13 @@ def q_layered_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
     the second time they conform only the added records, update matched keys in
     loaded partitions, and recompute only the Gold months these can affect.
     """
-    rates, reference, mart = _layer_specs(scratch_dir(spark, "layers-inc"), incremental=True)
+    return _twice_landed_gold(spark, d, "layers-inc")
+
+
+def _twice_landed_gold(spark: SparkSession, d: str, label: str, **by) -> DataFrame:
+    """Gold after two drops of files, each layer doing only new work; see q_layered_gold_incremental."""
+    rates, reference, mart = _layer_specs(scratch_dir(spark, label), incremental=True)
+    mart = replace(mart, **by)
     cut = F.lit(INCREMENT_FROM).cast("date")
     early = F.col("l_shipdate") < cut
     _land_reference(spark, d, reference)
@@ -578,6 +584,13 @@ def q_layered_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
     return _gold_result(spark, mart)
 
 
+def q_layered_gold_by_half(spark: SparkSession, d: str) -> DataFrame:
+    """The same two drops into a mart of two keys, refreshed through its monthly state:
+    each series apart by the first and second half of the month."""
+    half = ("half", f"if(day(reference_date) <= {RESTATED_DAY}, 1, 2)")
+    return _twice_landed_gold(spark, d, "layers-half", keys=("series_name", "half"), key_columns=(half,))
+
+
 #: Rates above this are refused by the quarantine queries; the restated ones are this much higher.
 REFUSED_ABOVE = 0.08
 DIRTY_SHIFT = 0.01
@@ -664,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "layered_gold": q_layered_gold,
     "layered_gold_rerun": q_layered_gold_rerun,
     "layered_gold_incremental": q_layered_gold_incremental,
+    "layered_gold_by_half": q_layered_gold_by_half,
     "silver_quarantine": q_silver_quarantine,
     "silver_valid": q_silver_valid,
 }

@@ -20,8 +20,8 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ratecraft.functions.parsing import PARTITION_COLUMNS, month_of, partition_column, partition_value
 from ratecraft.operators.conform import broken_rule, conform, latest_records, record_order, typed_series
-from ratecraft.operators.mart import MONTH_KEY, monthly_mart, monthly_rates, monthly_reference
-from ratecraft.operators.quality import validate
+from ratecraft.operators.mart import MONTH_KEY, merged_rates, monthly_mart, monthly_rates, monthly_reference, monthly_state
+from ratecraft.operators.quality import any_null, validate
 from ratecraft.operators.upsert import staged, stamp, upsert
 from ratecraft.sources.raw import BRONZE_SCHEMA, enforce_contract, read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table, try_read_table
@@ -46,6 +46,19 @@ class MartSpec:
     partition_grain: str = YEAR  # YEAR or MONTH of reference_month
     checkpoint: str | None = None  # stream checkpoint of the incremental Gold job; see gold_checkpoint
     reader: str = "gold"  # whose change logs the incremental Gold job reads; one mart each
+    # keys that aren't columns of the nominal Silver table: (name, SQL expression over it)
+    key_columns: tuple[tuple[str, str], ...] = ()
+    state: str | None = None  # monthly state of a mart by other keys than the series; see state_table
+
+    @property
+    def by_series(self) -> bool:
+        """Whether the mart is keyed by the series, or has no key: then Silver itself is read for a refresh."""
+        return tuple(self.keys) in ((), ("series_name",)) and not self.key_columns
+
+    @property
+    def state_table(self) -> str:
+        """``state``, or a table beside Gold."""
+        return self.state or f"{self.gold}_state"
 
     @property
     def gold_checkpoint(self) -> str | None:
@@ -206,8 +219,19 @@ def build_mart(
     nominal, reference = mart.names
     daily = read_table(spark, mart.nominal.silver) if daily is None else daily
     monthly = read_table(spark, mart.reference.silver) if monthly is None else monthly
+    rates = monthly_rates(_keyed(mart, daily), mart.nominal.rate_column, keys=mart.keys, name=nominal)
+    return _mart_of(mart, rates, monthly)
+
+
+def _keyed(mart: MartSpec, daily: DataFrame) -> DataFrame:
+    """The nominal Silver rows with the mart's own key columns."""
+    return daily.withColumns({name: F.expr(sql) for name, sql in mart.key_columns})
+
+
+def _mart_of(mart: MartSpec, rates: DataFrame, monthly: DataFrame) -> DataFrame:
+    nominal, reference = mart.names
     return monthly_mart(
-        monthly_rates(daily, mart.nominal.rate_column, keys=mart.keys, name=nominal),
+        rates,
         monthly_reference(monthly, mart.reference.rate_column, name=reference),
         keys=mart.keys,
         months=mart.months,
@@ -222,12 +246,20 @@ def run_mart(spark: SparkSession, mart: MartSpec) -> str:
     return _upsert_gold(spark, mart, build_mart(spark, mart), gold_rules(mart.keys, nominal, reference))
 
 
-def _upsert_gold(spark: SparkSession, mart: MartSpec, content: DataFrame, rules: RuleSet) -> str:
-    """Stage Gold rows with their partition column, validate them, upsert them."""
+def _upsert_gold(
+    spark: SparkSession, mart: MartSpec, content: DataFrame, rules: RuleSet, replaced: DataFrame | None = None
+) -> str:
+    """Stage Gold rows with their partition column, validate them, upsert them; rows of ``replaced``
+    (Gold as it is, or a part of it) whose keys aren't among them go."""
     part = partition_column(mart.partition_grain)
     content = content.withColumn(part, partition_value(MONTH_KEY, mart.partition_grain))
-    with staged(spark, content, "gold") as gold:
+    with ExitStack() as stack:
+        gold = stack.enter_context(staged(spark, content, "gold"))
         validate(gold, rules)
+        deleted = None
+        if replaced is not None:
+            keys = [*mart.keys, MONTH_KEY]
+            deleted = stack.enter_context(staged(spark, replaced.select(*keys, part).join(gold, keys, "left_anti"), "gold-deleted"))
         return upsert(
             spark,
             stamp(gold, "gold_updated_at"),
@@ -236,6 +268,7 @@ def _upsert_gold(spark: SparkSession, mart: MartSpec, content: DataFrame, rules:
             partition_by=(part,),
             check_unique=False,
             source_staged=True,
+            deleted=deleted,
         )
 
 
@@ -250,6 +283,28 @@ def _from_partition(spec: SeriesSpec, first: dt.date) -> Column:
     return F.col(partition_column(grain)) >= partition_value(F.lit(first), grain)
 
 
+def _in_partitions(grain: str, low: dt.date | None, high: dt.date | None) -> Column:
+    """Partitions of the months from ``low`` to ``high`` (prunes the scan); none without them."""
+    if low is None:
+        return F.lit(False)
+    first, last = (partition_value(d, grain) for d in (F.lit(low), F.last_day(F.lit(high))))
+    return F.col(partition_column(grain)).between(first, last)
+
+
+def _frame_bounds(mart: MartSpec, current: DataFrame, m0: DataFrame) -> DataFrame:
+    """(keys, m0, start): the month of the ``months - 1``-th Gold row before ``m0``, or ``m0``."""
+    keys, month = list(mart.keys), F.col(MONTH_KEY)
+    earlier = current.select(*keys, MONTH_KEY).join(m0, keys).where(month < F.col("m0"))
+    by_recency = Window.partitionBy(*keys).orderBy(month.desc())
+    frame_start = (
+        earlier.select(*keys, MONTH_KEY, F.row_number().over(by_recency).alias("_back"))
+        .where(F.col("_back") < mart.months)
+        .groupBy(*keys)
+        .agg(F.min(month).alias("start"))
+    )
+    return m0.join(frame_start, keys, "left").select(*keys, "m0", F.coalesce("start", "m0").alias("start"))
+
+
 def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
     """Recompute the Gold rows that a set of Silver changes can affect; upsert them.
 
@@ -260,9 +315,12 @@ def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
     recomputed from Silver read from ``start``, the month of the
     ``months - 1``-th Gold row before ``m0``, so every 12-row frame is whole
     and built from unrounded monthly values, as in the full recompute.
-    Without a Gold table yet, the whole mart is built.
+    Without a Gold table yet, the whole mart is built. A mart by other keys goes
+    by its monthly state (:func:`refresh_gold_by_state`).
     """
     spark = changes.sparkSession
+    if not mart.by_series:
+        return refresh_gold_by_state(mart, changes)
     current = try_read_table(spark, mart.gold)
     if current is None:
         return run_mart(spark, mart)
@@ -277,17 +335,7 @@ def refresh_gold(mart: MartSpec, changes: DataFrame) -> str | None:
         every = read_table(spark, mart.nominal.silver).select(*keys).distinct()
         m0 = m0.unionByName(every.withColumn("m0", F.lit(reference_m0)))
         m0 = m0.groupBy(*keys).agg(F.min("m0").alias("m0"))
-    earlier = current.select(*keys, MONTH_KEY).join(m0, keys).where(month < F.col("m0"))
-    by_recency = Window.partitionBy(*keys).orderBy(month.desc())
-    frame_start = (
-        earlier.select(*keys, MONTH_KEY, F.row_number().over(by_recency).alias("_back"))
-        .where(F.col("_back") < mart.months)
-        .groupBy(*keys)
-        .agg(F.min(month).alias("start"))
-    )
-    bounds = m0.join(frame_start, keys, "left").select(
-        *keys, "m0", F.coalesce("start", "m0").alias("start")
-    )
+    bounds = _frame_bounds(mart, current, m0)
     with staged(spark, bounds, "gold-bounds") as bounds:  # read three times below
         lowest = bounds.agg(F.min("start")).first()[0]  # one value
         if lowest is None:
@@ -326,15 +374,92 @@ def _refresh_single_series(
     return _upsert_gold(spark, mart, content, replace(gold_rules(mart.keys, *mart.names), not_empty=False))
 
 
+def refresh_gold_by_state(mart: MartSpec, changes: DataFrame) -> str | None:
+    """:func:`refresh_gold` for a mart by any keys, such as two columns or a part of the series' name.
+
+    Beside Gold lies its monthly state: for each (series, keys, month) of the
+    nominal series the counts and sums that merge to the monthly rates of any
+    coarser keys. Silver is read only for the (series, month) pairs in
+    ``changes``; their state is replaced, since a restated record may move from
+    one group to another and a least factor can't be taken back. Groups that
+    such a pair had or now has are recomputed from ``m0`` on, out of the state of
+    their frames' months; Gold rows of groups that have vanished go. The result
+    is that of a mart built anew from Silver.
+
+    Gold is written first, the state last, so a refresh that is done again
+    still finds the groups that had lost records. Keys may not be null; Gold
+    and Silver are path tables.
+    """
+    spark, keys, month = changes.sparkSession, list(mart.keys), F.col(MONTH_KEY)
+    part = partition_column(mart.partition_grain)
+    pair = ["series_name", MONTH_KEY]
+    own = ["series_name", *(k for k in keys if k != "series_name")]
+    current, state = try_read_table(spark, mart.gold), try_read_table(spark, mart.state_table)
+    rules = replace(gold_rules(mart.keys, *mart.names), not_empty=False)
+
+    def state_of(daily: DataFrame) -> DataFrame:
+        found = monthly_state(_keyed(mart, daily), mart.nominal.rate_column, mart.nominal.key_column, own)
+        return found.withColumn(part, partition_value(MONTH_KEY, mart.partition_grain))
+
+    def write_state(fresh: DataFrame, deleted: DataFrame | None) -> None:
+        upsert(spark, fresh, mart.state_table, [*own, MONTH_KEY], (part,), check_unique=False, source_staged=True, deleted=deleted)
+
+    def checked(fresh: DataFrame) -> DataFrame:
+        if not fresh.where(any_null(own)).isEmpty():
+            raise ValueError(f"mart keys {keys} may not be null")
+        return fresh
+
+    silver, monthly = read_table(spark, mart.nominal.silver), read_table(spark, mart.reference.silver)
+    if current is None or state is None:
+        with staged(spark, state_of(silver), "gold-state") as fresh:
+            content = _mart_of(mart, merged_rates(checked(fresh), keys, mart.names[0]), monthly)
+            done = _upsert_gold(spark, mart, content, rules, current)
+            remove_path(spark, mart.state_table)
+            write_state(fresh, None)
+        return done
+
+    with ExitStack() as stack:
+        stage = lambda df, label: stack.enter_context(staged(spark, df, label))
+        touched = stage(changes.where(F.col("side") == "nominal").select(*pair).distinct(), "gold-touched")
+        span = touched.agg(F.min(month).alias("low"), F.max(month).alias("high")).first()  # two values
+        reference_m0 = changes.where(F.col("side") == "reference").agg(F.min(month)).first()[0]  # one value
+        if span.low is None and reference_m0 is None:
+            return None
+        within = lambda grain: _in_partitions(grain, span.low, span.high)
+        daily = silver.where(within(mart.nominal.partition_grain))
+        daily = daily.withColumn(MONTH_KEY, month_of(mart.nominal.key_column)).join(touched, pair, "left_semi")
+        fresh = checked(stage(state_of(daily), "gold-state"))
+        old = state.where(within(mart.partition_grain))
+        old = stage(old.join(touched, pair, "left_semi"), "gold-state-old")
+        m0 = fresh.select(*keys, MONTH_KEY).unionByName(old.select(*keys, MONTH_KEY)).withColumnRenamed(MONTH_KEY, "m0")
+        if reference_m0 is not None:
+            every = state.select(*keys).unionByName(fresh.select(*keys)).distinct()
+            m0 = m0.unionByName(every.withColumn("m0", F.lit(reference_m0)))
+        bounds = stage(_frame_bounds(mart, current, m0.groupBy(*keys).agg(F.min("m0").alias("m0"))), "gold-bounds")
+        lowest = bounds.agg(F.min("start")).first()[0]  # one value
+        later = F.col(part) >= partition_value(F.lit(lowest), mart.partition_grain)
+        after = state.where(later).join(touched, pair, "left_anti").unionByName(fresh)
+        after = after.join(bounds, keys).where(month >= F.col("start")).select(*own, MONTH_KEY, *STATE_COLUMNS)
+        reference = monthly.where(_from_partition(mart.reference, lowest)).where(month >= F.lit(lowest))
+        content = _mart_of(mart, merged_rates(after, keys, mart.names[0]), reference)
+        content = content.join(bounds.select(*keys, "m0"), keys).where(month >= F.col("m0")).select(content.columns)
+        replaced = current.where(later).join(bounds.select(*keys, "m0"), keys).where(month >= F.col("m0"))
+        done = _upsert_gold(spark, mart, content, rules, replaced)
+        gone = stage(old.select(*own, MONTH_KEY, part).join(fresh, [*own, MONTH_KEY], "left_anti"), "gold-state-gone")
+        write_state(fresh, gone)
+        return done
+
+
+STATE_COLUMNS = ["observations", "rates", "rate_sum", "log_sum", "least_factor"]
+
+
 def run_mart_incremental(spark: SparkSession, mart: MartSpec) -> None:
     """Gold job over the Silver change logs: only affected rows are recomputed.
 
     A file stream over both series' change logs (its checkpoint remembers
-    what it read) hands each set of changes to :func:`refresh_gold`. Gold is
-    keyed by ``series_name`` or unkeyed (one national series).
+    what it read) hands each set of changes to :func:`refresh_gold`, for a
+    mart by series, by any other keys, or without (one national series).
     """
-    if tuple(mart.keys) not in ((), ("series_name",)):
-        raise ValueError("incremental Gold needs keys ('series_name',) or none")
     if not (mart.gold_checkpoint and mart.nominal.changes and mart.reference.changes):
         raise ValueError("incremental Gold needs a checkpoint and both change logs")
     streams = []
@@ -395,6 +520,7 @@ __all__ = [
     "conform_batch",
     "quarantined",
     "refresh_gold",
+    "refresh_gold_by_state",
     "run_mart_incremental",
     "run_conform",
     "run_conform_incremental",

@@ -223,13 +223,14 @@ def silver_reference(drops: list[str] = REFERENCE) -> str:
                                ORDER BY batch DESC, day DESC, inflation_monthly_pct DESC NULLS LAST) = 1"""
 
 
-def _layered_gold(rates: list[str] = RATES, reference: list[str] = REFERENCE) -> str:
+def _layered_gold(rates: list[str] = RATES, reference: list[str] = REFERENCE, half: bool = False) -> str:
     win = " OVER win"
+    key, second = ("series_name, half", "CASE WHEN day(reference_date) <= 15 THEN 1 ELSE 2 END AS half,") if half else ("series_name", "")
     daily, monthly = silver_rates(rates), silver_reference(reference)
     return f"""
     WITH daily AS ({daily}),
     nom AS (
-        SELECT series_name, CAST(date_trunc('month', reference_date) AS DATE) AS reference_month,
+        SELECT series_name, {second} CAST(date_trunc('month', reference_date) AS DATE) AS reference_month,
                CAST(AVG(nominal_daily_pct) AS DOUBLE) AS nominal_daily_average_pct,
                {_compound('CAST(nominal_daily_pct AS DOUBLE)')} AS nominal_monthly_effective_pct,
                COUNT(*) AS nominal_observation_count
@@ -243,9 +244,9 @@ def _layered_gold(rates: list[str] = RATES, reference: list[str] = REFERENCE) ->
                {_compound('nominal_monthly_effective_pct', win)} AS acc_n,
                {_compound('inflation_monthly_pct', win)} AS acc_p
         FROM j
-        WINDOW win AS (PARTITION BY series_name ORDER BY reference_month
+        WINDOW win AS (PARTITION BY {key} ORDER BY reference_month
                        ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))
-    SELECT series_name, reference_month,
+    SELECT {key}, reference_month,
            ROUND(nominal_daily_average_pct, 8) AS nominal_daily_average_pct,
            ROUND(nominal_monthly_effective_pct, 8) AS nominal_monthly_effective_pct,
            ROUND(inflation_monthly_pct, 8) AS inflation_monthly_pct,
@@ -444,6 +445,7 @@ ORACLE_SQL: dict[str, str] = {
         WHERE date_diff('month', first_month_in_window, reference_month) + 1 <> months_in_window""",
     "layered_gold": _layered_gold(),
     "layered_gold_rerun": f"SELECT COUNT(*) AS rows, COUNT(*) AS rows_again FROM ({_layered_gold()})",
+    "layered_gold_by_half": _layered_gold(RATES_TWICE, REFERENCE_TWICE, half=True),
     "silver_quarantine": f"""
         SELECT series_name, CAST(batch AS BIGINT) AS batch_id, refused, COUNT(*) AS records,
                COUNT(DISTINCT reference_date) AS days

@@ -393,12 +393,6 @@ def test_incremental_layers_recover_from_bad_records_and_empty_files(spark, tmp_
     assert content_fingerprint(gold_view(spark, full_mart)).first() == gold
 
 
-def test_incremental_gold_by_other_keys_is_refused(spark, tmp_path):
-    root, selic, ipca, mart = layout(tmp_path)
-    with pytest.raises(ValueError, match="keys"):
-        run_layers(spark, [selic, ipca], replace(mart, keys=("source_file",)), incremental=True)
-
-
 def test_contract_stops_behind_the_ingest(spark, tmp_path):
     root, selic, ipca, mart = layout(tmp_path)
     run_layers(spark, [selic, ipca], mart, contract=True)
