@@ -57,6 +57,7 @@ from ratecraft.session import scratch_dir, write_text
 from ratecraft.sources.raw import file_contract, raw_contract, read_bronze, read_raw, series_range
 from ratecraft.sources.tables import read_driver_table, read_table
 from ratecraft.specs import DAY, MONTH, SeriesSpec, gold_rules, silver_rules
+from ratecraft.streaming.contract import contract_log, run_ingest_with_contract
 from ratecraft.streaming.ingest import ingest_series
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,6 +318,32 @@ def q_raw_contract(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_contract_log(spark: SparkSession, d: str) -> DataFrame:
+    """Contracts of two drops of files, each judged by its own ingest: events before and from
+    noon on; with each drop an empty array or a file of no bytes. The second run reads new files only."""
+    spec = _events_spec(scratch_dir(spark, "contract-log"))
+    late, landed = F.hour("ts") >= 12, []
+    for drop, keep in enumerate((~late, late)):
+        records = read_driver_table(spark, d, "events").where(keep).select(
+            F.when(F.hour("ts") > 0, F.date_format("ts", "dd/MM/yyyy")).alias("data"),
+            F.when(F.col("value") >= 1, rate_text(F.col("value"))).alias("valor"),
+        )
+        records.write.mode("append").json(spec.landing)
+        write_text(spark, f"{spec.landing}/{('array', 'bytes')[drop]}-{drop}.json", "" if drop else "[]")
+        try:
+            run_ingest_with_contract(spark, [spec])
+        except ValueError as broken:  # both drops hold broken files
+            landed.append(str(broken))
+    log = contract_log(spark, spec)
+    name = F.col("source_file")
+    drop = F.coalesce("batch_id", F.when(name.endswith("-0.json"), 0).when(name.endswith("-1.json"), 1)).cast("long")
+    return log.groupBy(drop.alias("drop")).agg(
+        *(F.sum(c).alias(c) for c in ("records", "missing_data", "missing_valor")),
+        F.count_if(F.col("records") == 0).alias("empty_files"),
+        F.lit(len(landed)).cast("long").alias("stopped_runs"),
+    )
+
+
 def q_raw_records(spark: SparkSession, d: str) -> DataFrame:
     """The same contract by record."""
     return raw_contract(read_raw(spark, _land_events(spark, d, "contract")))
@@ -657,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "dq_range_rows": q_dq_range_rows,
     "raw_contract": q_raw_contract,
     "raw_records": q_raw_records,
+    "contract_log": q_contract_log,
     "ingest_lineage": q_ingest_lineage,
     "ingest_arrays": q_ingest_arrays,
     "ingest_append": q_ingest_append,

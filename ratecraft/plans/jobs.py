@@ -23,10 +23,11 @@ from ratecraft.operators.conform import broken_rule, conform, latest_records, re
 from ratecraft.operators.mart import MONTH_KEY, merged_rates, monthly_mart, monthly_rates, monthly_reference, monthly_state
 from ratecraft.operators.quality import any_null, validate
 from ratecraft.operators.upsert import staged, stamp, upsert
-from ratecraft.sources.raw import BRONZE_SCHEMA, enforce_contract, read_bronze, read_bronze_stream
+from ratecraft.sources.raw import BRONZE_SCHEMA, read_bronze, read_bronze_stream
 from ratecraft.sources.tables import read_table, try_read_table
 from ratecraft.session import ensure_dir, path_exists, remove_path
 from ratecraft.specs import WINDOW_MONTHS, YEAR, RuleSet, SeriesSpec, gold_rules, silver_rules
+from ratecraft.streaming.contract import run_ingest_with_contract
 from ratecraft.streaming.ingest import await_all, run_ingest, run_streams
 
 PARTITION_COLUMN = PARTITION_COLUMNS[YEAR]  # the default partition column
@@ -493,11 +494,13 @@ def run_layers(
     ``incremental`` conforms only the Bronze records added since the last run
     (:func:`run_conform_incremental`) and recomputes only the Gold rows they can
     affect (:func:`run_mart_incremental`, which says what it needs).
-    ``contract`` stops behind the ingest if a landed file breaks its contract.
+    ``contract`` judges the new files (:func:`run_ingest_with_contract`) and stops behind
+    the ingest while broken ones haven't been accepted.
     """
-    run_ingest(spark, specs)
     if contract:
-        enforce_contract(spark, specs)
+        run_ingest_with_contract(spark, specs)
+    else:
+        run_ingest(spark, specs)
     if not incremental:
         run_conform(spark, specs)
         return run_mart(spark, mart)

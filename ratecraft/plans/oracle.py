@@ -367,6 +367,12 @@ ORACLE_SQL: dict[str, str] = {
                COUNT(*) FILTER (WHERE hour(ts) = 0 OR value IS NULL OR value < 1) AS invalid_records,
                COUNT(*) > 0 AND COUNT(*) FILTER (WHERE hour(ts) = 0 OR value IS NULL OR value < 1) = 0 AS contract_ok
         FROM events""",
+    "contract_log": """
+        SELECT CASE WHEN hour(ts) >= 12 THEN 1 ELSE 0 END::BIGINT AS drop, COUNT(*) AS records,
+               COUNT(*) FILTER (WHERE hour(ts) = 0) AS missing_data,
+               COUNT(*) FILTER (WHERE value IS NULL OR value < 1) AS missing_valor,
+               1::BIGINT AS empty_files, 2::BIGINT AS stopped_runs
+        FROM events GROUP BY 1""",
     "ingest_lineage": """
         SELECT COUNT(*) AS records, COUNT(*) AS with_lineage, COUNT(*) AS stamped_after_landing,
                CAST(1 AS BIGINT) AS ingestion_times, CAST(1 AS BIGINT) AS series

@@ -58,6 +58,9 @@ class SeriesSpec:
     # records that the incremental Silver job refused, with the rule they broke,
     # one folder a batch
     quarantine: str | None = None
+    # log of the contracts of landed files, and the checkpoint of the stream that judges them
+    contracts: str | None = None
+    contract_checkpoint: str | None = None
     multi_line: bool = True
     series_from_dir: bool = False
     max_files_per_trigger: int | None = None
@@ -89,6 +92,8 @@ class SeriesSpec:
             silver_checkpoint=self.silver_checkpoint or f"{root}/checkpoints/silver_{self.name}",
             changes=self.changes or f"{root}/changes/{self.name}",
             quarantine=self.quarantine or f"{root}/quarantine/{self.name}",
+            contracts=self.contracts or f"{root}/contracts/{self.name}",
+            contract_checkpoint=self.contract_checkpoint or f"{root}/checkpoints/contract_{self.name}",
         )
 
 

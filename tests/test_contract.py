@@ -1,0 +1,83 @@
+"""Contracts of newly landed files: judged once, from the ingest's own records."""
+
+from dataclasses import replace
+
+import pytest
+
+from ratecraft.plans.jobs import MartSpec, run_layers
+from ratecraft.sources.raw import file_contract
+from ratecraft.sources.tables import try_read_table
+from ratecraft.specs import IPCA, SELIC
+from ratecraft.streaming.contract import accept_files, broken_files, contract_log, run_ingest_with_contract
+
+from .fixtures import FIVE_YEARS_DAYS, FIVE_YEARS_MONTHS, daily_records, monthly_records, write_raw
+
+
+def log(spark, spec):
+    rows = contract_log(spark, spec).collect()
+    out = {r.source_file: (r.records, r.missing_data, r.missing_valor, r.bad_data, r.bad_valor, r.repeated_keys, r.contract_ok) for r in rows}
+    assert len(out) == len(rows)  # a file is judged once
+    return out
+
+
+@pytest.mark.parametrize("archive", [False, True])
+def test_new_files_are_judged_once(spark, tmp_path, archive):
+    spec = SELIC.located(str(tmp_path / "lake"))
+    if archive:
+        spec = replace(spec, archive=str(tmp_path / "archive"))
+    landing = tmp_path / "lake" / "landing" / "selic"
+    write_raw(landing, "good.json", daily_records(FIVE_YEARS_DAYS[:5]))
+    write_raw(landing, "a b%20c.json", daily_records(FIVE_YEARS_DAYS[5:7]))  # a name that a URI escapes
+    run_ingest_with_contract(spark, [spec])
+    good = {"good.json": (5, 0, 0, 0, 0, 0, True)}
+    first = log(spark, spec)
+    assert len(first) == 2 and first.items() >= good.items() and {v[0] for v in first.values()} == {5, 2}
+
+    write_raw(landing, "array.json", [])
+    (landing / "bytes.json").write_bytes(b"")
+    write_raw(landing, "holes.json", [{"data": "03/01/2025"}, {"data": "2025-01-04", "valor": "x"}, {"data": "05/01/2025", "valor": "1"}, {"data": "05/01/2025", "valor": "2"}])
+    (landing / "cut.json").write_text('[{"data": "03/0')
+    bad = {
+        "array.json": (0, 0, 0, 0, 0, 0, False),
+        "bytes.json": (0, 0, 0, 0, 0, 0, False),
+        "holes.json": (4, 0, 1, 1, 1, 1, False),
+        "cut.json": (1, 1, 1, 0, 0, 0, False),
+    }
+    for _ in range(2):  # stops until the files are accepted; judges nothing twice
+        with pytest.raises(ValueError, match="4 files break the contract"):
+            run_ingest_with_contract(spark, [spec])
+        assert log(spark, spec) == first | bad
+    assert accept_files(spark, spec, ["array.json", "bytes.json", "cut.json", "none.json"]) == 3
+    assert [r.source_file for r in broken_files(spark, spec).collect()] == ["holes.json"]
+    assert accept_files(spark, spec, ["holes.json"]) == 1 and accept_files(spark, spec, ["holes.json"]) == 0
+    run_ingest_with_contract(spark, [spec])
+    if not archive:  # the audit of the whole landing says the same
+        audit = {r.source_file: (r.records, r.missing_data, r.missing_valor, r.bad_data, r.bad_valor, r.repeated_keys, r.contract_ok) for r in file_contract(spark, spec).collect()}
+        assert audit == first | bad
+
+
+def test_old_files_are_not_read_again(spark, tmp_path):
+    spec = SELIC.located(str(tmp_path))
+    landing = tmp_path / "landing" / "selic"
+    old = write_raw(landing, "old.json", daily_records(FIVE_YEARS_DAYS[:5]))
+    run_ingest_with_contract(spark, [spec])
+    old.write_text("no json any more")  # as long as it was, or not: nobody looks
+    write_raw(landing, "new.json", daily_records(FIVE_YEARS_DAYS[5:9]))
+    run_ingest_with_contract(spark, [spec])
+    assert {k: (v[0], v[-1]) for k, v in log(spark, spec).items()} == {"old.json": (5, True), "new.json": (4, True)}
+    batches = {r.source_file: r.batch_id for r in contract_log(spark, spec).collect()}
+    assert batches == {"old.json": 0, "new.json": 1}
+
+
+def test_the_layers_stop_behind_the_ingest(spark, tmp_path):
+    selic, ipca = SELIC.located(str(tmp_path)), IPCA.located(str(tmp_path))
+    mart = MartSpec(nominal=selic, reference=ipca, gold=str(tmp_path / "gold"))
+    write_raw(tmp_path / "landing" / "selic", "a.json", daily_records(FIVE_YEARS_DAYS[:90]))
+    write_raw(tmp_path / "landing" / "ipca", "a.json", monthly_records(FIVE_YEARS_MONTHS[:4]))
+    (tmp_path / "landing" / "ipca" / "b.json").write_bytes(b"")
+    with pytest.raises(ValueError, match="'ipca': 1 files break"):
+        run_layers(spark, [selic, ipca], mart, incremental=True, contract=True)
+    assert try_read_table(spark, selic.silver) is None
+    accept_files(spark, ipca, ["b.json"])
+    run_layers(spark, [selic, ipca], mart, incremental=True, contract=True)
+    assert try_read_table(spark, mart.gold).count() > 0
