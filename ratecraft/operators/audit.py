@@ -126,3 +126,24 @@ def content_fingerprint(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame
     cols = [c for c in df.columns if c not in set(exclude)]
     h = F.xxhash64(*cols).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("fingerprint"))
+
+
+def partition_fingerprints(df: DataFrame, by: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:
+    """:func:`content_fingerprint` of each partition: ``by``, rows, fingerprint. Combined before the shuffle."""
+    left_out = {*by, *exclude}
+    h = F.xxhash64(*(c for c in df.columns if c not in left_out)).cast("decimal(38,0)")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("fingerprint"))
+
+
+def differing_partitions(before: DataFrame, after: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The partitions that differ between two :func:`partition_fingerprints`: ``by``, rows_before, rows_after.
+
+    A partition that only one side has counts as differing (0 rows on the other);
+    a NULL partition value is a partition like any other.
+    """
+    one = before.withColumnsRenamed({"rows": "rows_before", "fingerprint": "_before"}).select(F.struct(*by).alias("_by"), "rows_before", "_before")
+    two = after.withColumnsRenamed({"rows": "rows_after", "fingerprint": "_after"}).select(F.struct(*by).alias("_by"), "rows_after", "_after")
+    both = one.join(two, "_by", "full")
+    differs = ~F.col("_before").eqNullSafe(F.col("_after")) | ~F.col("rows_before").eqNullSafe(F.col("rows_after"))
+    none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return both.where(differs).select("_by.*", none("rows_before"), none("rows_after"))

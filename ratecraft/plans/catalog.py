@@ -27,12 +27,14 @@ from ratecraft.functions.parsing import month_of
 from ratecraft.operators.audit import (
     audit_counts,
     content_fingerprint,
+    differing_partitions,
     dropped_months,
     frame_gaps,
     grain_check,
+    partition_fingerprints,
     window_coverage,
 )
-from ratecraft.operators.conform import conform, dedup_latest, typed_series
+from ratecraft.operators.conform import conform, dedup_latest, latest_by, packed_order, typed_series
 from ratecraft.operators.dashboard import dash_latest, dash_monthly, in_order, latest, metric_count
 from ratecraft.operators.mart import (
     join_monthly,
@@ -115,10 +117,8 @@ def order_rates(spark: SparkSession, d: str, shift: float = 0.0) -> DataFrame:
 
 def reference_monthly(spark: SparkSession, d: str) -> DataFrame:
     """Latest order of each month as the month's reference rate."""
-    rates = order_rates(spark, d).withColumn("reference_month", month_of("o_orderdate"))
-    last = dedup_latest(
-        rates, ["reference_month"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
-    )
+    order = packed_order((F.unix_date(F.to_date("o_orderdate")), 20), (F.col("o_orderkey"), 43))
+    last = latest_by(order_rates(spark, d), [month_of("o_orderdate").alias("reference_month")], order, ["rate_pct"])
     return monthly_reference(last, "rate_pct", name="inflation")
 
 
@@ -618,6 +618,21 @@ def q_layered_gold_by_half(spark: SparkSession, d: str) -> DataFrame:
     return _twice_landed_gold(spark, d, "layers-half", keys=("series_name", "half"), key_columns=(half,))
 
 
+def q_rerun_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Gold before and after a revision of one year's reference months: the years that differ,
+    located by their fingerprints. Frames carry the revision into the next year."""
+    rates, reference, mart = _layer_specs(scratch_dir(spark, "differences"), incremental=True)
+    _land_rates(spark, d, rates)
+    _land_reference(spark, d, reference)
+    run_layers(spark, [rates, reference], mart, incremental=True)
+    prints = lambda: partition_fingerprints(read_table(spark, mart.gold), ["reference_year"], exclude=["gold_updated_at"])
+    before = scratch_dir(spark, "differences-before")
+    prints().write.parquet(before)
+    _land_reference(spark, d, reference, F.year("o_orderdate") == REVISED_YEAR, REVISED_SHIFT)
+    run_layers(spark, [rates, reference], mart, incremental=True)
+    return differing_partitions(spark.read.parquet(before), prints(), ["reference_year"])
+
+
 #: Rates above this are refused by the quarantine queries; the restated ones are this much higher.
 REFUSED_ABOVE = 0.08
 DIRTY_SHIFT = 0.01
@@ -706,6 +721,7 @@ QUERIES: dict[str, Query] = {
     "layered_gold_rerun": q_layered_gold_rerun,
     "layered_gold_incremental": q_layered_gold_incremental,
     "layered_gold_by_half": q_layered_gold_by_half,
+    "rerun_differences": q_rerun_differences,
     "silver_quarantine": q_silver_quarantine,
     "silver_valid": q_silver_valid,
 }

@@ -451,6 +451,12 @@ ORACLE_SQL: dict[str, str] = {
         WHERE date_diff('month', first_month_in_window, reference_month) + 1 <> months_in_window""",
     "layered_gold": _layered_gold(),
     "layered_gold_rerun": f"SELECT COUNT(*) AS rows, COUNT(*) AS rows_again FROM ({_layered_gold()})",
+    "rerun_differences": f"""
+        WITH a AS ({_layered_gold()}), b AS ({_layered_gold(RATES, REFERENCE_TWICE)}),
+        d AS (SELECT * FROM (FROM a EXCEPT FROM b) UNION ALL (FROM b EXCEPT FROM a))
+        SELECT y AS reference_year, (SELECT COUNT(*) FROM a WHERE year(reference_month) = y) AS rows_before,
+               (SELECT COUNT(*) FROM b WHERE year(reference_month) = y) AS rows_after
+        FROM (SELECT DISTINCT year(reference_month)::INTEGER AS y FROM d)""",
     "layered_gold_by_half": _layered_gold(RATES_TWICE, REFERENCE_TWICE, half=True),
     "silver_quarantine": f"""
         SELECT series_name, CAST(batch AS BIGINT) AS batch_id, refused, COUNT(*) AS records,

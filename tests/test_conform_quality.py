@@ -153,3 +153,35 @@ def test_rule_set_without_key_has_no_key_rule(spark):
     df = spark.createDataFrame([(1,)], "a int")
     rules = RuleSet(dataset="x", required=("a",))
     assert [r.rule for r in dq_report(df, rules).collect()] == ["not_empty", "not_null(a)"]
+
+
+def test_packed_order_is_the_order_of_its_parts(spark):
+    import itertools
+
+    from ratecraft.operators.conform import latest_by, packed_order
+
+    rows = [(a, b, i) for i, (a, b) in enumerate(itertools.product([None, 0, 1, 6], [None, 0, 2, 13]))]
+    df = spark.createDataFrame(rows, "a int, b bigint, i int")
+    order = packed_order((F.col("a"), 3), (F.col("b"), 4))
+    low = lambda x: -1 if x is None else x
+    got = [r.i for r in df.orderBy(order).collect()]
+    assert got == [i for _, _, i in sorted(rows, key=lambda r: (low(r[0]), low(r[1])))]
+    last = {r.a: r.i for r in latest_by(df, ["a"], order, ["i"]).collect()}
+    assert last == {a: max(i for x, _, i in rows if x == a) for a in (None, 0, 1, 6)}
+    for bad in (-1, 7):
+        with pytest.raises(Exception, match="fit 3 bits"):
+            df.where("i = 0").select(packed_order((F.lit(bad), 3))).collect()
+    with pytest.raises(ValueError):
+        packed_order((F.col("a"), 32), (F.col("b"), 32))
+
+
+def test_differing_partitions_are_located(spark):
+    from ratecraft.operators.audit import differing_partitions, partition_fingerprints
+
+    schema = "k int, v double, part int, stamp int"
+    before = [(1, 1.0, 2020, 1), (2, 2.0, 2020, 1), (3, 3.0, 2021, 1), (4, 4.0, None, 1), (5, 5.0, 2023, 1)]
+    after = [(2, 2.0, 2020, 2), (1, 1.0, 2020, 2), (3, 3.5, 2021, 2), (4, 4.0, None, 2), (6, 6.0, 2024, 2), (6, 6.0, 2024, 2)]
+    prints = [partition_fingerprints(spark.createDataFrame(x, schema), ["part"], exclude=["stamp"]) for x in (before, after)]
+    got = {(r.part, r.rows_before, r.rows_after) for r in differing_partitions(*prints, ["part"]).collect()}
+    assert got == {(2021, 1, 1), (2023, 1, 0), (2024, 0, 2)}
+    assert differing_partitions(prints[0], prints[0], ["part"]).count() == 0

@@ -39,8 +39,8 @@ def test_keyed_mart_has_one_window_node_and_no_single_partition(spark, q):
     formatted = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    # one Window for the rolling measures (+1 for the reference dedup row_number)
-    assert formatted.count("Window (") == 2
+    # one Window for the rolling measures; the reference dedup is a hash aggregate
+    assert formatted.count("Window (") == 1
     assert "SinglePartition" not in formatted
     assert "hashpartitioning(l_returnflag" in formatted
     # monthly aggregate combines map-side before the shuffle
@@ -48,6 +48,14 @@ def test_keyed_mart_has_one_window_node_and_no_single_partition(spark, q):
     assert "PythonUDF" not in formatted and "ArrowEvalPython" not in formatted
 
 
+def test_packed_dedup_is_a_hash_aggregate_without_a_sort(spark, q):
+    formatted = q["monthly_reference"](spark, SF)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "HashAggregate" in formatted and "partial_max_by" in formatted
+    assert "Sort" not in formatted and "Window" not in formatted
+
+
 def test_range_filter_and_pruning_reach_the_scan(spark, q):
     formatted = q["series_range"](spark, SF)._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
