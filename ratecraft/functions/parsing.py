@@ -55,3 +55,12 @@ def partition_value(date: ColumnOrName, grain: str) -> Column:
     if grain == "year":
         return year_of(d)
     return month_of(d) if grain == "month" else d.cast("date")
+
+
+#: Second partition column of a Silver table of many series.
+SERIES_BUCKET = "series_bucket"
+
+
+def series_bucket(buckets: int, series: ColumnOrName = "series_name") -> Column:
+    """The bucket of a series: it depends on its name only."""
+    return F.pmod(F.xxhash64(_col(series)), F.lit(buckets)).cast("int")

@@ -18,7 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from ratecraft.functions.parsing import PARTITION_COLUMNS, month_of, partition_column, partition_value
+from ratecraft.functions.parsing import (
+    PARTITION_COLUMNS,
+    SERIES_BUCKET,
+    month_of,
+    partition_column,
+    partition_value,
+    series_bucket,
+)
 from ratecraft.operators.conform import broken_rule, conform, latest_records, record_order, typed_series
 from ratecraft.operators.mart import MONTH_KEY, merged_rates, monthly_mart, monthly_rates, monthly_reference, monthly_state
 from ratecraft.operators.quality import any_null, validate
@@ -72,11 +79,17 @@ class MartSpec:
         return (self.nominal_name or self.nominal.name, self.reference_name or self.reference.name)
 
 
+def silver_partitions(spec: SeriesSpec) -> dict[str, Column]:
+    """Partition columns of a Silver table: by date and, with ``series_buckets``, by series."""
+    out = {partition_column(spec.partition_grain): partition_value(spec.key_column, spec.partition_grain)}
+    if spec.series_buckets:
+        out[SERIES_BUCKET] = series_bucket(spec.series_buckets)
+    return out
+
+
 def silver_content(bronze: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Conformed series plus its partition column."""
-    return conform(bronze, spec).withColumn(
-        partition_column(spec.partition_grain), partition_value(spec.key_column, spec.partition_grain)
-    )
+    """Conformed series plus its partition columns."""
+    return conform(bronze, spec).withColumns(silver_partitions(spec))
 
 
 def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, str]:
@@ -100,7 +113,7 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
                 stamp(content[spec.name], "silver_updated_at"),
                 spec.silver,
                 keys=spec.business_key,
-                partition_by=(partition_column(spec.partition_grain),),
+                partition_by=tuple(silver_partitions(spec)),
                 check_unique=False,  # validated above
                 source_staged=True,
             )
@@ -138,7 +151,6 @@ def conform_batch(spec: SeriesSpec, bronze: DataFrame, batch_id: int) -> int:
     data. A batch done again appends them twice, which is harmless.
     """
     spark = bronze.sparkSession
-    part = partition_column(spec.partition_grain)
     typed = typed_series(bronze, spec, raw=True).withColumn("refused", broken_rule(spec))
     with staged(spark, typed, f"records-{spec.name}") as records:
         counts = records.agg(F.count_if(F.col("refused").isNull()).alias("good"), F.count("refused").alias("bad")).first()
@@ -150,7 +162,7 @@ def conform_batch(spec: SeriesSpec, bronze: DataFrame, batch_id: int) -> int:
         if not counts.good:
             return counts.bad
         good = latest_records(records.filter("refused is null").drop("refused", "data_raw", "valor_raw"), spec)
-        good = good.withColumn(part, partition_value(spec.key_column, spec.partition_grain))
+        good = good.withColumns(silver_partitions(spec))
         with staged(spark, good, f"silver-{spec.name}") as content:
             validate(content, silver_rules(spec))
             upsert(
@@ -158,7 +170,7 @@ def conform_batch(spec: SeriesSpec, bronze: DataFrame, batch_id: int) -> int:
                 stamp(content, "silver_updated_at"),
                 spec.silver,
                 keys=spec.business_key,
-                partition_by=(part,),
+                partition_by=tuple(silver_partitions(spec)),
                 check_unique=False,  # validated above
                 source_staged=True,
                 newer_by=record_order(spec),
@@ -428,6 +440,9 @@ def refresh_gold_by_state(mart: MartSpec, changes: DataFrame) -> str | None:
             return None
         within = lambda grain: _in_partitions(grain, span.low, span.high)
         daily = silver.where(within(mart.nominal.partition_grain))
+        if mart.nominal.series_buckets:  # the touched series' buckets, known when the list is: prunes the others
+            buckets = touched.select(series_bucket(mart.nominal.series_buckets).alias(SERIES_BUCKET)).distinct()
+            daily = daily.join(buckets, SERIES_BUCKET, "left_semi")
         daily = daily.withColumn(MONTH_KEY, month_of(mart.nominal.key_column)).join(touched, pair, "left_semi")
         fresh = checked(stage(state_of(daily), "gold-state"))
         old = state.where(within(mart.partition_grain))
@@ -530,4 +545,5 @@ __all__ = [
     "run_layers",
     "run_mart",
     "silver_content",
+    "silver_partitions",
 ]

@@ -71,6 +71,9 @@ class SeriesSpec:
     # Silver partition: YEAR, MONTH or DAY of the key date. An upsert rewrites
     # whole partitions, so a large daily series should use MONTH or DAY.
     partition_grain: str = YEAR
+    # Second partition level of Silver: series are dealt to so many buckets by name,
+    # and an upsert reads and rewrites only the buckets of its series. For tables of many series.
+    series_buckets: int | None = None
 
     @property
     def key_column(self) -> str:

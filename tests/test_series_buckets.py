@@ -1,0 +1,93 @@
+"""Silver partitioned by date and by series bucket: an upsert touches its series' buckets only."""
+
+import datetime as dt
+import random
+from dataclasses import replace
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from ratecraft.functions.parsing import SERIES_BUCKET, series_bucket
+from ratecraft.operators import content_fingerprint, merged_content, staged
+from ratecraft.plans.jobs import MartSpec, conform_batch, gold_view, run_conform, run_mart_incremental, silver_partitions
+from ratecraft.sources.raw import BRONZE_SCHEMA
+from ratecraft.sources.tables import read_table
+from ratecraft.specs import IPCA, SELIC
+
+BUCKETS = 16
+SERIES = [f"s{k:04d}" for k in range(1000)]
+DAY = dt.date(2023, 5, 2)
+
+
+def records(series, days, batch=0, rate="0.05"):
+    at = dt.datetime(2024, 3, 1) + dt.timedelta(hours=batch)
+    return [(d.strftime("%d/%m/%Y"), rate, s, "f", "landing/f", at, at, at.date()) for s in series for d in days]
+
+
+def files(silver):
+    return {str(p.relative_to(silver)) for p in Path(silver).rglob("*.parquet")}
+
+
+def test_an_upsert_of_one_series_in_a_thousand_touches_one_bucket(spark, tmp_path):
+    spec = replace(SELIC, series_buckets=BUCKETS).located(str(tmp_path))
+    days = [DAY, DAY.replace(year=2024)]
+    conform_batch(spec, spark.createDataFrame(records(SERIES, days), BRONZE_SCHEMA), 0)
+    before = files(spec.silver)
+    assert len(before) == 2 * BUCKETS
+    change = spark.createDataFrame(records(["s0500"], [DAY], 1, "0.07"), BRONZE_SCHEMA)
+    conform_batch(spec, change, 1)
+    after = files(spec.silver)
+    written, gone = after - before, before - after
+    bucket = spark.range(1).select(series_bucket(BUCKETS, F.lit("s0500"))).first()[0]
+    assert {p.rpartition("/")[0] for p in written | gone} == {f"reference_year=2023/{SERIES_BUCKET}={bucket}"}
+    silver = read_table(spark, spec.silver)
+    assert silver.count() == 2000 and silver.where("selic_daily_pct = 0.07").count() == 1
+
+    # the merge reads that bucket alone
+    source = silver.where("series_name = 's0500' and reference_year = 2023")
+    with staged(spark, source, "test") as source:
+        merged = merged_content(silver, source, spec.business_key, tuple(silver_partitions(spec)))
+        plan = merged._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        filters = next(x for x in plan.split("\n") if "PartitionFilters" in x and SERIES_BUCKET in x)
+        assert f"({SERIES_BUCKET}" in filters and f">= {bucket})" in filters and f"<= {bucket})" in filters and ">= 2023)" in filters
+        in_bucket = silver.where((F.col(SERIES_BUCKET) == bucket) & (F.col("reference_year") == 2023)).count()
+        assert merged.count() == in_bucket
+
+
+def test_layers_are_the_same_with_and_without_buckets(spark, tmp_path):
+    rng = random.Random(1)
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=7 * k) for k in range(80)]
+    months = [dt.date(2022 + k // 12, k % 12 + 1, 1) for k in range(20)]
+    results = []
+    for buckets in (None, 4):
+        root = str(tmp_path / str(buckets))
+        rates, ipca = replace(SELIC, series_buckets=buckets).located(root), IPCA.located(root)
+        conform_batch(ipca, spark.createDataFrame(records(["ipca"], months), BRONZE_SCHEMA), 0)
+        got = []
+        for keys, reader in ((("series_name",), "gold"), (("desk",), "desk")):
+            rates = replace(rates, change_readers=("gold", "desk"), silver=f"{root}/silver-{reader}", changes=f"{root}/changes-{reader}")
+            reference = replace(ipca, change_readers=("gold", "desk"), changes=f"{root}/changes-ipca-{reader}")
+            conform_batch(reference, spark.createDataFrame(records(["ipca"], months), BRONZE_SCHEMA), 1)
+            mart = MartSpec(
+                nominal=rates, reference=reference, gold=f"{root}/gold-{reader}", keys=keys, months=5, reader=reader,
+                checkpoint=f"{root}/checkpoint-{reader}", key_columns=(("desk", "right(series_name, 1)"),) if reader == "desk" else (),
+            )
+            for batch, n in enumerate((60, 5)):
+                rng = random.Random(batch)
+                rows = [r for s in ("a1", "b1", "c2") for r in records([s], rng.sample(days, n), batch, f"0.0{batch + 3}")]
+                conform_batch(rates, spark.createDataFrame(rows, BRONZE_SCHEMA), batch)
+                run_mart_incremental(spark, mart)
+            got.append(content_fingerprint(gold_view(spark, mart)).first())
+        results.append(got)
+    assert results[0] == results[1]
+
+
+def test_the_full_job_writes_buckets_too(spark, tmp_path):
+    spec = replace(SELIC, series_buckets=BUCKETS, bronze=str(tmp_path / "bronze")).located(str(tmp_path))
+    spark.createDataFrame(records(SERIES[:50], [DAY]), BRONZE_SCHEMA).write.parquet(spec.bronze)
+    run_conform(spark, [spec])
+    silver = read_table(spark, spec.silver)
+    assert silver.count() == 50 and 1 < silver.select(SERIES_BUCKET).distinct().count() <= BUCKETS
+    assert silver.where(F.col(SERIES_BUCKET) != series_bucket(BUCKETS)).count() == 0
