@@ -44,8 +44,17 @@ FURNITURE_WORDS = frozenset(
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CONTAINERS = frozenset("article main section div td body".split())
 
+#: Words that may follow a furniture word in the name of furniture (``sidebar-left``), unlike those of
+#: article parts named by what they are about (``share-price``).
+STRUCTURE_WORDS = frozenset(
+    "left right top bottom main inner outer wrap wrapper container content box block area section list item items link links bar "
+    "panel group row col column columns body text title head unit slot button buttons icon icons form inline mobile desktop sticky "
+    "primary secondary global site page widget widgets".split()
+)
+
+#: A quote opens a value behind an equals sign only.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -59,6 +68,16 @@ class Node:
         self.end, self.text, self.link, self.mark = None, 0, 0, False
 
 
+def names_furniture(value: str) -> bool:
+    """Whether one of the names in a class or id attribute is that of furniture: its last word is a
+    furniture word, or its first one is and only words of structure follow."""
+    for name in value.split():
+        words = WORD.findall(name)
+        if words and (words[-1] in FURNITURE_WORDS or words[0] in FURNITURE_WORDS and STRUCTURE_WORDS.union(FURNITURE_WORDS).issuperset(words[1:])):
+            return True
+    return False
+
+
 def _opened(tag: str, attributes: str, parent: Node | None, start: int) -> Node:
     classes, furniture = [], tag in FURNITURE
     if attributes:
@@ -68,11 +87,11 @@ def _opened(tag: str, attributes: str, parent: Node | None, start: int) -> Node:
             if name == "role":
                 furniture |= value in FURNITURE_ROLES
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                furniture |= name == "hidden"
+                furniture = True
             else:
                 if name == "class":
                     classes = sorted({c for c in re.sub(r"\d+", "", value).split() if c})
-                furniture |= not FURNITURE_WORDS.isdisjoint(WORD.findall(value))
+                furniture |= names_furniture(value)
     path = (parent.path if parent else "") + "/" + ".".join([tag, *classes])
     if tag in ("body", "html", "main", "article"):  # the page's or the article's own element is never furniture
         furniture = False

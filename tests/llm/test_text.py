@@ -180,3 +180,29 @@ def test_words_of_a_text_do_not_depend_on_its_neighbours():
     for k, x in enumerate(texts):
         assert whole[k] == table([x])[0], k
     assert len(whole[6]) == 1_200_000
+
+
+@pytest.mark.parametrize(
+    ("body", "expected"),
+    [
+        ("<p title=it's>First.</p><p>Second.</p><p>Third, it's the last.</p>", "First.\n\nSecond.\n\nThird, it's the last."),
+        ("<p title='a>b' class=\"x>y\" data=>First.</p><p \"x>Second.</p>", "First.\n\nSecond."),
+        ("<p class='share-price'>Price.</p><div class='side-effects'>Effects.</div><p id=ad-hoc>Hoc.</p>", "Price.\n\nEffects.\n\nHoc."),
+        ("<p>Text.</p><div class='sidebar-left'>x</div><div class='main-nav'>x</div><div id='comment-list'>x</div><p class='b nav'>x</p>", "Text."),
+        ("<p>Text.</p><p aria-hidden='true'>x</p><p aria-hidden=false>Seen.</p><p hidden>x</p>", "Text.\n\nSeen."),
+        ("<p>" + "word " * 60000 + "</p><p title=" + "'" * 70001 + ">End.</p>", "word " * 59999 + "word\n\nEnd."),
+    ],
+)
+def test_articles_keep_all_their_text(body, expected):
+    page = f"<html><body><article>{body}</article><footer>foot</footer></body></html>"
+    assert html_extract.extract(page, None) == expected
+
+
+def test_the_vote_of_the_host_decides(spark):
+    """One page's longest container is another one than the host's pages agree on."""
+    page = "<body><div class='story'><p>{}</p></div><div class='facts'><p>{}</p></div></body>"
+    rows = [(k, "http://a.org/x", page.format(f"Story {k}. " * 30, "Fact.")) for k in range(4)]
+    rows += [(9, "http://a.org/y", page.format("Short story.", "Long fact, long fact. " * 20)), (10, "http://b.org/y", page.format("Short story.", "Long fact, long fact. " * 20))]
+    out = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out[9] == "Short story." and out[0] == ("Story 0. " * 30).strip()
+    assert out[10].startswith("Long fact")  # alone on its host
