@@ -2,8 +2,9 @@
 
 Urls become sets of typed tokens (host labels and their parts, top-level
 domain, path segments, query keys). Spark's FP-growth mines the frequent token
-sets of labelled pages together with their label; a set that implies the label
-with enough support and confidence becomes a rule. Pruning keeps a rule only if
+sets of labelled pages together with their label (tokens that always stand
+together count as one item); a set that implies the label with enough support
+and confidence becomes a rule, of whatever length. Pruning keeps a rule only if
 it is more confident than every rule on a subset of its tokens and blocks more
 often than the label's share. Rules match by an inverted index: each is filed
 under its rarest token, a page looks up its own tokens there, and the
@@ -12,7 +13,9 @@ rule's other tokens are then checked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -34,7 +37,6 @@ MIN_SUPPORT = 0.002  # of the labelled pages, and at least MIN_PAGES pages with
 MIN_PAGES = 5
 MIN_CONFIDENCE = 0.6
 MIN_LIFT = 1.5
-MAX_TOKENS = 3  # of a rule
 BLOCK = "label:block"
 
 
@@ -69,69 +71,86 @@ def host_verdict(host: Column, path: Column, rules: Sequence[tuple[str, str, str
     return out
 
 
+def token_classes(rows: DataFrame, least: int) -> DataFrame:
+    """(token, class, others): tokens of at least ``least`` rows, those that stand in the same rows as one class.
+
+    rows: (row, tokens). A class is named by its first token and lists all of
+    them. Sets of rows are compared by their sizes and two 64-bit sums.
+    """
+    each = rows.select("row", F.explode("tokens").alias("token"))
+    hashes = [F.sum(F.xxhash64("row", F.lit(k)).cast("decimal(20,0)")) for k in (1, 2)]
+    where = each.groupBy("token").agg(F.count("*").alias("n"), *(h.alias(f"h{k}") for k, h in enumerate(hashes))).filter(F.col("n") >= least)
+    same = where.groupBy("n", "h0", "h1").agg(F.sort_array(F.collect_list("token")).alias("others"))
+    return same.select(F.explode("others").alias("token"), F.col("others")[0].alias("class"), "others")
+
+
 def mine_rules(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """(rule_id, tokens, support, confidence) of the token sets that imply the block label.
 
-    A labelled page (labels.doc_id = page_id) is to be blocked if it is toxic
-    or of low quality. No labelled pages give no rules.
+    tokens is a list of lists: a url must have a token of each. Those of one
+    list stand on the same labelled pages, so they make equal rules; they are one item
+    in the mining, which would else list all their subsets. Rules may be of any
+    length. A labelled page (labels.doc_id = page_id) is to be blocked if it is
+    toxic or of low quality. No labelled pages give no rules.
     """
     scratch = Scratch(pages.sparkSession, "url-rules")
     bad = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(F.expr("toxic = 1 or quality = 0"), F.lit(False)).cast("int")).alias("bad"))
-    rows = pages.join(bad.withColumnRenamed("doc_id", "page_id"), "page_id")
-    items = rows.select(F.when(F.col("bad") == 1, F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items")).filter("size(items) > 0")
-    items = scratch.write(items)
-    total, blocked = items.agg(F.count("*"), F.count_if(F.array_contains("items", BLOCK))).first()
-    schema = "rule_id long, tokens array<string>, support double, confidence double"
+    rows = pages.join(bad.withColumnRenamed("doc_id", "page_id"), "page_id").filter("bad = 1 or size(tokens) > 0")
+    rows = scratch.write(rows.select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"))
+    total, blocked = rows.agg(F.count("*"), F.count_if(F.col("bad") == 1)).first()
+    schema = "rule_id long, tokens array<array<string>>, support double, confidence double"
     if not total or not blocked:
         return pages.sparkSession.createDataFrame([], schema)
     # tokens that are too rare to be in a rule don't enter the mining
     support = max(MIN_SUPPORT, MIN_PAGES / total)
+    classes = scratch.write(token_classes(rows, max(1, math.floor(support * total))))
+    named = rows.select("row", F.explode("tokens").alias("token")).join(classes.select("token", "class"), "token")
+    named = named.groupBy("row").agg(F.collect_set("class").alias("items"))
+    label = F.when(F.col("bad") == 1, F.array(F.lit(BLOCK))).otherwise(F.array())
+    items = rows.join(named, "row", "left").select(F.concat(F.coalesce("items", F.array()), label).alias("items"))
+    items = scratch.write(items.filter("size(items) > 0"))
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, support), minConfidence=MIN_CONFIDENCE).fit(items)
-    sets = scratch.write(model.freqItemsets.filter(F.size("items") <= MAX_TOKENS + 1).select(F.array_sort("items").alias("items"), "freq"))
-    with_label = sets.filter(F.array_contains("items", BLOCK)).select(F.array_remove("items", BLOCK).alias("tokens"), F.col("freq").alias("hits")).filter("size(tokens) > 0")
-    rules = (
-        with_label.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens")
-        .select("tokens", (F.col("hits") / total).alias("support"), (F.col("hits") / F.col("freq")).alias("confidence"))
-        .filter(F.col("confidence") >= max(MIN_CONFIDENCE, min(1.0, MIN_LIFT * blocked / total)))
-    )
-    # pruning: a subset of the tokens that is as confident makes a rule superfluous
-    rules = scratch.write(rules)
-    parts = rules.select(F.col("tokens").alias("whole"), "confidence", F.explode(F.filter(_subsets("tokens"), lambda s: (F.size(s) > 0) & (F.size(s) < F.size("tokens")))).alias("tokens"))
-    lesser = parts.join(rules.select("tokens", F.col("confidence").alias("had")), "tokens").filter("had >= confidence").select(F.col("whole").alias("tokens")).distinct()
-    kept = rules.join(lesser, "tokens", "left_anti")
-    return scratch.write(kept.select(F.xxhash64("tokens").alias("rule_id"), "tokens", "support", "confidence"))
-
-
-def _subsets(tokens: str) -> Column:
-    """All subsets of a short array, in its order."""
-    return F.aggregate(
-        tokens,
-        F.array(F.array().cast("array<string>")),
-        lambda acc, x: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(x)))),
+    sets = scratch.write(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
+    with_label = sets.filter(F.array_contains("items", BLOCK)).select(F.array_remove("items", BLOCK).alias("items"), F.col("freq").alias("hits")).filter("size(items) > 0")
+    found = scratch.write(with_label.join(sets, "items").select("items", F.size("items").alias("n"), "hits", (F.col("hits") / F.col("freq")).alias("confidence")))
+    # pruning: a subset of the tokens that is as confident makes a rule superfluous. Every subset of a
+    # frequent set is frequent, so the best of all subsets passes from length to length
+    longest = found.agg(F.max("n")).first()[0] or 0
+    level = scratch.write(found.filter("n = 1").withColumn("best", F.lit(0.0)))
+    levels = [level]
+    for n in range(2, longest + 1):
+        less = F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("less")
+        parts = found.filter(F.col("n") == n).select("items", less).withColumnsRenamed({"items": "whole", "less": "items"})
+        best = parts.join(level.select("items", F.greatest("confidence", "best").alias("had")), "items").groupBy("whole").agg(F.max("had").alias("best"))
+        level = scratch.write(found.filter(F.col("n") == n).join(best.withColumnRenamed("whole", "items"), "items").select(levels[0].columns))
+        levels.append(level)
+    rules = reduce(DataFrame.unionByName, levels).filter(
+        (F.col("confidence") > F.col("best")) & (F.col("confidence") >= max(MIN_CONFIDENCE, min(1.0, MIN_LIFT * blocked / total)))
     )
+    rules = rules.select(F.xxhash64("items").alias("rule_id"), "items", (F.col("hits") / total).alias("support"), "confidence")
+    whole = rules.select("rule_id", F.posexplode("items").alias("at", "token")).join(classes.select("token", "others"), "token")
+    whole = whole.groupBy("rule_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "others"))), lambda x: x["others"]).alias("tokens"))
+    out = scratch.write(rules.join(whole, "rule_id").select("rule_id", "tokens", "support", "confidence"))
+    scratch.keep(out)
+    return out
 
 
 def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """(page_id, confidence) of the pages that a rule fits: the most confident one.
+    """(tokens, confidence) of the token lists that a rule fits: the most confident one.
 
-    pages: (page_id, tokens). The index files a rule under its rarest token, so
-    a token that most urls share files no rule that has a rarer one.
+    pages: (tokens). The index files a rule under the rarest of its items (each
+    token of it), so a token that most urls share files no rule that has a rarer one.
     """
-    tokens = rules.select("rule_id", F.explode("tokens").alias("token"))
-    index = (
-        rules.join(
-            tokens.join(tokens.groupBy("token").agg(F.count("*").alias("uses")), "token")
-            .groupBy("rule_id")
-            .agg(F.min(F.struct("uses", "token"))["token"].alias("token")),
-            "rule_id",
-        )
-        .select("token", F.col("tokens").alias("asked"), "confidence")
-    )
+    items = rules.select("rule_id", F.explode("tokens").alias("item"))
+    uses = items.groupBy("item").agg(F.count("*").alias("uses"))
+    rarest = items.join(uses, "item").groupBy("rule_id").agg(F.min(F.struct("uses", "item"))["item"].alias("item"))
+    index = rules.join(rarest, "rule_id").select(F.explode("item").alias("token"), F.col("tokens").alias("asked"), "confidence")
+    urls = pages.select("tokens").distinct()
     return (
-        pages.select("page_id", "tokens", F.explode("tokens").alias("token"))
+        urls.select("tokens", F.explode("tokens").alias("token"))
         .join(index, "token")
-        .filter(F.size(F.array_except("asked", "tokens")) == 0)
-        .groupBy("page_id")
+        .filter(F.forall("asked", lambda item: F.arrays_overlap(item, F.col("tokens"))))
+        .groupBy("tokens")
         .agg(F.max("confidence").alias("confidence"))
     )
 
@@ -141,19 +160,19 @@ def judge_urls(pages: DataFrame, labels: DataFrame, host_rules: Sequence[tuple[s
 
     The longest host rule that fits decides; without one, an association rule
     that fits blocks, and other pages are allowed. A null url, or one without
-    ://, has an empty host and path, no tokens and is allowed. Pages with a
-    null page_id and no host rule are allowed too. Repeated rows stay and are
-    judged alike; an empty table gives an empty result; other columns are not read.
+    ://, has an empty host and path, no tokens and is allowed. Each url is judged
+    by itself, whatever the page_id, which may be null or repeated. Repeated rows
+    stay; an empty table gives an empty result; other columns are not read.
     """
     rows = pages.select("page_id", "url", host_of("url").alias("host"), path_of("url").alias("path"))
     rows = rows.select(
         "page_id", "host", "path", host_verdict(F.col("host"), F.col("path"), host_rules).alias("fixed"),
-        url_tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens"),
+        F.array_sort(url_tokens(F.col("host"), F.col("path"), F.col("url"))).alias("tokens"),
     )
     rules = mine_rules(rows.select("page_id", "tokens"), labels)
-    matched = match_rules(rows.filter("fixed is null").select("page_id", "tokens"), rules)
-    return rows.join(matched, "page_id", "left").select(
+    matched = match_rules(rows.filter("fixed is null"), rules)
+    return rows.join(matched, "tokens", "left").select(
         "page_id", "host", "path", F.col("fixed.rule").alias("rule"),
         F.coalesce("fixed.verdict", F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-        "confidence",
+        F.when(F.col("fixed").isNull(), F.col("confidence")).alias("confidence"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 from collections import Counter
 
 import numpy as np
@@ -159,19 +160,43 @@ def test_association_rules_equal_brute_force(spark):
     tokens = {r.page_id: frozenset(r.tokens) for r in rows.collect()}
     seen, hits = Counter(), Counter()
     for k in range(1, 300, 2):
-        for n in range(1, url_filters.MAX_TOKENS + 1):
+        for n in range(1, len(tokens[k]) + 1):
             for s in itertools.combinations(sorted(tokens[k]), n):
                 seen[s] += 1
                 hits[s] += bad[k]
     share = sum(bad[1::2]) / 150
     sure = {s: hits[s] / seen[s] for s in seen if hits[s] >= url_filters.MIN_PAGES and hits[s] / seen[s] >= max(url_filters.MIN_CONFIDENCE, min(1, url_filters.MIN_LIFT * share))}
     sure = {s: c for s, c in sure.items() if not any(sure.get(p, -1) >= c for n in range(1, len(s)) for p in itertools.combinations(s, n))}
-    mined = {tuple(r.tokens): r.confidence for r in url_filters.mine_rules(rows, labels).collect()}
+    # a rule's list of lists stands for every choice of a token of each
+    mined = {tuple(sorted(choice)): r.confidence for r in url_filters.mine_rules(rows, labels).collect() for choice in itertools.product(*r.tokens)}
     assert mined == pytest.approx(sure) and sure
     got = {r.page_id: r.verdict for r in url_filters.judge_urls(pages, labels).collect()}
     assert got == {k: "block" if any(set(s) <= t for s in sure) else "allow" for k, t in tokens.items()}
 
 
+def test_rules_of_many_tokens(spark):
+    """Bad only where four path parts stand together; parts that always stand together on one site."""
+    rng = random.Random(2)
+    parts = ["a", "b", "c", "d"]
+    urls = [f"http://x.org/{'/'.join(parts)}/{k}" for k in range(20)]
+    urls += [f"http://x.org/{'/'.join(rng.sample(parts, 3))}/{k}" for k in range(120)]
+    long = "/".join(f"part{chr(97 + k)}" for k in range(20))
+    urls += [f"http://long.org/{long}/{k}" for k in range(60)]
+    pages = spark.createDataFrame([(None if k % 2 else 7, u) for k, u in enumerate(urls)], "page_id long, url string")
+    labelled = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(k, 1, int(k < 20)) for k in range(200)], "doc_id long, quality int, toxic int")
+    for table in (labelled, pages):
+        rows = table.select("page_id", "url", url_filters.host_of("url").alias("host"), url_filters.path_of("url").alias("path"))
+        rows = rows.withColumn("tokens", url_filters.F.array_sort(url_filters.url_tokens(url_filters.F.col("host"), url_filters.F.col("path"), url_filters.F.col("url"))))
+        if table is labelled:
+            rules = url_filters.mine_rules(rows.select("page_id", "tokens"), labels)
+        hit = {tuple(r.tokens) for r in url_filters.match_rules(rows, rules).collect()}
+        # judged by the url, whatever the page_id
+        assert [tuple(r.tokens) in hit for r in rows.collect()] == [k < 20 for k in range(200)]
+    verdicts = [r.verdict for r in url_filters.judge_urls(labelled, labels).orderBy("page_id").collect()]
+    assert verdicts == ["block"] * 20 + ["allow"] * 180
+
+
 def test_words_of_a_text_do_not_depend_on_its_neighbours():
     """Hashes of a column equal those of each text alone, also over the chunk size."""
     texts = ["a b", "c", None, "", " d ", "ef" * 10, "g h i " * 400_000, "x"]
