@@ -120,3 +120,48 @@ FROM near{rounds} JOIN kept USING (r) JOIN digests USING (c)
 
 
 OP12, OP13 = _op12(), _op13()
+
+
+def _reached(nodes: str) -> str:
+    """Recursive table reach (u, w): every w that a node reaches by links, itself included."""
+    return f"reach(u, w) AS ({nodes} UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u)"
+
+
+OP7 = f"""
+WITH RECURSIVE kept AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS MATERIALIZED (
+    SELECT a.vec_id AS u, b.vec_id AS w FROM kept a JOIN kept b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+),
+{_reached("SELECT vec_id, vec_id FROM embeddings")},
+counts AS (SELECT u, COUNT(*) AS n FROM links GROUP BY u)
+SELECT r.u AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, MIN(r.w) AS component_id, r.u = MIN(r.w) AS kept
+FROM reach r LEFT JOIN counts c ON c.u = r.u GROUP BY r.u
+"""
+
+OP10 = f"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
+        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM cut
+),
+grams AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS u, b.doc_id AS w FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))
+),
+{_reached("SELECT doc_id, doc_id FROM documents")},
+least AS (SELECT u, MIN(w) AS component_id FROM reach GROUP BY u)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least ON u = doc_id
+"""

@@ -106,4 +106,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_clustering,
     )
 }
-ORACLES: dict[str, str] = {"op11_sharding": oracles.OP11, "op12_vector_codes": oracles.OP12, "op13_clustering": oracles.OP13}
+ORACLES: dict[str, str] = {
+    "op7_embedding_near_dedup": oracles.OP7,
+    "op10_jaccard_join": oracles.OP10,
+    "op11_sharding": oracles.OP11,
+    "op12_vector_codes": oracles.OP12,
+    "op13_clustering": oracles.OP13,
+}
