@@ -5,8 +5,9 @@ number ``µ`` and names ``¤`` (a capitalised word inside a sentence: behind a
 lower-case letter, comma or semicolon and white space); the rest is lower-cased
 words. Windows of five template words are hashed and joined with the windows
 of the benchmark items. A document contains an item when it holds 80 % or more
-of the item's distinct windows, each by its template or by its plain lower-cased
-words: copies in other letter case show no names. Where these windows have slots (placeholders),
+of the item's distinct windows, each by its template, by its wide template (in which
+every capitalised word is a name: word problems begin most sentences with one), or by
+its plain lower-cased words: copies in other letter case show no names. Where these windows have slots (placeholders),
 the values are compared: each value of the item must stand for one value
 throughout an occurrence, as in a question whose names and numbers were
 replaced; a jumble of other values is no copy. An occurrence is what lies
@@ -36,9 +37,13 @@ BROADCAST_DOCUMENTS = 1_000_000
 UNITS = "mm|cm|km|m|mi|miles?|ft|feet|inch(?:es)?|yards?|mg|kg|g|lbs?|pounds?|oz|tons?|ml|l|lit(?:er|re)s?|gallons?|s|sec(?:ond)?s?|min(?:ute)?s?|h|hours?|days?|weeks?|months?|years?|km/h|mph|%|percent|dollars?|euros?|cents?|usd|eur|degrees?|°c|°f|watts?|kwh|volts?"
 
 
-def _marked(text: Column) -> Column:
+#: Where a name's mark is put: inside a sentence, or before any capitalised word.
+INSIDE, ANYWHERE = (r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu})", "$1¤"), (r"(?<![\p{L}\p{N}])(?=\p{Lu})", "¤")
+
+
+def _marked(text: Column, names: tuple[str, str] = INSIDE) -> Column:
     """Lower-cased text in which names begin with ¤, units with µ, and numbers are single runs of digits."""
-    t = F.regexp_replace(F.regexp_replace(text, "[¤µ]", " "), r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu})", "$1¤")
+    t = F.regexp_replace(F.regexp_replace(text, "[¤µ]", " "), *names)
     t = F.regexp_replace(t, r"(?<=\d)[.,](?=\d)", "")
     return F.regexp_replace(F.lower(t), rf"(\d) ?({UNITS})(?![\p{{L}}\p{{N}}])", "$1 µ")
 
@@ -68,15 +73,21 @@ def _hashes(words: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, size, hash, plain, slots) of each window.
+    """(item_id, at, size, hash, wide, plain, slots) of each window.
 
-    hash is the template's, plain that of the plain words; slots are (place in
+    hash is the template's, wide the wide template's, plain that of the plain words; slots are (place in
     the window, value), size is the item's words.
     """
-    rows = benchmark.filter("item_id is not null").select("item_id", _marked(F.col("text")).alias("m"))
-    rows = rows.select("item_id", template_words(F.col("m")).alias("w"), plain_words(F.col("m")).alias("v"))
-    rows = rows.select("item_id", "w", "v", F.posexplode(F.arrays_zip(_hashes(F.col("w")).alias("hash"), _hashes(F.col("v")).alias("plain"))).alias("at", "h"))
-    return rows.select("item_id", "at", F.size("w").alias("size"), "h.hash", "h.plain", _slots("at").alias("slots"))
+    rows = _three_forms(benchmark.filter("item_id is not null"), "item_id")
+    return rows.select("item_id", "at", F.size("w").alias("size"), "h.hash", "h.wide", "h.plain", _slots("at").alias("slots"))
+
+
+def _three_forms(rows: DataFrame, *names: str) -> DataFrame:
+    """(names, w, v, at, h): each window's place and its hashes by template, wide template and plain words."""
+    rows = rows.select(*names, _marked(F.col("text")).alias("m"), _marked(F.col("text"), ANYWHERE).alias("a"))
+    rows = rows.select(*names, template_words(F.col("m")).alias("w"), template_words(F.col("a")).alias("u"), plain_words(F.col("m")).alias("v"))
+    forms = F.arrays_zip(_hashes(F.col("w")).alias("hash"), _hashes(F.col("u")).alias("wide"), _hashes(F.col("v")).alias("plain"))
+    return rows.select(*names, "w", "v", F.posexplode(forms).alias("at", "h"))
 
 
 def _slots(at: str) -> Column:
@@ -104,18 +115,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontamination")
     items = scratch.write(item_windows(benchmark))
-    # a distinct window is a template; its template or any of its plain forms shows it
+    # a distinct window is a template; its template, wide template or any of its plain forms shows it
     sizes = items.groupBy("item_id").agg(F.count_distinct("hash").alias("windows"))
-    distinct = items.select("item_id", F.col("hash").alias("window"), F.explode(F.array("hash", "plain")).alias("hash")).distinct()
+    distinct = items.select("item_id", F.col("hash").alias("window"), F.explode(F.array("hash", "wide", "plain")).alias("hash")).distinct()
     small = distinct.count() <= BROADCAST_WINDOWS
 
     named = docs.filter("doc_id is not null").select("doc_id", "text")
     # the words are a column of their own: inside the hashing lambda they would be split anew for each word
-    words = named.select("doc_id", _marked(F.col("text")).alias("m"))
+    words = named.select("doc_id", _marked(F.col("text")).alias("m"), _marked(F.col("text"), ANYWHERE).alias("a"))
     # without names and numbers the plain words are the template's
     plain = F.when(F.col("m").rlike(r"[¤\d]"), plain_words(F.col("m")))
-    words = words.select("doc_id", template_words(F.col("m")).alias("w"), F.coalesce(plain, F.array().cast("array<string>")).alias("v"))
-    windows = words.select("doc_id", F.explode(F.array_union(_hashes(F.col("w")), _hashes(F.col("v")))).alias("hash"))
+    none = F.array().cast("array<string>")
+    words = words.select(
+        "doc_id",
+        template_words(F.col("m")).alias("w"),
+        F.coalesce(F.when(F.col("a") != F.col("m"), template_words(F.col("a"))), none).alias("u"),
+        F.coalesce(plain, none).alias("v"),
+    )
+    hashes = F.array_union(F.array_union(_hashes(F.col("w")), _hashes(F.col("u"))), _hashes(F.col("v")))
+    windows = words.select("doc_id", F.explode(hashes).alias("hash"))
     met = windows.join(F.broadcast(distinct) if small else distinct, "hash")
     found = (
         met.select("doc_id", "item_id", "window")
@@ -129,15 +147,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = scratch.write(found)
 
     # slots: only documents that hold an item with slots are read again
-    slotted = items.filter("size(slots) > 0").select("item_id", F.col("at").alias("item_at"), "size", F.explode(F.array_distinct(F.array("hash", "plain"))).alias("hash"), "slots")
+    slotted = items.filter("size(slots) > 0").select("item_id", F.col("at").alias("item_at"), "size", F.explode(F.array_distinct(F.array("hash", "wide", "plain"))).alias("hash"), "slots")
     pairs = scratch.write(found.join(slotted.select("item_id").distinct(), "item_id", "left_semi").select("doc_id", "item_id"))
     again = pairs.select("doc_id").distinct()
     if again.count() <= BROADCAST_DOCUMENTS:
         again = F.broadcast(again)
-    rows = named.join(again, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), _marked(F.col("text")).alias("m"))
-    rows = rows.select("doc_id", "copy", template_words(F.col("m")).alias("w"), plain_words(F.col("m")).alias("v"))
-    rows = rows.select("doc_id", "copy", "v", F.posexplode(F.arrays_zip(_hashes(F.col("w")).alias("hash"), _hashes(F.col("v")).alias("plain"))).alias("at", "h"))
-    rows = rows.select("doc_id", "copy", "v", "at", F.explode(F.array_distinct(F.array("h.hash", "h.plain"))).alias("hash"))
+    rows = named.join(again, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("copy"), "text")
+    rows = _three_forms(rows, "doc_id", "copy")
+    rows = rows.select("doc_id", "copy", "v", "at", F.explode(F.array_distinct(F.array("h.hash", "h.wide", "h.plain"))).alias("hash"))
     rows = rows.select("doc_id", "copy", "at", "hash", F.slice("v", F.col("at") + 1, WORDS).alias("given"))
     same = F.forall("slots", lambda z: F.get("given", z["k"]) == z["x"])
     filled = F.transform("slots", lambda z: F.struct((F.col("item_at") + z["k"]).alias("place"), z["x"].alias("asked"), F.get("given", z["k"]).alias("given")))
@@ -159,10 +176,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     whole = scratch.write(whole)
     # the others by occurrence: around each offset, every slot takes the value that lies nearest
     unclear = values.join(whole.filter(f"100 * consistent < {SLOT_SHARE} * slots").select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
-    anchors = unclear.select("doc_id", "item_id", "copy", F.col("offset").alias("anchor")).distinct()
+    # offsets meet anchors of their own or a neighbouring stretch of an item's size, not all of the document's
+    stretch = F.floor(F.col("offset") / F.col("size")).alias("stretch")
+    unclear = unclear.select("*", stretch)
+    near = F.explode(F.array(*(F.col("stretch") + k for k in (-1, 0, 1)))).alias("stretch")
+    anchors = unclear.select("doc_id", "item_id", "copy", F.col("offset").alias("anchor"), "stretch").distinct()
+    anchors = anchors.select("doc_id", "item_id", "copy", "anchor", near)
     away = F.abs(F.col("offset") - F.col("anchor"))
     best = (
-        unclear.join(anchors, ["doc_id", "item_id", "copy"])
+        unclear.join(anchors, ["doc_id", "item_id", "copy", "stretch"])
         .filter(away <= F.col("size"))
         .groupBy("doc_id", "item_id", "copy", "anchor", "place", "asked")
         .agg(F.min(F.struct(away.alias("away"), "offset", "given", "same")).alias("s"))

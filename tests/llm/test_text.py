@@ -88,6 +88,28 @@ def test_decontamination_judges_each_occurrence(spark, make_docs):
     assert {d for d, _ in got} <= {1, 2, 3, 5}
     assert got[1, 1].consistent == got[1, 1].slots == 10
 
+def test_names_at_the_start_of_sentences_are_slots(spark, make_docs):
+    item = "Natalia sold clips to 48 of her friends in April. Natalia then sold half as many clips in May. Natalia kept 12 clips. How many clips did she sell?"
+    other = item.replace("Natalia", "Brenda").replace("48", "52").replace("12", "30")
+    jumble = item.replace("Natalia", "Brenda", 1).replace("Natalia", "Zoe", 1).replace("48", "52")
+    clean = "Natalia walked to 48 houses in April. Brenda then took half a day off. How many of them did she see?"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, f"Some words. {other} The end."), (2, f"Some words. {item.lower()}"), (3, clean), (4, f"He said: {other}"), (5, jumble)]
+    got = {r.doc_id: r for r in contaminated(make_docs(rows), bench).collect()}
+    assert set(got) - {5} == {1, 2, 4}
+    assert all(got[k].share == 1 and got[k].slots == got[k].consistent for k in (1, 2, 4))
+
+
+def test_many_numbers_take_linear_work(spark, make_docs):
+    """Anchors meet the offsets around them only: rows of the join grow with the text."""
+    rng = random.Random(1)
+    item = "then " + " ".join(str(rng.randrange(100)) for _ in range(20)) + " now"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    numbers = lambda n: " ".join(str(rng.randrange(1000)) for _ in range(n))
+    rows = [(1, numbers(3000)), (2, f"{numbers(1500)} {item} {numbers(1500)}"), (3, numbers(30))]
+    assert {r.doc_id for r in contaminated(make_docs(rows), bench).collect()} == {2}
+
+
 def test_decontamination_in_other_letter_case(spark, make_docs):
     """Names don't hide an item that is copied in other letter case or broken into lines."""
     item = "yesterday Ann met Bob near the old mill, where Tom and Eve waited, and Zoe told Max the whole story twice"
