@@ -40,7 +40,7 @@ import json
 import time
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import ExitStack, contextmanager
+from contextlib import ExitStack, contextmanager, nullcontext
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 from ratecraft.operators.quality import any_null, duplicate_keys
 from ratecraft.session import (
     create_text,
+    file_rows,
     forget_scratch,
     modified_at,
     move_path,
@@ -57,7 +58,9 @@ from ratecraft.session import (
     publish_text,
     read_text,
     remove_path,
+    scans_by_rows,
     scratch_dir,
+    session_conf,
     sub_folders,
 )
 from ratecraft.sources.tables import is_path, save_schema, try_read_table
@@ -75,16 +78,21 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, label: str, keep_on_failure: bool = False) -> Iterator[DataFrame]:
+def staged(
+    spark: SparkSession, df: DataFrame, label: str, keep_on_failure: bool = False, rows: int | None = None
+) -> Iterator[DataFrame]:
     """``df`` written once to a fresh folder under the checkpoint root, read back.
 
     The folder is deleted when the block ends, so repeated runs do not
     accumulate staging output. Leave the block only after every job that
     reads the staged copy has committed. With ``keep_on_failure`` a failure in
-    the block leaves the folder, and a note with its path on the error.
+    the block leaves the folder, and a note with its path on the error. ``rows``:
+    how many ``df`` is computed from, if its scan's tasks are to be dealt by rows
+    (see :func:`scans_by_rows`), as where they sort what they read.
     """
     path = scratch_dir(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    with scans_by_rows(spark, rows) if rows is not None else nullcontext():
+        df.write.options(**file_rows()).mode("overwrite").parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     except BaseException as e:
@@ -97,19 +105,6 @@ def staged(spark: SparkSession, df: DataFrame, label: str, keep_on_failure: bool
     remove_path(spark, path)
 
 
-@contextmanager
-def _session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    previous = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if previous is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, previous)
-
-
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows clustered by partition: otherwise every task writes a file into every
     partition it holds. REBALANCE lets AQE split a skewed partition and merge small ones."""
@@ -370,7 +365,7 @@ def upsert(
             content = _clustered(content, partition_by)
             # only the session setting makes insertInto replace just the touched partitions
             mode = "dynamic" if partition_by else "static"
-            with _session_conf(spark, OVERWRITE_MODE, mode):
+            with session_conf(spark, OVERWRITE_MODE, mode):
                 content.write.insertInto(target, overwrite=True)
         return "merged"
 

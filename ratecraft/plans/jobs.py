@@ -163,7 +163,7 @@ def conform_batch(spec: SeriesSpec, bronze: DataFrame, batch_id: int) -> int:
             return counts.bad
         good = latest_records(records.filter("refused is null").drop("refused", "data_raw", "valor_raw"), spec)
         good = good.withColumns(silver_partitions(spec))
-        with staged(spark, good, f"silver-{spec.name}") as content:
+        with staged(spark, good, f"silver-{spec.name}", rows=counts.good + counts.bad) as content:
             validate(content, silver_rules(spec))
             upsert(
                 spark,

@@ -10,14 +10,20 @@ when the Python process ends.
 from __future__ import annotations
 
 import atexit
+import math
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _CREATED: set[str] = set()  # scratch folders of this process
+#: Rows of a file that a layer job writes, and (about) of a task that sorts what it reads.
+ROWS_A_TASK = 500_000
+SCAN_TASKS = "spark.sql.files.minPartitionNum"
 
 
 def build_session(
@@ -54,6 +60,43 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs of a block."""
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
+def row_tasks(rows: int) -> int:
+    """Tasks for so many rows, ROWS_A_TASK each."""
+    return max(1, math.ceil(rows / ROWS_A_TASK))
+
+
+def file_rows() -> dict[str, int]:
+    """Writer options of files that hold ROWS_A_TASK rows at most: what one task reads later isn't less than a file."""
+    return {"maxRecordsPerFile": ROWS_A_TASK}
+
+
+@contextmanager
+def scans_by_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """The jobs of the block scan ``rows`` rows in tasks of about ROWS_A_TASK, if no file holds more.
+
+    Spark deals files to scan tasks by their bytes and the cluster's cores. Bronze
+    compresses to a few bytes a record (one path, one time a file), so by bytes a
+    task's records, and the memory in which it sorts them, would grow with the table.
+    """
+    least = int(spark.conf.get(SCAN_TASKS, None) or spark.sparkContext.defaultParallelism)
+    with session_conf(spark, SCAN_TASKS, str(max(least, row_tasks(rows)))):
+        yield
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ratecraft.session import file_rows
 from ratecraft.sources.raw import RAW_SCHEMA, bronze_projection, landing_glob
 from ratecraft.sources.tables import is_path
 from ratecraft.specs import SeriesSpec
@@ -44,10 +45,12 @@ def read_raw_stream(spark: SparkSession, spec: SeriesSpec) -> DataFrame:
 def start_append_stream(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Start appending everything available to ``target``; the query stops when drained.
 
-    ``target`` is a storage path (parquet sink) or a catalog table name.
+    ``target`` is a storage path (parquet sink) or a catalog table name. Files
+    hold a bounded number of records, so that later jobs can deal them to tasks.
     """
     writer = (
         df.writeStream.format("parquet")
+        .options(**file_rows())
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
