@@ -96,15 +96,15 @@ def run_conform(spark: SparkSession, specs: Sequence[SeriesSpec]) -> dict[str, s
     """Silver job: conform every series, validate every series, then upsert each.
 
     Every validation runs before the first write, so one bad series blocks
-    all of them.
+    all of them. Each task conforms a bounded number of records (their count is
+    in the footers of Bronze's files).
     """
     with ExitStack() as stack:
-        content = {
-            spec.name: stack.enter_context(
-                staged(spark, silver_content(read_bronze(spark, spec), spec), f"silver-{spec.name}")
-            )
-            for spec in specs
-        }
+        content = {}
+        for spec in specs:
+            bronze = read_bronze(spark, spec)
+            conformed = staged(spark, silver_content(bronze, spec), f"silver-{spec.name}", rows=bronze.count())
+            content[spec.name] = stack.enter_context(conformed)
         for spec in specs:
             validate(content[spec.name], silver_rules(spec))
         return {

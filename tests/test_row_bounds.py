@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ratecraft import session
 from ratecraft.operators.upsert import staged
 from ratecraft.plans import catalog
-from ratecraft.plans.jobs import conform_batch
+from ratecraft.plans.jobs import conform_batch, run_conform
 from ratecraft.sources.raw import read_bronze
 from ratecraft.sources.tables import read_table
 from ratecraft.specs import DAY, SeriesSpec
@@ -48,6 +48,8 @@ def test_bronze_files_hold_a_bounded_number_of_records(spark, spec):
 
 
 def test_conform_jobs_deal_records_to_tasks_by_number(spark, spec):
+    assert most_tasks(spark, "full", lambda: run_conform(spark, [spec])) >= ROWS / PER_TASK
+    assert read_table(spark, spec.silver).count() == ROWS
     assert most_tasks(spark, "batch", lambda: conform_batch(spec, read_bronze(spark, spec), 0)) >= ROWS / PER_TASK
     assert read_table(spark, spec.silver).count() == ROWS
 
