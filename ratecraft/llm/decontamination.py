@@ -38,14 +38,20 @@ UNITS = "mm|cm|km|m|mi|miles?|ft|feet|inch(?:es)?|yards?|mg|kg|g|lbs?|pounds?|oz
 
 
 #: Where a name's mark is put: inside a sentence, or before any capitalised word.
-INSIDE, ANYWHERE = (r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu})", "$1¤"), (r"(?<![\p{L}\p{N}])(?=\p{Lu})", "¤")
+INSIDE, ANYWHERE = (r"([\p{Ll},;][\s\p{Z}]+)(?=\p{Lu})", "$1¤"), (r"(?=\p{Lu})(?<![\p{L}\p{N}])", "¤")
+
+
+def _plain_numbers(text: Column) -> Column:
+    """Text without marks in which numbers are single runs of digits."""
+    for mark in "¤µ":
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    return F.regexp_replace(text, r"(?<=\d)[.,](?=\d)", "")
 
 
 def _marked(text: Column, names: tuple[str, str] = INSIDE) -> Column:
-    """Lower-cased text in which names begin with ¤, units with µ, and numbers are single runs of digits."""
-    t = F.regexp_replace(F.regexp_replace(text, "[¤µ]", " "), *names)
-    t = F.regexp_replace(t, r"(?<=\d)[.,](?=\d)", "")
-    return F.regexp_replace(F.lower(t), rf"(\d) ?({UNITS})(?![\p{{L}}\p{{N}}])", "$1 µ")
+    """Of a text with plain numbers: lower-cased text in which names begin with ¤ and units with µ."""
+    t = F.lower(F.regexp_replace(text, *names))
+    return F.regexp_replace(t, rf"(\d) ?({UNITS})(?![\p{{L}}\p{{N}}])", "$1 µ")
 
 
 def _words(text: Column) -> Column:
@@ -61,7 +67,7 @@ def template_words(marked: Column) -> Column:
 
 def plain_words(marked: Column) -> Column:
     """The same words, lower-cased, with the values of names and numbers in place (ann, 12)."""
-    return _words(F.translate(marked, "¤", ""))
+    return _words(F.replace(marked, F.lit("¤"), F.lit("")))
 
 
 def _hashes(words: Column) -> Column:
@@ -72,6 +78,16 @@ def _hashes(words: Column) -> Column:
     return F.when(n > 0, F.slice(full, 1, F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _window_rows(rows: DataFrame, name: str) -> DataFrame:
+    """(name, hash) of the windows of ``words``, hashes as in :func:`_hashes`, which a lambda computes:
+    rows of neighbouring words are hashed by compiled code."""
+    words, n = F.col("words"), F.size("words")
+    next_words = [F.slice(words, k + 1, n).alias(f"w{k}") for k in range(1, WORDS)]
+    neighbours = rows.select(name, F.inline(F.arrays_zip(words.alias("w0"), *next_words)))
+    # the text's last words have fewer neighbours
+    return neighbours.filter(f"w{WORDS - 1} is not null").select(name, F.xxhash64(*(f"w{k}" for k in range(WORDS))).alias("hash"))
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, at, size, hash, wide, plain, slots) of each window.
 
@@ -84,7 +100,8 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 def _three_forms(rows: DataFrame, *names: str) -> DataFrame:
     """(names, w, v, at, h): each window's place and its hashes by template, wide template and plain words."""
-    rows = rows.select(*names, _marked(F.col("text")).alias("m"), _marked(F.col("text"), ANYWHERE).alias("a"))
+    rows = rows.select(*names, _plain_numbers(F.col("text")).alias("t"))
+    rows = rows.select(*names, _marked(F.col("t")).alias("m"), _marked(F.col("t"), ANYWHERE).alias("a"))
     rows = rows.select(*names, template_words(F.col("m")).alias("w"), template_words(F.col("a")).alias("u"), plain_words(F.col("m")).alias("v"))
     forms = F.arrays_zip(_hashes(F.col("w")).alias("hash"), _hashes(F.col("u")).alias("wide"), _hashes(F.col("v")).alias("plain"))
     return rows.select(*names, "w", "v", F.posexplode(forms).alias("at", "h"))
@@ -121,8 +138,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small = distinct.count() <= BROADCAST_WINDOWS
 
     named = docs.filter("doc_id is not null").select("doc_id", "text")
-    # the words are a column of their own: inside the hashing lambda they would be split anew for each word
-    words = named.select("doc_id", _marked(F.col("text")).alias("m"), _marked(F.col("text"), ANYWHERE).alias("a"))
+    # texts and words are columns of their own, computed once however often they are used
+    texts = named.select("doc_id", _plain_numbers(F.col("text")).alias("t"))
+    words = texts.select("doc_id", _marked(F.col("t")).alias("m"), _marked(F.col("t"), ANYWHERE).alias("a"))
     # without names and numbers the plain words are the template's
     plain = F.when(F.col("m").rlike(r"[¤\d]"), plain_words(F.col("m")))
     none = F.array().cast("array<string>")
@@ -132,8 +150,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce(F.when(F.col("a") != F.col("m"), template_words(F.col("a"))), none).alias("u"),
         F.coalesce(plain, none).alias("v"),
     )
-    hashes = F.array_union(F.array_union(_hashes(F.col("w")), _hashes(F.col("u"))), _hashes(F.col("v")))
-    windows = words.select("doc_id", F.explode(hashes).alias("hash"))
+    forms = words.select("doc_id", F.explode(F.array("w", "u", "v")).alias("words")).filter(F.size("words") >= WORDS)
+    windows = _window_rows(forms, "doc_id")
     met = windows.join(F.broadcast(distinct) if small else distinct, "hash")
     found = (
         met.select("doc_id", "item_id", "window")
