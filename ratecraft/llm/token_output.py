@@ -24,7 +24,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,30 +32,91 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratecraft.llm.bpe import SPACE, byte_symbols
-from ratecraft.llm.common import Scratch, bounded_batches
+from ratecraft.llm.common import Scratch, blank_table, bounded_batches, fold_table, groups_of, pieces, raw_text
 
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-#: Words and ids that a task remembers; it starts anew beyond either.
+#: Words and pieces of words, and their ids, that a task remembers; it starts anew beyond either.
 CACHE_WORDS, CACHE_IDS = 700_000, 12_000_000
-#: Characters of a round, pieces of a text and words of a batch that the library gets at once.
-ROUND_CHARS, CALL_PIECES, CALL_WORDS = 500_000, 256, 2000
+#: Bytes of a round (a longer text is cut behind white space), pieces of a text and words of a batch that the library gets at once.
+ROUND_BYTES, CALL_PIECES, CALL_WORDS = 1 << 20, 256, 2000
 #: Bytes of text for one file, and the least for which another one is worth its start.
 PART_BYTES, SMALL_BYTES = 48 << 20, 1 << 20
-PLAIN_WORD = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+\\Z")
-PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
 
 DATA_SCHEMA = "doc_id long, local_start long, n_tokens long, ids array<int>, part int"
 
-
-def words_of(text: str | None) -> list[str]:
-    """Words between white space (Unicode's property; str.split also cuts at four control characters)."""
-    if not text:
-        return []
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [w for w in re.split(f"[{SPACE}]+", text) if w]
-    return text.split()
+#: Kinds of bytes: white space, letters, digits, other printable ASCII, and all that makes a word an odd one.
+BLANK, LETTER, DIGIT, OTHER, ODD = range(5)
+
+
+def _kind_table() -> np.ndarray:
+    t = np.full(256, ODD, np.uint8)
+    t[33:127] = OTHER
+    t[[*b"'<"]] = ODD  # contractions and added tokens begin there
+    t[blank_table()] = BLANK
+    t[48:58] = DIGIT
+    t[[*range(65, 91), *range(97, 123)]] = LETTER
+    return t
+
+
+def _wide_blanks(size: int) -> np.ndarray:
+    """White space (Unicode's property) of so many bytes of UTF-8, as big-endian numbers."""
+    found = (c.encode() for c in map(chr, range(0x80, 0x3001)) if re.match(f"[{SPACE}]", c))
+    return np.array([int.from_bytes(c, "big") for c in found if len(c) == size], np.int32)
+
+
+KIND, LOWER, BLANK_BYTE, BLANK_2, BLANK_3 = _kind_table(), fold_table(), blank_table(), _wide_blanks(2), _wide_blanks(3)
+
+
+def _kinds(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(kind of each byte of UTF-8, bytes with letters of ASCII and Latin-1 in lower case)."""
+    kind, lower = KIND[part], LOWER[part]
+    lead = np.flatnonzero(part >= 0xC2)
+    if len(lead):
+        ends = np.concatenate((part, np.zeros(2, np.uint8)))
+        a, b = part[lead], ends[lead + 1]
+        latin = (a == 0xC3) & (b >> 6 == 2) & (b != 0x97) & (b != 0xB7)  # all but the signs of times and division
+        at, b = lead[latin], b[latin]
+        kind[at] = kind[at + 1] = LETTER
+        lower[at + 1] = b + np.uint8(32) * (b < 0x9F)
+        for size, first, last, blanks in ((2, 0xC2, 0xC2, BLANK_2), (3, 0xE1, 0xE3, BLANK_3)):
+            at = lead[(a >= first) & (a <= last)]
+            code = np.zeros(len(at), np.int32)
+            for k in range(size):
+                code = code << 8 | ends[at + k]
+            at = at[np.isin(code, blanks)]
+            for k in range(size):
+                kind[at + k] = BLANK
+    return kind, lower
+
+
+def _cut(part: np.ndarray, bounds: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of the words of texts that stand one after another between the bounds.
+
+    Returns the bytes of all pieces, their n + 1 offsets, which are odd words,
+    and how many pieces each text has. A word without odd bytes is cut into runs
+    of letters, single digits and runs of the rest, in lower case; an odd word,
+    or any word unless ``plain``, is one piece as it stands.
+    """
+    kind, lower = _kinds(part)
+    keep = kind != BLANK
+    first = np.ones(len(part), bool)  # bytes at which a word begins
+    np.logical_not(keep[:-1], out=first[1:])
+    first[bounds[bounds < len(part)]] = True
+    first, kind, body = first[keep], kind[keep], lower[keep]
+    begin = np.flatnonzero(first)
+    odd = np.full(len(begin), not plain)
+    odd[np.searchsorted(begin, np.flatnonzero(kind == ODD), "right") - 1] = True
+    if odd.any():
+        whole = np.repeat(odd, np.diff(begin, append=len(body)))
+        kind[whole], body[whole] = ODD, part[keep][whole]
+    first |= kind == DIGIT
+    first[1:] |= kind[1:] != kind[:-1]
+    begin = np.flatnonzero(first)
+    kept = np.fromiter((np.count_nonzero(keep[i:j]) for i, j in pairwise(bounds.tolist())), np.int64, len(bounds) - 1)
+    by_text = np.diff(np.searchsorted(begin, np.concatenate(([0], np.cumsum(kept)))))
+    return body, np.append(begin, len(body)).astype(np.int32), kind[begin] == ODD, by_text
 
 
 class _Numbers(dict):
@@ -63,23 +124,37 @@ class _Numbers(dict):
 
     def __init__(self):
         super().__init__()
-        self.new: list[str] = []
+        self.new: list[bytes] = []
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
         self.new.append(word)
         return number
 
 
+def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or a copy of at least twice its size if it has no room for more."""
+    if used + more <= len(a):
+        return a
+    out = np.empty(max(2 * len(a), used + more), a.dtype)
+    out[:used] = a[:used]
+    return out
+
+
 class _Ids:
-    """Ids of numbered texts, one after another in one array."""
+    """Ids of numbered texts, one after another in one array with room to grow."""
 
     def __init__(self):
-        self.flat, self.start, self.n = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.start, self.n = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.size = self.texts = 0
 
     def add(self, flat: np.ndarray, n: np.ndarray) -> None:
-        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(n) - n))
-        self.flat, self.n = np.concatenate((self.flat, flat.astype(np.int32))), np.concatenate((self.n, n))
+        i, j = self.size, self.texts
+        self.flat = _room(self.flat, i, len(flat))
+        self.start, self.n = _room(self.start, j, len(n)), _room(self.n, j, len(n))
+        self.flat[i : i + len(flat)], self.n[j : j + len(n)] = flat, n
+        self.start[j : j + len(n)] = i + np.cumsum(n) - n
+        self.size, self.texts = i + len(flat), j + len(n)
 
     def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of these texts in a row, how many each has)."""
@@ -98,7 +173,7 @@ def _numbers(known: _Numbers, texts) -> np.ndarray:
 
 
 class WordEncoder:
-    """Ids of texts whose tokenizer drops white space: each distinct word is encoded once while it is remembered.
+    """Ids of texts whose tokenizer drops white space: each distinct piece of a word is encoded once while it is remembered.
 
     The tokenizer's normaliser turns runs of white space into one space, which
     its pre-tokenizer drops, so no token, composition or lower-casing spans it.
@@ -107,6 +182,9 @@ class WordEncoder:
     the model's byte alphabet, many a call; others (and words with an apostrophe or an angle
     bracket, where contractions and added tokens begin) pass through the whole tokenizer one by
     one. A tokenizer file with another normaliser or pattern gets every word that way.
+
+    The texts of a round are cut as one array of bytes, and its pieces are
+    dictionary-encoded, so only the round's distinct pieces are looked up.
     """
 
     def __init__(self, path: str):
@@ -119,57 +197,72 @@ class WordEncoder:
             t.no_truncation()
         self.model.normalizer, self.model.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = all("<" in x for x in added) and _splits_plainly(json.loads(self.tokenizer.to_str()))
-        alphabet = byte_symbols()
-        self.bytes = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        spec = json.loads(self.tokenizer.to_str())
+        self.plain = all("<" in x for x in added) and _splits_plainly(spec) and _marks_ends(spec["model"])
+        if self.plain:
+            ids, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+            self.ends = np.zeros(max(ids.values()) + 1, bool)  # ids that end a piece
+            self.ends[[i for x, i in ids.items() if x.endswith(suffix)]] = True
+            self.alphabet = np.array([ord(c) for c in byte_symbols()], "<u4")
+            self.alphabet[32] = 32  # between pieces
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.word_ids = _Numbers(), _Ids()
-        self.pieces, self.piece_ids = _Numbers(), _Ids()
-        self.pieces["\n"] = 0  # ends a word, has no ids
-        self.piece_ids.add(np.zeros(0, np.int32), np.zeros(1, np.int64))
-
-    def _learn_pieces(self) -> None:
-        new, self.pieces.new = self.pieces.new, []
-        new = [x if x.isascii() else x.translate(self.bytes) for x in new]
-        joined = [" ".join(new[k : k + CALL_PIECES]) for k in range(0, len(new), CALL_PIECES)]
+        self.known, self.ids = _Numbers(), _Ids()
+
+    def _learn_pieces(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, ids by piece) from the model."""
+        raw = [np.frombuffer(b" ".join(new[k : k + CALL_PIECES]), np.uint8) for k in range(0, len(new), CALL_PIECES)]
+        joined = [self.alphabet[x].tobytes().decode("utf-32-le") for x in raw]
+        ids: list[int] = []
         for k in range(0, len(joined), 16):
-            for e in self.model.encode_batch(joined[k : k + 16], add_special_tokens=False):
-                self.piece_ids.add(np.array(e.ids, np.int32), np.bincount(np.array(e.word_ids, np.int64)))
-
-    def _learn(self) -> None:
-        """Encode the words met for the first time: plain ones by pieces, the others whole."""
-        new, self.words.new = self.words.new, []
-        plain = np.fromiter((self.plain and PLAIN_WORD.match(w) is not None for w in new), bool, len(new))
-        at, lengths = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        found = PIECE.findall("\n".join([*compress(new, plain), ""]).lower())
-        numbers = _numbers(self.pieces, found)
-        if self.pieces.new:
-            self._learn_pieces()
-        flat, n = self.piece_ids.of(numbers)
-        ends = np.flatnonzero(numbers == 0)
-        lengths[plain] = _per(n, np.diff(ends, prepend=-1))
-        others, ids = list(compress(new, ~plain)), []
-        for k in range(0, len(others), CALL_WORDS):
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast(others[k : k + CALL_WORDS], add_special_tokens=False)]
-        lengths[~plain] = np.fromiter(map(len, ids), np.int64, len(ids))
-        order = np.argsort(~plain, kind="stable")  # plain words first, as their ids are
-        at[order] = np.cumsum(lengths[order]) - lengths[order]
-        base = len(self.word_ids.flat)
-        self.word_ids.add(np.concatenate((flat, np.fromiter(chain.from_iterable(ids), np.int32))), lengths)
-        self.word_ids.start[-len(new) :] = base + at
+            for e in self.model.encode_batch_fast(joined[k : k + 16], add_special_tokens=False):
+                ids += e.ids
+        flat = np.array(ids, np.int32)
+        return flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+
+    def _learn_words(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids by word) from the whole tokenizer."""
+        ids: list[list[int]] = []
+        for k in range(0, len(new), CALL_WORDS):
+            words = [w.decode() for w in new[k : k + CALL_WORDS]]
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _round(self, part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts between the bounds, ids by text)."""
+        if len(self.known) > CACHE_WORDS or self.ids.size > CACHE_IDS:
+            self._forget()
+        body, offsets, odd, by_text = _cut(part, bounds, self.plain)
+        column = pa.Array.from_buffers(pa.binary(), len(odd), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+        at, words = column.indices.to_numpy(), column.dictionary.to_numpy(zero_copy_only=False)
+        odd_words = np.zeros(len(words), bool)
+        odd_words[at[odd]] = True
+        numbers = np.zeros(len(words), np.int64)
+        for some, learn in ((~odd_words, self._learn_pieces), (odd_words, self._learn_words)):
+            numbers[some] = _numbers(self.known, words[some].tolist())
+            if self.known.new:
+                new, self.known.new = self.known.new, []
+                self.ids.add(*learn(new))
+        flat, n = self.ids.of(numbers[at])
+        return flat, _per(n, by_text)
+
+    def rounds(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Rows from and to, the ids of their texts and how many each has, for about ROUND_BYTES at a time."""
+        data, offsets = raw_text(texts)
+        for i, j in groups_of(offsets, ROUND_BYTES):
+            part, bounds = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            if j - i > 1 or len(part) <= ROUND_BYTES:
+                yield i, j, *self._round(part, bounds)
+            else:
+                flat, n = zip(*(self._round(x, np.array([0, len(x)])) for x in pieces(part, BLANK_BYTE, ROUND_BYTES)), strict=True)
+                yield i, j, np.concatenate(flat), np.sum(n, axis=0)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids by text)."""
-        if len(self.words) > CACHE_WORDS or len(self.word_ids.flat) > CACHE_IDS:
-            self._forget()
-        cut = [words_of(x) for x in texts]
-        numbers = _numbers(self.words, chain.from_iterable(cut))
-        if self.words.new:
-            self._learn()
-        flat, n = self.word_ids.of(numbers)
-        return flat, _per(n, np.fromiter(map(len, cut), np.int64, len(cut)))
+        done = list(self.rounds(pa.array(texts, pa.string())))
+        flat, n = ([x[k] for x in done] for k in (2, 3))
+        return np.concatenate([np.zeros(0, np.int32), *flat]), np.concatenate([np.zeros(0, np.int64), *n])
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -188,22 +281,18 @@ def _splits_plainly(tokenizer: dict) -> bool:
     return whole and [x for x in pattern.split("|") if not x.startswith("'")] == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
 
 
-def _rounds(texts: list[str | None], chars: int = ROUND_CHARS) -> Iterator[tuple[int, int]]:
-    at, n = 0, 0
-    for end, x in enumerate(texts, 1):
-        n += len(x or "")
-        if n >= chars or end == len(texts):
-            yield at, end
-            at, n = end, 0
+def _marks_ends(model: dict) -> bool:
+    """Whether a BPE model's last token of a piece, and no other, has a suffix that no plain piece can hold."""
+    suffix, vocab = model.get("end_of_word_suffix"), model.get("vocab", {})
+    whole = model["type"] == "BPE" and not model["dropout"] and not model["continuing_subword_prefix"] and not model["ignore_merges"]
+    return whole and "<" in (suffix or "") and all(x in vocab and x + suffix in vocab for x in byte_symbols())
 
 
 def _tokenise(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start = WordEncoder(path), 0
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in _rounds(texts):
-                flat, n = encoder.encode(texts[lo:hi])
+            for lo, hi, flat, n in encoder.rounds(b.column(1)):
                 flat = np.insert(flat, np.cumsum(n), END_ID)
                 n = n + 1
                 before = start + np.cumsum(n) - n

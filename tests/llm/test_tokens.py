@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -122,3 +124,52 @@ def test_token_files(spark, make_docs, corpus, tmp_path):
             assert any("DICTIONARY" in e for e in columns["ids"].encodings)
     plan = read_token_files(spark, str(tmp_path)).select("doc_id", "n_tokens")._jdf.queryExecution().toString()
     assert "ids" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_only_distinct_pieces_of_a_round_are_looked_up(monkeypatch):
+    from ratecraft.llm import token_output
+
+    asked, numbers = [], token_output._numbers
+
+    def counted(known, texts):
+        texts = list(texts)
+        asked.append(len(texts))
+        return numbers(known, texts)
+
+    monkeypatch.setattr(token_output, "_numbers", counted)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeiounrst") for _ in range(6)) for _ in range(40)]
+    cased = [f(w) + end for w in words for f in (str, str.upper, str.title) for end in ("", ",", ".")]
+    texts = [" ".join(rng.choices([*cased, "don't", "l\u2019eau"], k=500)) for _ in range(20)]
+    t, e = library(WORD), WordEncoder(WORD)
+    expected = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    for _ in range(2):  # met for the first time, then remembered
+        asked.clear()
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in e.encode_many(texts)] == expected
+        # 40 words in any case, two signs and two odd words, whatever stands in the 10,000 places
+        assert sum(asked) <= 44
+
+
+def test_rounds_of_any_size_change_nothing(texts, monkeypatch):
+    from ratecraft.llm import token_output
+
+    t, rng = library(WORD), random.Random(6)
+    wide = " \x85\xa0\u1680\u2000\u200a\u200b\u2028\u202f\u205f\u3000\x1c\x1fÀÿß×÷aZ5.'<\u0301\U0001f600"
+    some = [*texts[:60], None, "", *("".join(rng.choice(wide) for _ in range(rng.randint(0, 40))) for _ in range(400)), "Ab1,\u3000é " * 90, "ab", "cd"]
+    expected = [t.encode(x or "", add_special_tokens=False).ids for x in some]
+    for size in (1, 20, 333, 1 << 20):
+        monkeypatch.setattr(token_output, "ROUND_BYTES", size)
+        e = WordEncoder(WORD)
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in e.encode_many(some)] == expected, size
+
+
+@pytest.mark.parametrize(("part", "field", "value"), [("model", "end_of_word_suffix", None), ("normalizer", "normalizers", [{"type": "NFC"}, {"type": "Lowercase"}])])
+def test_other_tokenizer_files_get_whole_words(texts, tmp_path, part, field, value):
+    spec = json.loads(Path(WORD).read_text(encoding="utf-8"))
+    spec[part][field] = value
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    t, e = library(str(path)), WordEncoder(str(path))
+    assert not e.plain
+    for x, raw in zip(texts[:300], e.encode_many(texts[:300]), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
